@@ -262,6 +262,8 @@ def with_value_type(results: DataFrame) -> DataFrame:
 
 def drop_pending(results: DataFrame) -> DataFrame:
     """Leave out items that are processing and have neither raw text nor value."""
+    if "is_processing" not in results.columns:
+        return results
     empty = F.col("raw_value").isNull() & value_type(fields_of(results.schema)).isNull()
     pending = F.coalesce(F.col("is_processing"), F.lit(False)) & empty
     return results.where(~pending)

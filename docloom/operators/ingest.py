@@ -170,11 +170,13 @@ def upload_outcomes(
     """
     if on_duplicate not in DUPLICATE_POLICIES:
         raise ValueError(f"on_duplicate must be one of {', '.join(DUPLICATE_POLICIES)}")
-    holders = catalog.groupBy("folder_id", "name").agg(F.min("id").alias("holder_id"))
-    place = files["folder_id"].eqNullSafe(holders["folder_id"]) & (
-        files["file_name"] == holders["name"]
+    holders = catalog.groupBy(
+        F.col("folder_id").alias("__folder"), F.col("name").alias("__name")
+    ).agg(F.min("id").alias("holder_id"))
+    place = F.col("folder_id").eqNullSafe(F.col("__folder")) & (
+        F.col("file_name") == F.col("__name")
     )
-    rows = files.join(holders, place, "left").drop(holders["folder_id"], holders["name"])
+    rows = files.join(holders, place, "left").drop("__folder", "__name")
     has_file = F.col("has_file") if "has_file" in files.columns else F.lit(True)
 
     clash = F.col("holder_id").isNotNull()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.names import component_order, glob_regex
@@ -68,9 +68,7 @@ def file_manifest(
     files = frames[0].select(*columns)
     for extra in frames[1:]:
         files = files.unionByName(extra.select(*columns)).dropDuplicates(["path"])
-    base_text = F.lit(_plain(root) + "/")
-    rel = F.substring(_plain_column("path"), F.length(base_text) + 1, F.length("path"))
-    files = files.withColumn("rel_path", rel)
+    files = files.withColumn("rel_path", relative_path(F.col("path"), base))
     own_name = F.substring_index("rel_path", "/", -1)
     return files.where(F.col("rel_path").rlike(glob_regex(pattern)) & ~own_name.startswith("."))
 
@@ -80,11 +78,17 @@ def _plain(uri: str) -> str:
     return "file:/" + uri[len("file:") :].lstrip("/") if uri.startswith("file:") else uri
 
 
-def _plain_column(name: str):  # noqa: ANN202
-    return F.regexp_replace(name, "^file:/+", "file:/")
+def _plain_column(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-def manifest_order() -> list:
+def relative_path(path: Column, base: str) -> Column:
+    """The part of a file's path below the directory ``base``."""
+    skip = len(_plain(_uri(base.rstrip("/")))) + 1
+    return F.substring(_plain_column(path), F.lit(skip + 1), F.length(path))
+
+
+def manifest_order() -> list[Column]:
     """Sort keys of a manifest: by path, component by component."""
     return [component_order(F.col("rel_path"))]
 
@@ -114,5 +118,5 @@ def listed_files(
         list(zip(map(_plain, uris), paths, range(len(paths)), strict=True)),
         "path string, given string, position long",
     )
-    files = files.select(*columns).dropDuplicates(["path"]).withColumn("path", _plain_column("path"))
+    files = files.select(*columns).dropDuplicates(["path"]).withColumn("path", _plain_column(F.col("path")))
     return given.join(files, "path")

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docloom.operators.ingest import MAX_BATCH_FILES
 from docloom.plans.ingest import ingest_files
+from docloom.sources.files import relative_path
 
 
 def ingest_stream(
@@ -19,6 +20,7 @@ def ingest_stream(
     out: str,
     *,
     base_key: str,
+    flatten: bool = True,
     folder_id: int | None = None,
     on_duplicate: str = "allow",
     max_size: int | None = None,
@@ -41,7 +43,10 @@ def ingest_stream(
     )
     # Without the contents from here on: only their hash travels.
     files = arriving.select(
-        "path", F.col("length").alias("size"), F.md5("content").alias("md5")
+        "path",
+        relative_path(F.col("path"), inbox).alias("rel_path"),
+        F.col("length").alias("size"),
+        F.md5("content").alias("md5"),
     )
 
     def load(batch: DataFrame, number: int) -> None:
@@ -55,7 +60,8 @@ def ingest_stream(
             batch.withColumn("folder_id", F.lit(folder_id).cast("long")),
             known,
             base_key=f"{base_key}-{number}",
-            flatten=True,
+            flatten=flatten,
+            path_col="path" if flatten else "rel_path",
             on_duplicate=on_duplicate,
             max_size=max_size,
             batch_size=batch_size,

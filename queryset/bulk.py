@@ -27,8 +27,8 @@ def move_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "m1_move_summary",
-    sql(f"""SELECT count(*) AS matched, count_if(folder_id <> 107) AS moved,
-               count_if(folder_id = 107) AS skipped FROM docs WHERE {_MOVE_WHERE}"""),
+    sql(f"""SELECT count(*) AS matched, count(*) FILTER (WHERE folder_id <> 107) AS moved,
+               count(*) FILTER (WHERE folder_id = 107) AS skipped FROM docs WHERE {_MOVE_WHERE}"""),
 )
 def move_summary(spark: SparkSession, sf: str) -> DataFrame:
     return b.move_documents(t.catalog_of_docs(spark, sf), _MOVE, target_folder_id=107).summary
@@ -80,8 +80,8 @@ def assign(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "m4_assign_summary",
     sql("""SELECT CAST(5 AS BIGINT) AS project_id, count(*) AS matched,
-            count_if(id NOT IN (SELECT document_id FROM project_documents WHERE project_id = 5)) AS added,
-            count_if(id IN (SELECT document_id FROM project_documents WHERE project_id = 5)) AS skipped
+            count(*) FILTER (WHERE id NOT IN (SELECT document_id FROM project_documents WHERE project_id = 5)) AS added,
+            count(*) FILTER (WHERE id IN (SELECT document_id FROM project_documents WHERE project_id = 5)) AS skipped
         FROM parts WHERE page_count >= 20"""),
 )
 def assign_summary(spark: SparkSession, sf: str) -> DataFrame:

@@ -184,8 +184,8 @@ def rejections(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_COUNTS = """count(*) AS files, count_if(slot AND duplicate_count = 0) AS succeeded,
-    count_if(NOT slot) AS failed, count_if(slot AND duplicate_count > 0) AS skipped,
+_COUNTS = """count(*) AS files, count(*) FILTER (WHERE slot AND duplicate_count = 0) AS succeeded,
+    count(*) FILTER (WHERE NOT slot) AS failed, count(*) FILTER (WHERE slot AND duplicate_count > 0) AS skipped,
     count(document_id) AS document_ids"""
 
 

@@ -92,10 +92,10 @@ def run_job_documents(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "j6_status_roll_up",
     sql("""SELECT j.id AS job_id, count(d.document_id) AS total_docs,
-            count_if(d.status = 'completed') AS completed_docs, count_if(d.status = 'failed') AS error_count,
-            CASE WHEN count_if(d.status = 'running') > 0 THEN 'running'
-                 WHEN count_if(d.status = 'failed') = 0 THEN 'completed'
-                 WHEN count_if(d.status = 'completed') = 0 THEN 'failed' ELSE 'partial_success' END AS status
+            count(*) FILTER (WHERE d.status = 'completed') AS completed_docs, count(*) FILTER (WHERE d.status = 'failed') AS error_count,
+            CASE WHEN count(*) FILTER (WHERE d.status = 'running') > 0 THEN 'running'
+                 WHEN count(*) FILTER (WHERE d.status = 'failed') = 0 THEN 'completed'
+                 WHEN count(*) FILTER (WHERE d.status = 'completed') = 0 THEN 'failed' ELSE 'partial_success' END AS status
         FROM jobs j LEFT JOIN job_documents d ON d.job_id = j.id GROUP BY 1"""),
 )
 def status_roll_up(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,7 +140,7 @@ _WANTED = "(SELECT c_nationkey AS set_id, c_custkey AS document_id FROM customer
 @query(
     "j9_readiness",
     sql(f"""SELECT CAST(set_id AS BIGINT) AS set_id, count(*) AS requested,
-               count_if(coalesce(status = 'ready', false)) AS ready, count_if(status IS NULL) AS missing,
+               count(*) FILTER (WHERE coalesce(status = 'ready', false)) AS ready, count(*) FILTER (WHERE status IS NULL) AS missing,
                bool_and(coalesce(status = 'ready', false)) AS all_ready
         FROM {_WANTED} w LEFT JOIN {_LATEST} e ON e.subject_id = w.document_id GROUP BY 1"""),
 )
@@ -153,7 +153,7 @@ def readiness(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "j9_all_ready",
-    sql(f"""SELECT count(*) AS requested, count_if(status = 'ready') AS ready,
+    sql(f"""SELECT count(*) AS requested, count(*) FILTER (WHERE status = 'ready') AS ready,
                coalesce(bool_and(status = 'ready'), true) AS all_ready
         FROM (SELECT DISTINCT subject_id FROM status_events WHERE status = 'ready')
         JOIN {_LATEST} USING (subject_id)"""),
@@ -211,8 +211,8 @@ def replayed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "t6_misused_keys",
-    sql(f"""SELECT key, count(*) AS requests, count_if(payload_hash <> first_hash) AS rejected
-        FROM {_REPLAYED} GROUP BY 1 HAVING count_if(payload_hash <> first_hash) > 0"""),
+    sql(f"""SELECT key, count(*) AS requests, count(*) FILTER (WHERE payload_hash <> first_hash) AS rejected
+        FROM {_REPLAYED} GROUP BY 1 HAVING count(*) FILTER (WHERE payload_hash <> first_hash) > 0"""),
 )
 def misused(spark: SparkSession, sf: str) -> DataFrame:
     return replay.misused_keys(t.requests(spark, sf))

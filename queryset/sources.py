@@ -169,7 +169,7 @@ def wide_csv(spark: SparkSession, sf: str) -> DataFrame:
     return back.na.fill("")
 
 
-_TARGETS = """targets AS (SELECT id, list_filter(string_split(path, '/'), x -> x <> '' AND x <> '.')[-1] AS target_name
+_TARGETS = """targets AS (SELECT id, list_filter(string_split(path, '/'), lambda x: x <> '' AND x <> '.')[-1] AS target_name
       FROM url_paths)"""
 
 

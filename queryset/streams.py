@@ -48,7 +48,7 @@ def _drain(stream: DataFrame, label: str) -> DataFrame:
 @query(
     "t1_completion_stream",
     sql("""SELECT subject_id * 100 + day(ts) AS subject_id,
-          CASE WHEN count_if(status = 'ready' AND ts <= date_trunc('day', ts) + INTERVAL 12 HOUR) > 0
+          CASE WHEN count(*) FILTER (WHERE status = 'ready' AND ts <= date_trunc('day', ts) + INTERVAL 12 HOUR) > 0
                THEN 'done' ELSE 'timeout' END AS outcome
         FROM status_events GROUP BY 1"""),
 )
@@ -115,7 +115,10 @@ def first_requests(spark: SparkSession, sf: str) -> DataFrame:
 def continuous_ingest(spark: SparkSession, sf: str) -> DataFrame:
     inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "ingested")
     t.load(spark, sf, "documents").select("text", "lang").write.partitionBy("lang").text(inbox)
-    ingest_stream(spark, inbox, t.held(spark, sf), out, base_key="live").awaitTermination()
+    running = ingest_stream(
+        spark, inbox, t.held(spark, sf), out, base_key="live", flatten=False
+    )
+    running.awaitTermination()
     loaded = spark.read.parquet(out + "/outcomes").where("uploaded")
     lang = F.regexp_extract("path", "lang=([a-z]+)", 1)
     return loaded.groupBy(lang.alias("lang")).agg(F.sum("size").alias("bytes"))
