@@ -44,20 +44,18 @@ class ExtractRule:
 # ----- producing results ---------------------------------------------------------
 
 
-def run_extractor(
+def answer_documents(
     documents: DataFrame,
     rules: Sequence[ExtractRule],
     *,
     text_col: str = "text",
     id_col: str = "id",
     keep_unanswered: bool = False,
-    scale: int = NUMBER_SCALE,
-    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
-    """Run every rule over every whole text in one pass, and type the answers.
+    """One row per document: ``document_id, has_text, answers``.
 
-    A rule without a match gives no row, or a row without value when
-    ``keep_unanswered``.  No shuffle: one scan, one explode.
+    Every rule runs over the whole text in one scan, without a shuffle, and the
+    text does not travel further.
     """
     items = []
     for position, rule in enumerate(rules):
@@ -71,33 +69,58 @@ def run_extractor(
                 F.when(hit != "", hit).alias("raw_value"),
             )
         )
-    rows = documents.select(
-        F.col(id_col).alias("document_id"), F.explode(F.array(*items)).alias("item")
-    ).select("document_id", "item.*")
+    answers = F.array(*items)
     if not keep_unanswered:
-        rows = rows.where(F.col("raw_value").isNotNull())
-    # The data types are known here, so only the needed parsers enter the plan.
-    kinds = {kind: _ids_of(rules, kind) for kind in dict.fromkeys(r.data_type for r in rules)}
-    return _with_typed(rows, kinds, scale, date_formats)
-
-
-def _ids_of(rules: Sequence[ExtractRule], kind: str) -> list[int]:
-    return [rule.prompt_id for rule in rules if rule.data_type == kind]
+        answers = F.filter(answers, lambda item: item["raw_value"].isNotNull())
+    return documents.select(
+        F.col(id_col).alias("document_id"),
+        F.col(text_col).isNotNull().alias("has_text"),
+        answers.alias("answers"),
+    )
 
 
-def _with_typed(
-    rows: DataFrame, kinds: dict[str, list[int]], scale: int, date_formats: Sequence[str]
+def explode_answers(
+    answered: DataFrame,
+    rules: Sequence[ExtractRule],
+    *,
+    scale: int = NUMBER_SCALE,
+    date_formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
+    """Typed result rows out of :func:`answer_documents`."""
+    rows = answered.select("document_id", F.explode("answers").alias("item")).select(
+        "document_id", "item.*"
+    )
+    # The data types are known here, so only the needed parsers enter the plan.
     columns: dict[str, Column] = {}
-    for kind in kinds:
-        for name, expr in typed_fields(
-            F.col("raw_value"), kind, scale=scale, date_formats=date_formats
-        ).items():
+    for kind in dict.fromkeys(rule.data_type for rule in rules):
+        typed = typed_fields(F.col("raw_value"), kind, scale=scale, date_formats=date_formats)
+        for name, expr in typed.items():
             guarded = F.when(F.col("data_type") == kind, expr)
             columns[name] = F.coalesce(columns[name], guarded) if name in columns else guarded
     return rows.withColumns(columns)
 
 
+def run_extractor(
+    documents: DataFrame,
+    rules: Sequence[ExtractRule],
+    *,
+    text_col: str = "text",
+    id_col: str = "id",
+    keep_unanswered: bool = False,
+    scale: int = NUMBER_SCALE,
+    date_formats: Sequence[str] = DATE_FORMATS,
+) -> DataFrame:
+    """Run every rule over every whole text in one pass, and type the answers.
+
+    A rule without a match gives no row, or a row without value when
+    ``keep_unanswered``.
+    """
+    answered = answer_documents(
+        documents, rules, text_col=text_col, id_col=id_col, keep_unanswered=keep_unanswered
+    )
+    return explode_answers(answered, rules, scale=scale, date_formats=date_formats)
+
+
 def type_raw_values(
     results: DataFrame, *, scale: int = NUMBER_SCALE, date_formats: Sequence[str] = DATE_FORMATS
 ) -> DataFrame:

@@ -27,35 +27,37 @@ def folder_paths(folders: DataFrame, *, max_depth: int = MAX_DEPTH) -> DataFrame
     a tree deeper than ``max_depth``, raises ``ValueError``.
     """
     known = folders.select(F.col("id").alias("__known"))
-    state = folders.join(known, folders["parent_id"] == known["__known"], "left").select(
+    first = folders.join(known, folders["parent_id"] == known["__known"], "left").select(
         "id",
         F.col("__known").alias("up"),
         F.array("id").alias("path_ids"),
         F.array("name").alias("path_names"),
     )
+    is_open = F.col("up").isNotNull()
+    latest = materialize(first, "paths")
+    done = latest.where(~is_open)
     reach = 1
-    state = materialize(state, "paths")
-    while not state.where(F.col("up").isNotNull()).isEmpty():
+    while not latest.where(is_open).isEmpty():
         if reach > max_depth:
             raise ValueError(f"folder tree has a cycle or is deeper than {max_depth}")
-        upper = state.select(
+        waiting = latest.where(is_open)
+        upper = done.unionByName(waiting).select(
             F.col("id").alias("up"),
             F.col("up").alias("next_up"),
             F.col("path_ids").alias("upper_ids"),
             F.col("path_names").alias("upper_names"),
         )
-        # Finished folders do not take part in the join again.
-        done = state.where(F.col("up").isNull())
-        open_rows = state.where(F.col("up").isNotNull()).join(upper, "up", "left")
-        moved = open_rows.select(
+        moved = waiting.join(upper, "up", "left").select(
             "id",
             F.col("next_up").alias("up"),
             F.concat("upper_ids", "path_ids").alias("path_ids"),
             F.concat("upper_names", "path_names").alias("path_names"),
         )
-        state = materialize(done.unionByName(moved), "paths")
+        # Finished folders are not written again.
+        latest = materialize(moved, "paths")
+        done = done.unionByName(latest.where(~is_open))
         reach *= 2
-    return state.select("id", "path_ids", "path_names")
+    return done.select("id", "path_ids", "path_names")
 
 
 def folder_closure(paths: DataFrame) -> DataFrame:
@@ -168,7 +170,7 @@ def resolve_folder_paths(
     fresh = with_dense_ordinal(
         missing, [F.size("path_names"), F.col("path_names")], "id", start=next_id
     )
-    known = existing.unionByName(fresh)
+    known = materialize(existing.unionByName(fresh), "known")
     parents = known.select(
         F.col("path_names").alias("parent_names"), F.col("id").alias("parent_id")
     )
@@ -180,15 +182,20 @@ def resolve_folder_paths(
         "created",
     )
     whole = folders.unionByName(created, allowMissingColumns=True)
-    chains = folder_paths(whole, max_depth=max_depth)
-    leaf = chains.groupBy("path_names").agg(F.min_by("path_ids", "id").alias("path_ids"))
-    resolved = (
-        usable.join(leaf, "path_names", "left")
-        .withColumn("folder_ids", F.expr(f"slice(path_ids, {len(base_ids) + 1}, size(path_ids))"))
-        .withColumn("folder_names", F.expr(f"slice(path_names, {len(base_names) + 1}, size(path_names))"))
-        .drop("path_ids", "path_names")
+    # One row per distinct path and depth, looked up by its prefix.
+    steps = usable.select("path_names").distinct().select(
+        F.col("path_names").alias("leaf"), F.explode(depths).alias("depth")
     )
-    return ResolvedPaths(whole, created, resolved, invalid)
+    prefixes = steps.withColumn("path_names", F.slice("leaf", F.lit(1), F.col("depth")))
+    chains = (
+        prefixes.join(known, "path_names", "left")
+        .groupBy("leaf")
+        .agg(F.array_sort(F.collect_list(F.struct("depth", "id"))).alias("chain"))
+        .select(F.col("leaf").alias("path_names"), F.col("chain.id").alias("folder_ids"))
+    )
+    names = F.slice("path_names", F.lit(len(base_names) + 1), F.size("path_names"))
+    resolved = usable.join(chains, "path_names", "left").withColumn("folder_names", names)
+    return ResolvedPaths(whole, created, resolved.drop("path_names"), invalid)
 
 
 def leaf_folders(resolved: ResolvedPaths) -> DataFrame:

@@ -139,10 +139,11 @@ def with_duplicate_arrays(duplicates: Duplicates, *, inline_up_to: int = 1000) -
     """
     members = duplicates.members
     sizes = members.groupBy("md5").agg(F.count("*").alias("__n"))
-    small = sizes.where(F.col("__n") <= inline_up_to).select("md5")
+    # At most one in inline_up_to rows is a big content: the small side of the join.
+    big = sizes.where(F.col("__n") > inline_up_to).select("md5")
     fields = [c for c in members.columns if c != "md5"]
     arrays = (
-        members.join(small, "md5", "left_semi")
+        members.join(big, "md5", "left_anti")
         .groupBy("md5")
         .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("duplicates"))
     )

@@ -9,13 +9,19 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.enums import STEPS, is_terminal
 from docloom.operators.extraction import attach_results
 from docloom.operators.ordinals import with_dense_ordinal
-from docloom.operators.selectors import Catalog, combine, select_documents, touched_by
+from docloom.operators.selectors import (
+    Catalog,
+    combine,
+    select_documents,
+    selection_predicate,
+    touched_by,
+)
 from docloom.session import materialize
 
 #: Credits per page and step; prices are the caller's data, these only defaults.
@@ -88,42 +94,90 @@ class Estimates:
     reserved: DataFrame
 
 
-def _stack(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def reserve(catalog: Catalog, requests: Sequence[JobRequest]) -> DataFrame:
+    """``estimate_id, document_id, pages``: what each request selects.
 
-
-def estimate(
-    catalog: Catalog, requests: Sequence[JobRequest], *, rates: dict[str, int] = DEFAULT_RATES
-) -> Estimates:
-    """Price requests and snapshot the documents that each selects.
-
-    Every request is its own branch of one plan: its selection, which Spark
-    evaluates like any other query.
+    All requests that only look at the document's own row share one scan, which
+    tags each document with the requests that match it.  A request that needs a
+    join is a branch of its own.
     """
-    if not requests:
-        raise ValueError("estimate needs at least one request")
-    reserved, facts = [], []
+    pages = F.coalesce(F.ceil("page_count"), F.lit(0)).cast("long").alias("pages")
+    document = F.col("id").alias("document_id")
+    tags, branches = [], []
     for request in requests:
+        tag = F.lit(request.estimate_id())
+        own_row = selection_predicate(
+            catalog, request.selectors, document_ids=request.document_ids
+        )
+        if own_row is not None:
+            tags.append(F.when(own_row, tag))
+            continue
         chosen = select_documents(
             catalog, request.selectors, document_ids=request.document_ids, required=True
         )
-        tag = F.lit(request.estimate_id()).alias("estimate_id")
-        pages = F.coalesce(F.ceil("page_count"), F.lit(0)).cast("long")
-        reserved.append(chosen.select(tag, F.col("id").alias("document_id"), pages.alias("pages")))
-        priced = quote(chosen, request.step, prompts=request.prompts, rates=rates)
-        facts.append(
-            priced.select(
-                tag,
-                F.lit(request.step).alias("step"),
-                "total_credits",
-                "page_count",
-                "document_count",
-                F.lit(request.max_credits).cast("long").alias("max_credits"),
-                F.lit(request.project_id).cast("long").alias("project_id"),
-                F.lit(_selection_text(request)).alias("selectors"),
-            )
+        branches.append(chosen.select(tag.alias("estimate_id"), document, pages))
+    if tags:
+        matching = F.explode(F.array_compact(F.array(*tags))).alias("estimate_id")
+        branches.insert(0, catalog.documents.select(matching, document, pages))
+    return reduce(DataFrame.unionByName, branches)
+
+
+def _request_facts(
+    spark: SparkSession, requests: Sequence[JobRequest], rates: dict[str, int]
+) -> DataFrame:
+    rows = [
+        (
+            request.estimate_id(),
+            request.step,
+            page_credits(request.step, request.prompts, rates),
+            request.max_credits,
+            request.project_id,
+            _selection_text(request),
         )
-    return Estimates(_stack(facts), _stack(reserved))
+        for request in requests
+    ]
+    return spark.createDataFrame(
+        rows,
+        "estimate_id string, step string, page_credits long, max_credits long, "
+        "project_id long, selectors string",
+    )
+
+
+def price(
+    reserved: DataFrame, requests: Sequence[JobRequest], *, rates: dict[str, int] = DEFAULT_RATES
+) -> DataFrame:
+    """One row per request over its reserved documents; none selected costs nothing."""
+    totals = reserved.groupBy("estimate_id").agg(
+        F.sum("pages").alias("page_count"), F.count("*").alias("document_count")
+    )
+    facts = _request_facts(reserved.sparkSession, requests, rates)
+    return (
+        facts.join(totals, "estimate_id", "left")
+        .na.fill(0, ["page_count", "document_count"])
+        .select(
+            "estimate_id",
+            "step",
+            (F.col("page_count") * F.col("page_credits")).alias("total_credits"),
+            "page_count",
+            "document_count",
+            "max_credits",
+            "project_id",
+            "selectors",
+        )
+    )
+
+
+def estimate(
+    catalog: Catalog, requests: Sequence[JobRequest], *, rates: dict[str, int] = DEFAULT_RATES
+) -> Estimates:
+    """Snapshot the documents of each request and price the snapshot (runs a job)."""
+    if not requests:
+        raise ValueError("estimate needs at least one request")
+    ids = [request.estimate_id() for request in requests]
+    if len(set(ids)) < len(ids):
+        raise ValueError("two requests are the same; tell them apart with key")
+    reserved = materialize(reserve(catalog, requests), "reserved")
+    return Estimates(price(reserved, requests, rates=rates), reserved)
 
 
 def _selection_text(request: JobRequest) -> str | None:
@@ -204,15 +258,12 @@ def run_jobs(
 ) -> StartedJobs:
     """Estimate, gate and start many requests (runs jobs).
 
-    The snapshot is written before the gate looks at it, so the price and the
-    started documents are the same set.  ``strict`` raises on the first request
-    over its budget and starts nothing.
+    The price and the started documents come from one written snapshot.
+    ``strict`` raises on the first request over its budget and starts nothing.
     """
     priced = estimate(catalog, requests, rates=rates)
-    estimates = materialize(priced.estimates, "estimates")
-    gated = require_budget(estimates) if strict else budget_gate(estimates)
-    reserved = materialize(priced.reserved, "reserved")
-    return start_jobs(gated, reserved, first_id=first_id, created_at=created_at)
+    gated = require_budget(priced.estimates) if strict else budget_gate(priced.estimates)
+    return start_jobs(gated, priced.reserved, first_id=first_id, created_at=created_at)
 
 
 def roll_up_status(job_documents: DataFrame, jobs: DataFrame | None = None) -> DataFrame:

@@ -46,13 +46,18 @@ def replay_requests(requests: DataFrame, *, key: str = "key") -> DataFrame:
 
 
 def misused_keys(requests: DataFrame, *, key: str = "key") -> DataFrame:
-    """Keys that were used with more than one payload, and how many rows differ."""
-    judged = replay_requests(requests, key=key)
+    """Keys that were used with more than one payload, and how many rows differ.
+
+    Counted per key and payload first, so a hot key is combined before its shuffle.
+    """
+    per_payload = requests.groupBy(key, "payload_hash").agg(
+        F.count("*").alias("n"), F.min(F.struct("ts", "request_id")).alias("first")
+    )
     return (
-        judged.groupBy(key)
+        per_payload.groupBy(key)
         .agg(
-            F.count("*").alias("requests"),
-            F.count_if(F.col("outcome") == "rejected").alias("rejected"),
+            F.sum("n").alias("requests"),
+            (F.sum("n") - F.min_by("n", "first")).alias("rejected"),
         )
         .where(F.col("rejected") > 0)
     )

@@ -208,7 +208,7 @@ def _member(column: Column, values: Sequence[Any]) -> Column:
 
 def _id_set(documents: DataFrame, files: Sequence[int] | DataFrame) -> Column | DataFrame:
     if isinstance(files, DataFrame):
-        return files.select(F.col(files.columns[0]).cast("long").alias("document_id"))
+        return _ids(files.select(F.col(files.columns[0]).cast("long").alias("document_id")))
     if len(files) <= INLINE_IDS:
         return _member(F.col("id"), files)
     return documents.sparkSession.createDataFrame([(i,) for i in files], "document_id long")
@@ -227,10 +227,19 @@ def _created(selector: Selector, catalog: Catalog, how: Matching) -> Column:
     return _within(F.col("created_at"), _instant(low), _instant(high))
 
 
+def _ids(members: DataFrame) -> DataFrame:
+    """Distinct ids: combined before the shuffle that the join needs anyway.
+
+    A semi join cannot split a hot key on its right side, so the repeats of a
+    document go before they get there.
+    """
+    return members.select("document_id").distinct()
+
+
 def _tagged(selector: Selector, catalog: Catalog, how: Matching) -> DataFrame:
     tags = catalog.table("document_tags").where(_member(F.col("tag_id"), selector["tags"]))
     low, high = _instant(selector.get("tagged_from")), _instant(selector.get("tagged_to"))
-    return tags.where(_within(F.col("tagged_at"), low, high)).select("document_id")
+    return _ids(tags.where(_within(F.col("tagged_at"), low, high)))
 
 
 def _in_project(selector: Selector, catalog: Catalog, how: Matching) -> DataFrame:
@@ -238,12 +247,11 @@ def _in_project(selector: Selector, catalog: Catalog, how: Matching) -> DataFram
         F.col("project_id") == selector["project_id"]
     )
     low, high = _instant(selector.get("added_from")), _instant(selector.get("added_to"))
-    return members.where(_within(F.col("created_at"), low, high)).select("document_id")
+    return _ids(members.where(_within(F.col("created_at"), low, high)))
 
 
 def _touched(selector: Selector, catalog: Catalog, how: Matching) -> DataFrame:
-    touched = catalog.table("job_documents").where(_member(F.col("job_id"), selector["jobs"]))
-    return touched.select("document_id")
+    return _ids(catalog.table("job_documents").where(_member(F.col("job_id"), selector["jobs"])))
 
 
 def _under_folder(selector: Selector, catalog: Catalog, how: Matching) -> tuple[str, DataFrame]:
@@ -287,17 +295,61 @@ _COMPILERS: dict[str, Callable[[Selector, Catalog, Matching], _Compiled]] = {
 }
 
 
+def _matches(compiled: Column, keep: bool) -> Column:
+    # A null answer means "does not match", also under NOT.
+    return compiled if keep else ~F.coalesce(compiled, F.lit(False))
+
+
 def _apply(documents: DataFrame, compiled: _Compiled, keep: bool) -> DataFrame:
     if isinstance(compiled, Column):
-        # A null answer means "does not match", also under NOT.
-        matched = F.coalesce(compiled, F.lit(False))
-        return documents.where(compiled if keep else ~matched)
+        return documents.where(_matches(compiled, keep))
     key, members = compiled if isinstance(compiled, tuple) else ("id", compiled)
     members = members.toDF("__member")
     how = "left_semi" if keep else "left_anti"
     return documents.join(members, documents[key] == members["__member"], how)
 
 
+def _compile(
+    catalog: Catalog, selection: dict[str, list[Selector]], matching: Matching
+) -> list[tuple[_Compiled, bool]]:
+    """Column predicates first, so that each join sees as few rows as possible."""
+    steps = [
+        (_COMPILERS[selector["type"]](selector, catalog, matching), keep)
+        for part, keep in (("include", True), ("exclude", False))
+        for selector in selection[part]
+    ]
+    return sorted(steps, key=lambda step: not isinstance(step[0], Column))
+
+
+#: Kinds that look at nothing but the document's own row.
+_JOINED = {
+    "folderSubtreeSelector",
+    "tagSelector",
+    "projectSelector",
+    "jobSelector",
+    "hasChildrenSelector",
+}
+
+
+def selection_predicate(
+    catalog: Catalog,
+    selectors: dict[str, Any] | str | None = None,
+    *,
+    document_ids: Sequence[int] | DataFrame | None = None,
+    matching: Matching = Matching(),
+) -> Column | None:
+    """The selection as one column predicate, or None when it needs a join."""
+    selection = target_selection(selectors, document_ids, required=True)
+    for selector in selection["include"] + selection["exclude"]:
+        files = selector.get("files", ())
+        if selector["type"] in _JOINED or isinstance(files, DataFrame) or len(files) > INLINE_IDS:
+            return None
+    predicate = F.lit(True)
+    for compiled, keep in _compile(catalog, selection, matching):
+        predicate = predicate & _matches(compiled, keep)
+    return predicate
+
+
 def select_documents(
     catalog: Catalog,
     selectors: dict[str, Any] | str | None = None,
@@ -309,18 +361,12 @@ def select_documents(
     """The catalog's documents that a selection matches, each at most once.
 
     Without a selection (or with an empty one) every document matches; an empty
-    ``document_ids`` list matches none.  Column predicates are applied before
-    joins, so that each join sees as few rows as possible.
+    ``document_ids`` list matches none.
     """
     selection = target_selection(selectors, document_ids, required=required)
     documents = catalog.documents
     if selection is None:
         return documents
-    steps = [
-        (_COMPILERS[selector["type"]](selector, catalog, matching), keep)
-        for part, keep in (("include", True), ("exclude", False))
-        for selector in selection[part]
-    ]
-    for compiled, keep in sorted(steps, key=lambda step: not isinstance(step[0], Column)):
+    for compiled, keep in _compile(catalog, selection, matching):
         documents = _apply(documents, compiled, keep)
     return documents

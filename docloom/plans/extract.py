@@ -11,13 +11,21 @@ from pyspark.sql import functions as F
 
 from docloom.functions.enums import is_ready
 from docloom.operators import ingest as steps
-from docloom.operators.extraction import ExtractRule, KeyBy, flatten_values, run_extractor
+from docloom.operators.extraction import (
+    ExtractRule,
+    KeyBy,
+    answer_documents,
+    explode_answers,
+    flatten_values,
+)
 from docloom.operators.jobs import DEFAULT_RATES, JobRequest, roll_up_status, run_jobs
 from docloom.operators.projects import get_or_create_projects
-from docloom.operators.selectors import Catalog
+from docloom.operators.selectors import Catalog, select_documents
 from docloom.plans.ingest import ingest_files
 from docloom.session import materialize
 
+PAGE_CHARS = 3000
+
 
 class ExtractionFailed(RuntimeError):
     """No document to work on, or every document of the job failed."""
@@ -25,13 +33,17 @@ class ExtractionFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class ExtractResult:
-    """``job`` is one row; ``outcomes`` is there only when files were loaded."""
+    """Tables of one run; ``outcomes`` is there only when files were loaded.
+
+    ``job`` is one row, ``documents`` the ids it touched with their status.
+    """
 
     job: DataFrame
     documents: DataFrame
     results: DataFrame
     values: DataFrame
     outcomes: DataFrame | None = None
+    new_documents: DataFrame | None = None
     project_documents: DataFrame | None = None
 
 
@@ -46,6 +58,7 @@ def extract(
     project_name: str | None = None,
     projects: DataFrame | None = None,
     flatten: bool = True,
+    max_size: int | None = None,
     max_credits: int | None = None,
     rates: dict[str, int] = DEFAULT_RATES,
     key_by: KeyBy = "name",
@@ -60,40 +73,39 @@ def extract(
     document that has the name; without any id nothing is priced.  The budget is
     checked before the job starts.  A failed job raises unless told otherwise, a
     partial success returns.  A document without text fails.
+
+    Texts are read where they lie: each is scanned once, and only the short
+    answers are shuffled, joined and written.
     """
     if sum(x is not None for x in (files, document_ids, selectors)) != 1:
         raise ValueError("give exactly one of files, document_ids and selectors")
     if files is None and project_name is not None:
         raise ValueError("project_name needs files; give project_id instead")
+    if project_name is not None and projects is None:
+        raise ValueError("project_name needs the projects table")
 
-    outcomes = members = None
+    held = catalog.documents
+    outcomes = loaded = members = None
     if files is not None:
-        held = catalog.documents
-        loaded = ingest_files(files, held, base_key=base_key, flatten=flatten)
-        outcomes = loaded.outcomes
+        pages = F.greatest(F.lit(1), F.ceil(F.length("text") / PAGE_CHARS)).alias("page_count")
+        plain = files.select("path", "size", "md5", "folder_id", pages)
+        ingested = ingest_files(
+            plain, held, base_key=base_key, flatten=flatten, max_size=max_size
+        )
+        outcomes = ingested.outcomes
         document_ids = steps.document_ids(outcomes).distinct()
         if document_ids.isEmpty():
             raise ExtractionFailed("no documents to process: every file was rejected")
-        fresh = loaded.documents.join(
-            outcomes.where("uploaded").select(
-                F.col("document_id").alias("id"), "text",
-                F.greatest(F.lit(1), F.ceil(F.length("text") / 3000)).alias("page_count"),
-            ),
-            "id",
+        loaded = outcomes.where("uploaded").select(
+            F.col("document_id").alias("id"), "page_count", F.lit("ready").alias("status"), "path"
         )
+        priced = [c for c in ("id", "page_count", "status") if c in held.columns]
         catalog = replace(
-            catalog,
-            documents=held.unionByName(
-                fresh.select(*[c for c in held.columns if c in fresh.columns]),
-                allowMissingColumns=True,
-            ),
+            catalog, documents=held.select(*priced).unionByName(loaded.select(*priced))
         )
         if project_name is not None:
-            if projects is None:
-                raise ValueError("project_name needs the projects table")
             names = files.sparkSession.createDataFrame([(project_name,)], "name string")
-            resolved = get_or_create_projects(projects, names).resolved
-            project_id = resolved.first()["id"]
+            project_id = get_or_create_projects(projects, names).resolved.first()["id"]
         if project_id is not None:
             members = steps.pin_project(outcomes, project_id)
 
@@ -107,28 +119,44 @@ def extract(
         key=base_key,
     )
     started = run_jobs(catalog, [request], rates=rates, strict=True)
-    touched = catalog.documents.join(
-        started.job_documents.select(F.col("document_id").alias("id")), "id", "left_semi"
-    )
-    if "status" in touched.columns:
-        waiting = touched.where(~is_ready(F.col("status")))
-        if not waiting.isEmpty():
+    reserved = started.job_documents.select("document_id")
+    if "status" in held.columns:
+        ids = reserved.select(F.col("document_id").alias("id"))
+        chosen = held.select("id", "status").join(ids, "id", "left_semi")
+        if not chosen.where(~is_ready(F.col("status"))).isEmpty():
             raise ExtractionFailed("some documents are not ready")
-    results = materialize(run_extractor(touched, rules), "results")
 
-    finished = touched.select(
-        F.lit(1).cast("long").alias("job_id"),
-        F.when(F.col("text").isNull(), "failed").otherwise("completed").alias("status"),
-    )
-    counts = roll_up_status(finished, started.jobs)
-    job = started.jobs.drop("total_docs", "completed_docs", "error_count", "status").join(
-        counts.withColumnRenamed("job_id", "id"), "id"
+    if selectors is not None:
+        # The selection again, so that its predicates prune the text scan; the
+        # snapshot then decides which answers count.
+        sources = select_documents(replace(catalog, documents=held), selectors)
+        answered = answer_documents(sources, rules).join(reserved, "document_id", "left_semi")
+    else:
+        ids = reserved.select(F.col("document_id").alias("id"))
+        answered = answer_documents(held.join(ids, "id", "left_semi"), rules)
+        if files is not None:
+            by_path = answer_documents(files, rules, id_col="path")
+            fresh = loaded.select("path", F.col("id").alias("new_id"))
+            answered = answered.unionByName(
+                by_path.join(fresh, by_path["document_id"] == fresh["path"]).select(
+                    F.col("new_id").alias("document_id"), "has_text", "answers"
+                )
+            )
+    answered = materialize(answered, "answers")
+    results = explode_answers(answered, rules)
+    finished = F.when(F.col("has_text"), "completed").otherwise("failed").alias("status")
+    documents = answered.select("document_id", finished)
+
+    counts = roll_up_status(documents.withColumn("job_id", F.lit(1).cast("long")), started.jobs)
+    stale = ("total_docs", "completed_docs", "error_count", "status")
+    job = materialize(
+        started.jobs.drop(*stale).join(counts.withColumnRenamed("job_id", "id"), "id"), "job"
     )
-    job = materialize(job, "job")
     if raise_on_failure and job.first()["status"] == "failed":
         raise ExtractionFailed("the extraction job failed")
-    values = flatten_values(results, documents=touched.select("id"), key_by=key_by, strict=True)
-    return ExtractResult(job, touched, results, values, outcomes, members)
+    ids = documents.select(F.col("document_id").alias("id"))
+    values = flatten_values(results, documents=ids, key_by=key_by, strict=True)
+    return ExtractResult(job, documents, results, values, outcomes, loaded, members)
 
 
 def uncovered_files(outcomes: DataFrame, values: DataFrame) -> DataFrame:

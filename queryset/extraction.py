@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docloom.functions.values import number_text
 from docloom.operators import extraction as ex
 from docloom.operators.selectors import Catalog, classified, combine, select_documents, sized_between
+from docloom.session import materialize
 from queryset import tables as t
 from queryset.registry import query
 from queryset.tables import sql, sql_number
@@ -20,6 +21,11 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
     return ex.run_extractor(t.docs(spark, sf), t.RULES, scale=t.WIDE_SCALE)
 
 
+def stored_results(spark: SparkSession, sf: str) -> DataFrame:
+    """The results as a stored table, for queries that read it more than once."""
+    return materialize(results(spark, sf), "results")
+
+
 @query(
     "flagship_extract_values",
     sql(
@@ -159,7 +165,7 @@ def key_collisions(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def flatten(spark: SparkSession, sf: str) -> DataFrame:
-    flat = ex.flatten_values(results(spark, sf), documents=t.docs(spark, sf))
+    flat = ex.flatten_values(stored_results(spark, sf), documents=t.docs(spark, sf))
     return flat.select("document_id", "field_key", "value")
 
 
@@ -223,7 +229,7 @@ def last_per_prompt(spark: SparkSession, sf: str) -> DataFrame:
 )
 def pending(spark: SparkSession, sf: str) -> DataFrame:
     documents = t.docs(spark, sf, labels=True)
-    found = ex.run_extractor(documents, t.RULES, scale=t.WIDE_SCALE)
+    found = stored_results(spark, sf)
     rows = ex.with_pending_placeholders(documents, found, [1, 2, 3])
     return rows.select("document_id", "prompt_id", "raw_value", "is_processing")
 
@@ -349,7 +355,7 @@ def splitter_step(spark: SparkSession, sf: str) -> DataFrame:
 )
 def projection_by_prompts(spark: SparkSession, sf: str) -> DataFrame:
     documents = t.docs(spark, sf).select("id", "name")
-    joined = ex.attach_results(documents, results(spark, sf), [1, 2])
+    joined = ex.attach_results(documents, stored_results(spark, sf), [1, 2])
     return joined.select("id", "name", "prompt_id", "raw_value")
 
 

@@ -12,7 +12,7 @@ from docloom.operators.selectors import (
 )
 from docloom.plans.extract import ExtractResult, extract, uncovered_files
 from queryset import tables as t
-from queryset.extraction import results
+from queryset.extraction import stored_results
 from queryset.registry import query
 from queryset.tables import sql
 
@@ -110,7 +110,7 @@ def status_roll_up(spark: SparkSession, sf: str) -> DataFrame:
 )
 def job_results(spark: SparkSession, sf: str) -> DataFrame:
     catalog = Catalog(t.docs(spark, sf), job_documents=t.job_documents(spark, sf))
-    rows = j.job_results(catalog, list(range(1, 13)), results(spark, sf), [1, 2, 3])
+    rows = j.job_results(catalog, list(range(1, 13)), stored_results(spark, sf), [1, 2, 3])
     return rows.select("id", "prompt_id", "raw_value")
 
 
