@@ -333,9 +333,9 @@ def apply_folder_changes(folders: DataFrame, changes: DataFrame) -> FolderChange
     """Apply creates and renames from a change table ``change_id, action, id, name, parent_id``.
 
     ``action`` is ``create`` or ``rename`` (``id`` names the folder).  A change whose
-    name is taken by a sibling that stays, or by an earlier change (smaller
+    name is taken by a sibling in ``folders``, or by an earlier change (smaller
     ``change_id``) for the same place, is a conflict row and is not applied; a
-    rename of an unknown folder is one too.  New ids follow the largest id in
+    rename of an unknown folder is one too, a rename to the same name is none.  New ids follow the largest id in
     ``change_id`` order (this runs a job).
     """
     current = folders.select(
@@ -366,11 +366,10 @@ def apply_folder_changes(folders: DataFrame, changes: DataFrame) -> FolderChange
         )
         place = F.col("parent_id").eqNullSafe(F.col("__p")) & (F.col("name") == F.col("__n"))
         judged = judged.join(other, place, "left").drop("__p", "__n")
-    clash = (
-        F.col("unknown")
-        | (F.coalesce(F.col("taken"), F.lit(False)) & ~F.col("unchanged"))
-        | (F.col("change_id") > F.col("first_change"))
+    occupied = F.coalesce(F.col("taken"), F.lit(False)) | (
+        F.col("change_id") > F.col("first_change")
     )
+    clash = F.col("unknown") | (~F.col("unchanged") & occupied)
     judged = materialize(judged.withColumn("conflict", clash), "folder-changes")
     good = judged.where(~F.col("conflict"))
     next_id = (folders.agg(F.max("id")).first()[0] or 0) + 1

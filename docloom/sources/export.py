@@ -17,8 +17,12 @@ def wide_table(flat: DataFrame, fields: Sequence[tuple[str, str]] | None = None)
     """
     pairs = field_columns(flat) if fields is None else sorted(fields, key=lambda p: (p[1], p[0]))
     wide = pivot_values(flat, pairs)
-    names = [c for c in wide.columns if c != "document_id"]
-    return wide.select("document_id", *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names])
+    cells = []
+    for name in wide.columns:
+        if name != "document_id":
+            quoted = "`" + name.replace("`", "``") + "`"
+            cells.append(F.coalesce(F.col(quoted), F.lit("")).alias(name))
+    return wide.select("document_id", *cells)
 
 
 def write_wide_csv(
