@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from py4j.protocol import Py4JJavaError
+import pandas as pd
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,20 +21,31 @@ def _uri(path: str) -> str:
     return path if "://" in path or path.startswith("file:/") else "file:" + path
 
 
-def _hidden_roots(spark: SparkSession, base: str, max_depth: int = 64) -> list[str]:
-    """Entries that Spark's own listing leaves out: ``_name`` and ``.name``, at any depth.
+@dataclass(frozen=True)
+class _Hidden:
+    """What Spark's own listing leaves out: ``_name`` and ``.name`` at any depth."""
 
-    Given to the reader as explicit paths they are read like all others.  Found
-    level by level with the file system's glob, which hides nothing.
+    directories: list[str]
+    files: list[tuple[str, int]]
+
+
+def _hidden_entries(spark: SparkSession, base: str, max_depth: int = 64) -> _Hidden:
+    """Found level by level with the file system's glob, which hides nothing.
+
+    Files with a leading dot are not listed: a manifest leaves them out anyway.
     """
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found: list[str] = []
+    found = _Hidden([], [])
     level = base
     for _ in range(max_depth):
-        hidden = fs.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/[._]*")) or []
-        found.extend(status.getPath().toString() for status in hidden)
+        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/[._]*")) or []:
+            path = status.getPath()
+            if status.isDirectory():
+                found.directories.append(path.toString())
+            elif not path.getName().startswith("."):
+                found.files.append((path.toString(), status.getLen()))
         below = fs.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/*")) or []
         if not any(status.isDirectory() for status in below):
             return found
@@ -38,8 +53,35 @@ def _hidden_roots(spark: SparkSession, base: str, max_depth: int = 64) -> list[s
     raise ValueError(f"{base} is nested deeper than {max_depth} levels")
 
 
-def _read(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.format("binaryFile").options(**_READER_OPTIONS).load(list(paths))
+def _read(spark: SparkSession, paths: Sequence[str], with_md5: bool) -> DataFrame:
+    files = spark.read.format("binaryFile").options(**_READER_OPTIONS).load(list(paths))
+    columns = [_plain_column(F.col("path")).alias("path"), F.col("length").alias("size")]
+    return files.select(*columns, *([F.md5("content").alias("md5")] if with_md5 else []))
+
+
+def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        hashes = []
+        for path in batch["path"]:
+            system, place = pyarrow.fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1))
+            digest = hashlib.md5(usedforsecurity=False)
+            with system.open_input_stream(place) as stream:
+                while chunk := stream.read(1 << 20):
+                    digest.update(chunk)
+            hashes.append(digest.hexdigest())
+        yield batch.assign(md5=hashes)
+
+
+def _read_named(
+    spark: SparkSession, sized: Sequence[tuple[str, int]], with_md5: bool
+) -> DataFrame:
+    """Files that the reader refuses even by explicit path; hashed in the tasks."""
+    rows = [(_plain(path), size) for path, size in sized]
+    files = spark.createDataFrame(rows, "path string, size long")
+    if not with_md5:
+        return files
+    spread = files.repartition(min(len(rows), 1000))
+    return spread.mapInPandas(_hash_files, "path string, size long, md5 string")
 
 
 def file_manifest(
@@ -58,16 +100,15 @@ def file_manifest(
     listing leaves out.  Order it with :func:`manifest_order`.
     """
     root = _uri(base.rstrip("/"))
-    frames = [_read(spark, [root])]
-    hidden = _hidden_roots(spark, root) if include_hidden else []
-    if hidden:
-        frames.append(_read(spark, hidden))
-    columns = ["path", F.col("length").alias("size")]
-    if with_md5:
-        columns.append(F.md5("content").alias("md5"))
-    files = frames[0].select(*columns)
-    for extra in frames[1:]:
-        files = files.unionByName(extra.select(*columns)).dropDuplicates(["path"])
+    files = _read(spark, [root], with_md5)
+    if include_hidden:
+        hidden = _hidden_entries(spark, root)
+        if hidden.directories:
+            files = files.unionByName(_read(spark, hidden.directories, with_md5))
+        if hidden.files:
+            files = files.unionByName(_read_named(spark, hidden.files, with_md5))
+        if hidden.directories or hidden.files:
+            files = files.dropDuplicates(["path"])
     files = files.withColumn("rel_path", relative_path(F.col("path"), base))
     own_name = F.substring_index("rel_path", "/", -1)
     return files.where(F.col("rel_path").rlike(glob_regex(pattern)) & ~own_name.startswith("."))
@@ -107,16 +148,29 @@ def listed_files(
     if not paths:
         raise ValueError("give at least one file")
     uris = [_uri(p) for p in paths]
-    try:
-        files = _read(spark, uris)
-    except Py4JJavaError as error:
-        raise FileNotFoundError(str(error)) from error
-    columns = ["path", F.col("length").alias("size")]
-    if with_md5:
-        columns.append(F.md5("content").alias("md5"))
+    named = [u for u in uris if u.rsplit("/", 1)[-1].startswith(("_", "."))]
+    parts = []
+    if len(named) < len(uris):
+        plain = [u for u in dict.fromkeys(uris) if u not in set(named)]
+        parts.append(_read(spark, plain, with_md5))
+    if named:
+        parts.append(_read_named(spark, _sized(spark, named), with_md5))
+    files = reduce(DataFrame.unionByName, parts).dropDuplicates(["path"])
     given = spark.createDataFrame(
         list(zip(map(_plain, uris), paths, range(len(paths)), strict=True)),
         "path string, given string, position long",
     )
-    files = files.select(*columns).dropDuplicates(["path"]).withColumn("path", _plain_column(F.col("path")))
     return given.join(files, "path")
+
+
+def _sized(spark: SparkSession, uris: Sequence[str]) -> list[tuple[str, int]]:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sizes = []
+    for uri in dict.fromkeys(uris):
+        path = jvm.org.apache.hadoop.fs.Path(uri)
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            raise FileNotFoundError(uri)
+        sizes.append((uri, fs.getFileStatus(path).getLen()))
+    return sizes
