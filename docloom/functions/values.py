@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -29,16 +30,23 @@ def parse_number(raw: Column, scale: int = NUMBER_SCALE) -> Column:
 
     ``$`` and ``,`` are ignored.  A number with more digits than the type holds
     on either side of the point is not rounded: it stays null here and
-    :func:`number_overflow` is true for it.
+    :func:`is_number_text` tells it from other texts.
     """
     digits = _plain_digits(raw)
-    fits = digits.rlike(_PLAIN_NUMBER) & ~digits.rlike(rf"[.][0-9]{{{scale}}}[0-9]*[1-9]")
+    exact = (F.length(digits) <= scale) | ~digits.rlike(rf"[.][0-9]{{{scale}}}[0-9]*[1-9]")
+    fits = digits.rlike(_PLAIN_NUMBER) & exact
     return F.when(fits, digits.try_cast(T.DecimalType(38, scale)))
 
 
-def number_overflow(raw: Column, scale: int = NUMBER_SCALE) -> Column:
-    """True when the text is a number that the decimal type cannot hold exactly."""
-    return _plain_digits(raw).rlike(_PLAIN_NUMBER) & parse_number(raw, scale).isNull()
+def is_number_text(raw: Column) -> Column:
+    """True for a text that is a plain number of any size."""
+    return _plain_digits(raw).rlike(_PLAIN_NUMBER)
+
+
+def number_overflow(data_type: Column, number: Column, raw: Column) -> Column:
+    """True for a number text that the decimal column could not hold exactly."""
+    left_out = (data_type == "Number") & number.isNull() & is_number_text(raw)
+    return F.coalesce(left_out, F.lit(False))
 
 
 def parse_bool(raw: Column) -> Column:
@@ -46,9 +54,31 @@ def parse_bool(raw: Column) -> Column:
     return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
 
 
+def _date_shape(fmt: str) -> str | None:
+    """Pattern of the texts a numeric date format can read; None for other formats."""
+    if re.search(r"[^yMd\W_]", fmt):
+        return None
+    parts = re.findall(r"y+|M+|d+|.", fmt)
+    if any(len(part) > 2 for part in parts if part[0] in "Md"):
+        return None
+    digits = {1: "[0-9]+", 2: "[0-9]{2}", 4: "[0-9]{4}"}
+    shape = [
+        digits.get(len(part), "[0-9]+") if part[0] in "yMd" else re.escape(part) for part in parts
+    ]
+    return "^" + "".join(shape) + "$"
+
+
 def parse_date(raw: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """First date that one of the formats reads.
+
+    A text of another shape is not handed to the parser, whose failures are slow.
+    """
     text = F.trim(raw)
-    tries = [F.try_to_timestamp(text, F.lit(fmt)).cast("date") for fmt in formats]
+    tries = []
+    for fmt in formats:
+        parsed = F.try_to_timestamp(text, F.lit(fmt)).cast("date")
+        shape = _date_shape(fmt)
+        tries.append(parsed if shape is None else F.when(text.rlike(shape), parsed))
     return F.coalesce(*tries)
 
 
@@ -59,7 +89,7 @@ def typed_fields(
     scale: int = NUMBER_SCALE,
     date_formats: Sequence[str] = DATE_FORMATS,
 ) -> dict[str, Column]:
-    """The four typed columns and the overflow flag for one known data type.
+    """The four typed columns for one known data type.
 
     At most one typed column is non-null; an unknown data type sets none.
     """
@@ -69,13 +99,11 @@ def typed_fields(
         "value_number": F.lit(None).cast(number),
         "value_bool": F.lit(None).cast("boolean"),
         "value_date": F.lit(None).cast("date"),
-        "number_overflow": F.lit(False),
     }
     if data_type == "String":
         out["value_text"] = raw
     elif data_type == "Number":
         out["value_number"] = parse_number(raw, scale)
-        out["number_overflow"] = F.coalesce(number_overflow(raw, scale), F.lit(False))
     elif data_type == "Boolean":
         out["value_bool"] = parse_bool(raw)
     elif data_type == "Date":
@@ -96,9 +124,6 @@ def typed_fields_by_column(
         "value_number": F.when(data_type == "Number", parse_number(raw, scale)),
         "value_bool": F.when(data_type == "Boolean", parse_bool(raw)),
         "value_date": F.when(data_type == "Date", parse_date(raw, date_formats)),
-        "number_overflow": F.coalesce(
-            (data_type == "Number") & number_overflow(raw, scale), F.lit(False)
-        ),
     }
 
 

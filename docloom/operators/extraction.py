@@ -20,12 +20,14 @@ from docloom.functions.values import (
     DATE_FORMATS,
     display_value,
     fields_of,
+    number_overflow,
     typed_fields,
     typed_fields_by_column,
     value_type,
 )
 from docloom.operators.joins import one_to_many
 from docloom.schemas import NUMBER_SCALE
+from docloom.session import spread_if_small
 
 KeyBy = Literal["name", "prompt_id"]
 
@@ -54,29 +56,23 @@ def answer_documents(
 ) -> DataFrame:
     """One row per document: ``document_id, has_text, answers``.
 
-    Every rule runs over the whole text in one scan, without a shuffle, and the
-    text does not travel further.
+    Every rule runs once over the whole text in one scan, without a shuffle; the
+    text does not travel further.  ``answers`` holds rule position and raw text.
     """
-    items = []
-    for position, rule in enumerate(rules):
-        hit = F.regexp_extract(F.col(text_col), rule.pattern, rule.group)
-        items.append(
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(rule.prompt_id).cast("long").alias("prompt_id"),
-                F.lit(rule.name).cast("string").alias("name"),
-                F.lit(rule.data_type).alias("data_type"),
-                F.when(hit != "", hit).alias("raw_value"),
-            )
-        )
-    answers = F.array(*items)
+    hits = F.array(*[F.regexp_extract(F.col(text_col), r.pattern, r.group) for r in rules])
+    answers = F.transform(
+        F.col("hits"),
+        lambda hit, place: F.struct(
+            place.cast("int").alias("position"), F.when(hit != "", hit).alias("raw_value")
+        ),
+    )
     if not keep_unanswered:
         answers = F.filter(answers, lambda item: item["raw_value"].isNotNull())
-    return documents.select(
-        F.col(id_col).alias("document_id"),
-        F.col(text_col).isNotNull().alias("has_text"),
-        answers.alias("answers"),
+    wanted = documents.select(F.col(id_col).alias("document_id"), text_col)
+    scanned = spread_if_small(wanted).select(
+        "document_id", F.col(text_col).isNotNull().alias("has_text"), hits.alias("hits")
     )
+    return scanned.select("document_id", "has_text", answers.alias("answers"))
 
 
 def explode_answers(
@@ -87,8 +83,20 @@ def explode_answers(
     date_formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """Typed result rows out of :func:`answer_documents`."""
-    rows = answered.select("document_id", F.explode("answers").alias("item")).select(
-        "document_id", "item.*"
+    def per_rule(values: list, kind: str) -> Column:
+        table = F.array(*[F.lit(value).cast(kind) for value in values])
+        return F.element_at(table, F.col("item.position") + 1)
+
+    # The outer form, because for a plain explode the optimizer filters on the size of
+    # the array below it, which would run all patterns a second time.
+    exploded = answered.select("document_id", F.explode_outer("answers").alias("item"))
+    rows = exploded.where(F.col("item").isNotNull()).select(
+        "document_id",
+        "item.position",
+        per_rule([r.prompt_id for r in rules], "long").alias("prompt_id"),
+        per_rule([r.name for r in rules], "string").alias("name"),
+        per_rule([r.data_type for r in rules], "string").alias("data_type"),
+        "item.raw_value",
     )
     # The data types are known here, so only the needed parsers enter the plan.
     columns: dict[str, Column] = {}
@@ -97,7 +105,12 @@ def explode_answers(
         for name, expr in typed.items():
             guarded = F.when(F.col("data_type") == kind, expr)
             columns[name] = F.coalesce(columns[name], guarded) if name in columns else guarded
-    return rows.withColumns(columns)
+    return _with_overflow(rows.withColumns(columns))
+
+
+def _with_overflow(typed: DataFrame) -> DataFrame:
+    flag = number_overflow(F.col("data_type"), F.col("value_number"), F.col("raw_value"))
+    return typed.withColumn("number_overflow", flag)
 
 
 def run_extractor(
@@ -125,11 +138,10 @@ def type_raw_values(
     results: DataFrame, *, scale: int = NUMBER_SCALE, date_formats: Sequence[str] = DATE_FORMATS
 ) -> DataFrame:
     """Fill the typed columns of a result table from ``raw_value`` and ``data_type``."""
-    return results.withColumns(
-        typed_fields_by_column(
-            F.col("raw_value"), F.col("data_type"), scale=scale, date_formats=date_formats
-        )
+    typed = typed_fields_by_column(
+        F.col("raw_value"), F.col("data_type"), scale=scale, date_formats=date_formats
     )
+    return _with_overflow(results.withColumns(typed))
 
 
 #: A user extractor: texts in, one raw answer (or None) per text.
@@ -208,7 +220,8 @@ def run_classifier(
     best = F.array_max(F.array(*candidates))
     hit = F.col("__best.score") > 0
     return (
-        documents.withColumn("__best", best)
+        spread_if_small(documents)
+        .withColumn("__best", best)
         .withColumn("document_class", F.when(hit, F.col("__best.name")))
         .withColumn("document_subclass", F.when(hit, F.col("__best.subclass")))
         .drop("__best")
@@ -258,7 +271,8 @@ def run_splitter(
     """
     pieces = documents.select(
         F.col(id_col).alias("source_document"),
-        F.posexplode(F.split(F.col(text_col), boundary, -1)).alias("position", text_col),
+        # Outer, like above: the plain form would split every text twice.
+        F.posexplode_outer(F.split(F.col(text_col), boundary, -1)).alias("position", text_col),
     ).where(F.trim(F.col(text_col)) != "")
     child = F.lit(first_id).cast("long") + F.col("source_document") * stride + F.col("position")
     too_many = F.raise_error(

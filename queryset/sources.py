@@ -164,7 +164,9 @@ def open_enum(spark: SparkSession, sf: str) -> DataFrame:
 def wide_csv(spark: SparkSession, sf: str) -> DataFrame:
     flat = flatten_values(results(spark, sf).where(F.col("prompt_id").isin(1, 2, 5)))
     path = scratch_path(spark, "csv")
-    export.write_wide_csv(flat, path)
+    # Named fields, so that the columns do not depend on which prompts had hits.
+    fields = [("name", "email"), ("name", "ipv4"), ("name", "token")]
+    export.write_wide_csv(flat, path, fields)
     back = spark.read.option("header", True).option("emptyValue", "").csv(path)
     return back.na.fill("")
 
