@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.names import final_component
+from docloom.operators.joins import settled
 
 
 def plan_downloads(
@@ -33,11 +34,12 @@ def plan_downloads(
         .groupBy("target_name")
         .agg(F.min("id").alias("first_id"))
     )
-    plan = plan.join(first, "target_name", "left")
+    plan = plan.join(settled(first), "target_name", "left")
     taken = F.lit(False)
     if existing is not None and not overwrite:
         present = existing.select(F.col(existing.columns[0]).alias("target_name")).distinct()
-        plan = plan.join(present.withColumn("__taken", F.lit(True)), "target_name", "left")
+        present = settled(present.withColumn("__taken", F.lit(True)))
+        plan = plan.join(present, "target_name", "left")
         taken = F.coalesce(F.col("__taken"), F.lit(False))
     outcome = (
         F.when(F.col("target_name").isNull(), "invalid")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.names import folder_segments, is_blank_folder_path
+from docloom.operators.joins import settled
 from docloom.operators.ordinals import with_dense_ordinal
 from docloom.session import materialize
 
@@ -194,7 +195,7 @@ def resolve_folder_paths(
         .select(F.col("leaf").alias("path_names"), F.col("chain.id").alias("folder_ids"))
     )
     names = F.slice("path_names", F.lit(len(base_names) + 1), F.size("path_names"))
-    resolved = usable.join(chains, "path_names", "left").withColumn("folder_names", names)
+    resolved = usable.join(settled(chains), "path_names", "left").withColumn("folder_names", names)
     return ResolvedPaths(whole, created, resolved.drop("path_names"), invalid)
 
 
@@ -271,8 +272,8 @@ def move_folders(
         .otherwise("moved")
     )
     classified = (
-        rows.join(first_of_name, "name", "left")
-        .join(siblings, "name", "left")
+        rows.join(settled(first_of_name), "name", "left")
+        .join(settled(siblings), "name", "left")
         .select("id", "name", outcome.alias("outcome"))
     )
     moved = classified.where(F.col("outcome") == "moved").select("id", F.lit(True).alias("__moved"))
@@ -365,7 +366,7 @@ def apply_folder_changes(folders: DataFrame, changes: DataFrame) -> FolderChange
             F.col("parent_id").alias("__p"), F.col("name").alias("__n"), F.col(flag)
         )
         place = F.col("parent_id").eqNullSafe(F.col("__p")) & (F.col("name") == F.col("__n"))
-        judged = judged.join(other, place, "left").drop("__p", "__n")
+        judged = judged.join(settled(other), place, "left").drop("__p", "__n")
     occupied = F.coalesce(F.col("taken"), F.lit(False)) | (
         F.col("change_id") > F.col("first_change")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions.enums import DUPLICATE_POLICIES
 from docloom.functions.names import guess_content_type
+from docloom.operators.joins import settled
 from docloom.operators.ordinals import with_dense_ordinal
 
 #: Fixed limit of files in one batch.
@@ -120,9 +121,9 @@ def match_duplicates(incoming: DataFrame, catalog: DataFrame) -> Duplicates:
     per_content = held.groupBy("md5").agg(
         F.count("*").alias("duplicate_count"), F.min("id").alias("first_duplicate_id")
     )
-    files = incoming.join(per_content, "md5", "left").na.fill(0, ["duplicate_count"])
+    files = incoming.join(settled(per_content), "md5", "left").na.fill(0, ["duplicate_count"])
     keep = ["file_size", "page_count", "created_at"]
-    members = held.join(incoming.select("md5").distinct(), "md5", "left_semi").select(
+    members = held.join(settled(incoming.select("md5").distinct()), "md5", "left_semi").select(
         "md5",
         F.col("id").alias("document_id"),
         "name",
@@ -143,11 +144,11 @@ def with_duplicate_arrays(duplicates: Duplicates, *, inline_up_to: int = 1000) -
     big = sizes.where(F.col("__n") > inline_up_to).select("md5")
     fields = [c for c in members.columns if c != "md5"]
     arrays = (
-        members.join(big, "md5", "left_anti")
+        members.join(settled(big), "md5", "left_anti")
         .groupBy("md5")
         .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("duplicates"))
     )
-    joined = duplicates.files.join(arrays, "md5", "left")
+    joined = duplicates.files.join(settled(arrays), "md5", "left")
     none = F.when(F.col("duplicate_count") == 0, F.expr("array()").cast(arrays.schema["duplicates"].dataType))
     return joined.withColumn("duplicates", F.coalesce("duplicates", none))
 
@@ -177,7 +178,7 @@ def upload_outcomes(
     place = F.col("folder_id").eqNullSafe(F.col("__folder")) & (
         F.col("file_name") == F.col("__name")
     )
-    rows = files.join(holders, place, "left").drop("__folder", "__name")
+    rows = files.join(settled(holders), place, "left").drop("__folder", "__name")
     has_file = F.col("has_file") if "has_file" in files.columns else F.lit(True)
 
     clash = F.col("holder_id").isNotNull()

@@ -5,6 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def settled(reduced: DataFrame) -> DataFrame:
+    """End the stage of an aggregate that is about to be joined back on its own key.
+
+    Joined directly, the aggregate and the join share one shuffle.  That saves a
+    step but ties both sides to it: adaptive execution can then neither measure
+    the reduced side and broadcast it when it is small, nor split a hot key on the
+    other side.  Moving the reduced rows, one per key, once more allows both.
+    """
+    return reduced.hint("rebalance")
+
+
 def one_to_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     """Left join of a table with unique ``key`` to a table with many rows per key.
 

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.operators.joins import settled
 from docloom.operators.ordinals import with_dense_ordinal
 from docloom.operators.selectors import Catalog, select_documents
 
@@ -67,7 +68,7 @@ def create_projects(
     A name asked for twice goes to the smaller request id.
     """
     taken = projects.select("name").distinct()
-    free = wanted.join(taken, "name", "left_anti")
+    free = wanted.join(settled(taken), "name", "left_anti")
     winners = free.groupBy("name").agg(F.min("request_id").alias("request_id"))
     fresh = with_dense_ordinal(winners, ["request_id"], "id", start=_next_id(projects)).select(
         "id",

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.operators.joins import settled
+
 REPLAY_OUTCOMES = ("executed", "replayed", "rejected")
 
 
@@ -32,7 +34,7 @@ def replay_requests(requests: DataFrame, *, key: str = "key") -> DataFrame:
     )
     # Many requests to one first request: the many side is the left, which
     # adaptive execution splits when a key is hot.
-    joined = requests.join(first, key, "left")
+    joined = requests.join(settled(first), key, "left")
     same = F.col("payload_hash").eqNullSafe(F.col("first_hash"))
     outcome = (
         F.when(F.col("request_id") == F.col("first_id"), "executed")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions.enums import DOCUMENT_STATUSES, JOB_STATUSES, is_ready, is_terminal
+from docloom.operators.joins import settled
 
 # Fixed wait budgets in seconds.
 JOB_WAIT_SECONDS = 1800.0
@@ -38,7 +39,7 @@ def readiness(wanted: DataFrame, events: DataFrame) -> DataFrame:
     ready = is_ready(F.col("status"))
     return (
         wanted.distinct()
-        .join(latest, "document_id", "left")
+        .join(settled(latest), "document_id", "left")
         .groupBy("set_id")
         .agg(
             F.count("*").alias("requested"),
@@ -103,7 +104,7 @@ def wait_outcomes(
     )
     return (
         waits.withColumn("deadline", deadline)
-        .join(ends, "subject_id", "left")
+        .join(settled(ends), "subject_id", "left")
         .select(
             "subject_id",
             "started_at",

@@ -45,8 +45,13 @@ def durable_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder; each call returns a new one."""
-    return f"{durable_root(spark)}/docloom/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; each call returns a new one.
+
+    All paths of an application lie in one folder named after it, which can be
+    deleted when the application has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{durable_root(spark)}/docloom/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
