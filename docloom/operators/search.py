@@ -57,7 +57,8 @@ def search_page(
         window = fetched.withColumn("__place", place)
     everything = Window.partitionBy(F.lit(0))
     flagged = window.withColumn("has_more", F.max("__place").over(everything) >= page_size)
-    return flagged.where(F.col("__place") < page_size).drop("__place")
+    # At most page_size rows are left to put in order.
+    return flagged.where(F.col("__place") < page_size).orderBy("__place").drop("__place")
 
 
 def search_after(

@@ -44,12 +44,13 @@ def ingest_files(
     ledger: DataFrame | None = None,
     content_type: str | None = None,
     check_names: bool = True,
+    first_id: int | None = None,
 ) -> IngestResult:
     """Plan the load of ``files`` (path, size, md5, folder_id) into ``catalog`` (runs jobs).
 
     ``catalog`` has ``id, name, folder_id, md5``.  Ids of new documents follow the
-    largest catalog id in path order, so a rerun over the same tables gives the
-    same ids; write the documents first, then append the ledger.
+    largest catalog id (or start at ``first_id``) in path order, so a rerun over the
+    same tables gives the same ids; write the documents first, then append the ledger.
     """
     named = steps.with_remote_name(files, flatten=flatten, path_col=path_col)
     if flatten and check_names:
@@ -64,7 +65,8 @@ def ingest_files(
         resumed = steps.resume_from_ledger(planned, ledger)
         planned, conflicts = resumed.pending, resumed.conflicts
     matched = steps.match_duplicates(planned, catalog)
-    first_id = (catalog.agg(F.max("id")).first()[0] or 0) + 1
+    if first_id is None:
+        first_id = (catalog.agg(F.max("id")).first()[0] or 0) + 1
     outcomes = materialize(
         steps.upload_outcomes(
             matched.files, catalog, first_id=first_id, on_duplicate=on_duplicate, max_size=max_size

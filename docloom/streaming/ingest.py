@@ -56,6 +56,12 @@ def ingest_stream(
         if done is not None:
             earlier = done.where(F.col("epoch") < number)
             known = known.unionByName(earlier.select("id", "name", "folder_id", "md5"))
+        highest = known.agg(F.max("id")).first()[0] or 0
+        judged = _table(session, f"{out}/outcomes")
+        if judged is not None:
+            # Ids of blocked files have been reported; they are not given again.
+            past = judged.where(F.col("epoch") < number).agg(F.max("document_id")).first()[0]
+            highest = max(highest, past or 0)
         result = ingest_files(
             batch.withColumn("folder_id", F.lit(folder_id).cast("long")),
             known,
@@ -65,6 +71,7 @@ def ingest_stream(
             on_duplicate=on_duplicate,
             max_size=max_size,
             batch_size=batch_size,
+            first_id=highest + 1,
         )
         for name, table in (("outcomes", result.outcomes), ("documents", result.documents)):
             table.write.mode("overwrite").parquet(f"{out}/{name}/epoch={number}")

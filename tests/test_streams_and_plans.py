@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import os
 
 import pytest
 from conftest import tuples
@@ -26,6 +27,9 @@ def write_events(folder, name, *rows):
         for s, status, sec in rows
     ]
     (folder / name).write_text("\n".join(lines))
+    # The file source takes files by time; give each its own second.
+    second = 1_700_000_000 + int(name.split(".")[0])
+    os.utime(folder / name, (second, second))
 
 
 def read_events(spark, folder):
@@ -98,7 +102,10 @@ def test_arriving_files_are_loaded_once(spark, table, tmp_path):
     got = {r["file_name"]: r for r in run().collect()}
     assert got["b.txt"]["skipped_as_duplicate"] and got["a2.txt"]["uploaded"]
     assert len({r["document_id"] for r in got.values()}) == 4
-    assert [(c["batch_key"], c["succeeded"], c["skipped"]) for c in counts] == [("live-0-0000", 1, 0), ("live-1-0000", 1, 1)]
+    (inbox / "z.txt").write_text("four")
+    last = {r["file_name"]: r["document_id"] for r in run().collect()}
+    assert len(set(last.values())) == 5 and last["z.txt"] == max(last.values())
+    assert [(c["batch_key"], c["succeeded"], c["skipped"]) for c in counts[:2]] == [("live-0-0000", 1, 0), ("live-1-0000", 1, 1)]
 
 
 RULES = [ExtractRule(5, "Total", "Number", r"total=([0-9.]+)", 1), ExtractRule(6, "Vendor", "String", r"by ([a-z]+)", 1)]
@@ -133,6 +140,13 @@ def test_extract_partial_failed_and_not_ready(catalog):
         extract(catalog, RULES, document_ids=[1, 3])
 
 
+def test_extract_from_many_ids_joins_answers(catalog, monkeypatch):
+    monkeypatch.setattr("docloom.plans.extract.FILTER_FIRST_ROWS", 0)
+    out = extract(catalog, RULES, document_ids=[1, 2])
+    assert tuples(out.values, "document_id", "value") == sorted(
+        [(1, "1234.5"), (1, "acme"), (2, None)], key=repr)
+
+
 def test_extract_budget(catalog):
     with pytest.raises(BudgetExceeded):
         extract(catalog, RULES, document_ids=[1], max_credits=3)
