@@ -8,6 +8,7 @@ import pytest
 from compare import differences, oracle
 
 import __spark_entry__ as entry
+from queryset import REGISTRY
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
@@ -17,7 +18,7 @@ def duck(sf):
     return oracle(sf)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_oracle(name, spark, sf, duck):
     frame = QUERIES[name](spark, sf)
     assert name in SQL
