@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.session import materialize
@@ -39,6 +40,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
             start = stop
 
 
+class Shared:
+    """A model of bounded size, sent to every executor once and unpacked once per task."""
+
+    def __init__(self, spark: SparkSession, model: object) -> None:
+        self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+    def get(self) -> object:
+        return cloudpickle.loads(self._packed.value)
+
+
 def _canonical(edges: DataFrame) -> DataFrame:
     low, high = F.least("a", "b"), F.greatest("a", "b")
     return edges.select(low.alias("a"), high.alias("b")).where("a < b").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm.exact_dedup import exact_duplicates
 from docloom.llm.mixing import mix_sources
+from docloom.llm import toxicity
 from docloom.llm.simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +38,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op10_simhash": op10_simhash,
 }
 
