@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docloom.llm import byte_bpe, toxicity
 from docloom.llm.exact_dedup import exact_duplicates
 from docloom.llm.mixing import mix_sources
-from docloom.llm import toxicity
 from docloom.llm.simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +20,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """n_tokens and the digests of ``ids`` and ``decoded`` per doc_id, with the columns ``more``."""
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id",
+        *more,
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def byte_vocabulary() -> byte_bpe.Vocabulary:
+    return byte_bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_vocabulary()
+    encoded = byte_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    return digests(byte_bpe.decode(encoded.drop("text"), vocabulary))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -36,6 +60,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op4_mix_sources": op4_mix_sources,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_toxicity": op7_toxicity,
