@@ -41,13 +41,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
 
 
 class Shared:
-    """A model of bounded size, sent to every executor once and unpacked once per task."""
+    """A model of bounded size, sent to every executor once and unpacked once per Python process."""
 
     def __init__(self, spark: SparkSession, model: object) -> None:
         self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def get(self) -> object:
-        return cloudpickle.loads(self._packed.value)
+        # A Python process keeps its broadcasts from task to task, and so what is unpacked from them.
+        if not hasattr(self._packed, "unpacked"):
+            self._packed.unpacked = cloudpickle.loads(self._packed.value)
+        return self._packed.unpacked
 
 
 def _canonical(edges: DataFrame) -> DataFrame:
@@ -91,3 +94,37 @@ def components(edges: DataFrame) -> DataFrame:
     leaves = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
     roots = edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return leaves.unionByName(roots)
+
+
+def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best non-decreasing step function as knots and values (pool adjacent violators), pulled to the mean by two rows."""
+    order = np.argsort(x, kind="stable")
+    mean = float(y.mean())
+    pools: list[list[float]] = []  # sum, rows, smallest x, largest x
+    for a, b in zip(x[order], y[order], strict=True):
+        pools.append([float(b), 1.0, float(a), float(a)])
+        while len(pools) > 1 and (pools[-1][2] == pools[-2][3] or pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]):
+            top = pools.pop()
+            pools[-1] = [pools[-1][0] + top[0], pools[-1][1] + top[1], pools[-1][2], top[3]]
+    knots, values = [], []
+    for s, n, low, high in pools:
+        value = (s + 2 * mean) / (n + 2)
+        value = max(value, values[-1]) if values else value
+        knots += [low, high] if high > low else [low]
+        values += [value, value] if high > low else [value]
+    return np.array(knots), np.array(values)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, id_column: str, text_column: str, label_column: str) -> DataFrame:
+    """Labelled rows to learn from (runs a job): id, text, label.
+
+    Rows with crc32(id as text) mod 4 of 2 are held out.  If more than ``most`` ids are
+    left, a hash of the id chooses about that many, so they can be broadcast.
+    """
+    known = labels.select(F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("int").alias("label"))
+    known = known.where("id is not null and label is not null and crc32(cast(id as string)) % 4 <> 2")
+    known = known.groupBy("id").agg(F.max("label").alias("label"))
+    share = most / max(most, known.count())
+    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    return texts.join(F.broadcast(chosen), "id").where("text is not null")

@@ -69,7 +69,7 @@ def suspects(prints: DataFrame, rows: int) -> DataFrame:
     """The rows of ``prints`` (id, part, fingerprint) whose fingerprint another row has too.
 
     ``prints`` has fingerprints below ``2**(log2(rows) + SPARE_BITS)``.  A part holds
-    about ``64 * sqrt(rows)`` rows, so messages between parts and owners stay fewer
+    about ``16 * sqrt(rows)`` rows, so messages between parts and owners stay fewer
     than rows; equal hashes of a part travel once, so a hot text costs one hash a part.
     """
     owners, width = _shape(rows)
@@ -111,7 +111,7 @@ def suspects(prints: DataFrame, rows: int) -> DataFrame:
 
 def _shape(rows: int) -> tuple[int, int]:
     """Parts (as many owners) and fingerprint bits for so many rows."""
-    parts = max(1, math.ceil(rows / (64 * math.sqrt(rows)))) if rows else 1
+    parts = max(1, math.ceil(rows / (16 * math.sqrt(rows)))) if rows else 1
     return parts, min(62, max(1, math.ceil(math.log2(max(2, rows))) + SPARE_BITS))
 
 

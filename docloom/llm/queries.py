@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, toxicity
+from docloom.llm import byte_bpe, quality, toxicity
 from docloom.llm.exact_dedup import exact_duplicates
 from docloom.llm.mixing import mix_sources
 from docloom.llm.simhash import simhash_components
@@ -55,6 +55,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_toxicity": op7_toxicity,
+    "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
 

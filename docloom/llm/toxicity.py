@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import Shared, slices
+from docloom.llm.common import Shared, isotonic, labelled_sample, slices
 from docloom.session import materialize
 
 #: Most labelled rows that are learned from; a hash of the id chooses them if there are more.
@@ -127,44 +127,13 @@ def _counts(words: Iterable[str], terms: dict[str, int]) -> Counter:
     return found
 
 
-def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The best non-decreasing step function as knots and values (pool adjacent violators), pulled to the mean by two rows."""
-    order = np.argsort(x, kind="stable")
-    mean = float(y.mean())
-    pools: list[list[float]] = []  # sum, rows, smallest x, largest x
-    for a, b in zip(x[order], y[order], strict=True):
-        pools.append([float(b), 1.0, float(a), float(a)])
-        while len(pools) > 1 and (pools[-1][2] == pools[-2][3] or pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]):
-            top = pools.pop()
-            pools[-1] = [pools[-1][0] + top[0], pools[-1][1] + top[1], pools[-1][2], top[3]]
-    knots, values = [], []
-    for s, n, low, high in pools:
-        value = (s + 2 * mean) / (n + 2)
-        value = max(value, values[-1]) if values else value
-        knots += [low, high] if high > low else [low]
-        values += [value, value] if high > low else [value]
-    return np.array(knots), np.array(values)
-
-
-def _examples(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str) -> DataFrame:
-    """Labelled rows to learn from: id, text, label; at most about MOST_EXAMPLES, chosen by a hash of the id."""
-    known = labels.select(F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("int").alias("label"))
-    known = known.where("id is not null and label is not null and crc32(cast(id as string)) % 4 <> 2")
-    known = known.groupBy("id").agg(F.max("label").alias("label"))
-    share = MOST_EXAMPLES / max(MOST_EXAMPLES, known.count())
-    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    found = texts.join(F.broadcast(chosen), "id")  # no more rows than MOST_EXAMPLES, give or take the hash
-    return found.where("text is not null")
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Model:
     """Learn the model from labelled rows (runs jobs).
 
     Term counts are summed by Spark over the chosen rows; what comes to the driver is the
     chosen terms and, per row, its known terms.
     """
-    chosen = materialize(_examples(docs, labels, id_column, text_column, label_column), "examples")
+    chosen = materialize(labelled_sample(docs, labels, MOST_EXAMPLES, id_column, text_column, label_column), "examples")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[Counter] = [Counter(), Counter()]
