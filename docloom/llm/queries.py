@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, quality, toxicity
+from docloom.llm import byte_bpe, quality, toxicity, word_pieces
 from docloom.llm.exact_dedup import exact_duplicates
+from docloom.llm.line_dedup import line_classes
 from docloom.llm.mixing import mix_sources
+from docloom.llm.neighbours import NEIGHBOURS, nearest
 from docloom.llm.simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +44,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(byte_bpe.decode(encoded.drop("text"), vocabulary))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = word_pieces.read_pieces(public_tokenizers.path("word_bpe_49k.json"))
+    return word_pieces.count_tokens(_table(spark, sf_dir, "documents"), word_pieces.Automaton(pieces))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -50,11 +57,20 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_classes(_table(spark, sf_dir, "documents")).drop("line")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), NEIGHBOURS, factor=1.0)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality.score_quality(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
@@ -66,9 +82,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_token_counts": op3_token_counts,
     "op4_mix_sources": op4_mix_sources,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_nearest": op8_nearest,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
@@ -86,4 +105,19 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM sized
     """,
+    "op8_nearest": """
+        WITH usable AS (
+          SELECT vec_id, min(embedding::DOUBLE[]) AS v FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            AND len([x FOR x IN embedding IF x <> 0]) > 0
+          GROUP BY vec_id
+        ), scored AS (
+          SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+          FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scored QUALIFY rank <= 20
+    """,
 }
