@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, quality, toxicity, word_pieces
+from docloom.llm import byte_bpe, html_text, quality, toxicity, word_pieces
 from docloom.llm.exact_dedup import exact_duplicates
 from docloom.llm.line_dedup import line_classes
 from docloom.llm.mixing import mix_sources
@@ -38,6 +38,12 @@ def byte_vocabulary() -> byte_bpe.Vocabulary:
     return byte_bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = html_text.extract(pages, html_text.fit(pages))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_vocabulary()
     encoded = byte_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
@@ -81,6 +87,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_text": op1_html_text,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
     "op4_mix_sources": op4_mix_sources,
