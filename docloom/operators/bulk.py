@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.operators.selectors import Catalog, select_documents
+from docloom.operators.selectors import Catalog, select_documents, selection_predicate
 
 
 @dataclass(frozen=True)
@@ -38,10 +38,14 @@ def move_documents(
         F.count_if(~there).alias("moved"),
         F.count_if(there).alias("skipped"),
     )
-    hit = chosen.select("id", F.lit(True).alias("__hit"))
-    moved = catalog.documents.join(hit, "id", "left").withColumn(
-        "folder_id", F.when(F.col("__hit"), target).otherwise(F.col("folder_id"))
-    )
+    predicate = selection_predicate(catalog, selectors, document_ids=document_ids)
+    if predicate is not None:  # it looks at nothing but the row: one scan, no join
+        marked = catalog.documents.withColumn("__hit", predicate)
+    else:
+        hit = chosen.select("id").distinct().withColumn("__hit", F.lit(True))
+        marked = catalog.documents.join(hit, "id", "left")
+    folder = F.when(F.col("__hit"), target).otherwise(F.col("folder_id"))
+    moved = marked.withColumn("folder_id", folder)
     return BulkChange(moved.select(*catalog.documents.columns), summary)
 
 
@@ -57,10 +61,14 @@ def delete_documents(
     summary = chosen.agg(F.count("*").alias("matched"), F.lit(dry_run).alias("dry_run"))
     if dry_run:
         return BulkChange(catalog.documents, summary)
+    predicate = selection_predicate(catalog, selectors, document_ids=document_ids)
+    if predicate is not None:
+        left = catalog.documents.where(~F.coalesce(predicate, F.lit(False)))
+        return BulkChange(left, summary)
     return BulkChange(apply_delete_set(catalog.documents, chosen.select("id")), summary)
 
 
 def apply_delete_set(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """Documents without the given ids; applying it again changes nothing."""
-    gone = ids.select(F.col(ids.columns[0]).alias("id"))
+    gone = ids.select(F.col(ids.columns[0]).alias("id")).distinct()
     return documents.join(gone, "id", "left_anti")

@@ -25,9 +25,8 @@ from docloom.functions.values import (
     typed_fields_by_column,
     value_type,
 )
-from docloom.operators.joins import one_to_many
+from docloom.operators.joins import one_to_many, settled
 from docloom.schemas import NUMBER_SCALE
-from docloom.session import spread_if_small
 
 KeyBy = Literal["name", "prompt_id"]
 
@@ -59,20 +58,23 @@ def answer_documents(
     Every rule runs once over the whole text in one scan, without a shuffle; the
     text does not travel further.  ``answers`` holds rule position and raw text.
     """
-    hits = F.array(*[F.regexp_extract(F.col(text_col), r.pattern, r.group) for r in rules])
+    text = F.col(text_col)
+    hits = F.array(*[F.regexp_extract(text, r.pattern, r.group) for r in rules])
+    # An empty hit is an answer if the pattern matched; only then is it looked at again.
+    found = F.array(*[
+        F.when((F.col("hits")[n] != "") | text.rlike(r.pattern), F.col("hits")[n])
+        for n, r in enumerate(rules)
+    ]) if rules else F.expr("cast(array() as array<string>)")
     answers = F.transform(
-        F.col("hits"),
-        lambda hit, place: F.struct(
-            place.cast("int").alias("position"), F.when(hit != "", hit).alias("raw_value")
-        ),
+        F.col("found"),
+        lambda hit, place: F.struct(place.cast("int").alias("position"), hit.alias("raw_value")),
     )
     if not keep_unanswered:
         answers = F.filter(answers, lambda item: item["raw_value"].isNotNull())
     wanted = documents.select(F.col(id_col).alias("document_id"), text_col)
-    scanned = spread_if_small(wanted).select(
-        "document_id", F.col(text_col).isNotNull().alias("has_text"), hits.alias("hits")
-    )
-    return scanned.select("document_id", "has_text", answers.alias("answers"))
+    scanned = wanted.select("document_id", text_col, hits.alias("hits"))
+    judged = scanned.select("document_id", text.isNotNull().alias("has_text"), found.alias("found"))
+    return judged.select("document_id", "has_text", answers.alias("answers"))
 
 
 def explode_answers(
@@ -220,7 +222,7 @@ def run_classifier(
     best = F.array_max(F.array(*candidates))
     hit = F.col("__best.score") > 0
     return (
-        spread_if_small(documents)
+        documents
         .withColumn("__best", best)
         .withColumn("document_class", F.when(hit, F.col("__best.name")))
         .withColumn("document_subclass", F.when(hit, F.col("__best.subclass")))
@@ -344,13 +346,14 @@ def flatten_values(
     *,
     documents: DataFrame | None = None,
     key_by: KeyBy = "name",
-    strict: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Long rows ``document_id, key_kind, field_key, prompt_id, value_type, value, …``.
 
     Pending items are left out first.  With ``documents`` (their ``id`` column),
-    documents without items stay as one row with a null field.  ``strict`` runs a
-    job and raises when a field key repeats inside a document.
+    documents without items stay as one row with a null field.  A field key that
+    repeats inside a document is an error, found by a job; ``strict=False`` is for
+    results that cannot repeat one, and for looking at those that do.
     """
     keyed = with_value_type(with_field_key(drop_pending(results), key_by))
     if strict:
@@ -393,7 +396,8 @@ def pivot_values(flat: DataFrame, fields: Sequence[str | tuple[str, str]]) -> Da
 
     ``fields`` are field names, or (kind, key) pairs.  Where a prompt's name
     equals another prompt's id, the latter's column is called ``<id>#id``.  All
-    columns come out of one aggregation with a single shuffle on the document.
+    columns come out of one aggregation with a single shuffle on the document, which
+    also raises when two items of a document share a column.
     """
     pairs = [("name", f) if isinstance(f, str) else f for f in fields]
     names = {key for kind, key in pairs if kind == "name"}
@@ -401,7 +405,15 @@ def pivot_values(flat: DataFrame, fields: Sequence[str | tuple[str, str]]) -> Da
     for kind, key in pairs:
         here = (F.col("key_kind") == kind) & (F.col("field_key") == key)
         label = f"{key}#id" if kind == "prompt_id" and key in names else key
-        cells.append(F.max(F.when(here, F.col("value"))).alias(label))
+        clash = F.raise_error(
+            F.concat(
+                F.lit(f"field {label!r} appears more than once on document "),
+                F.col("document_id").cast("string"),
+                F.lit("; flatten with key_by='prompt_id' instead"),
+            )
+        ).cast("string")
+        value = F.max(F.when(here, F.col("value")))
+        cells.append(F.when(F.count_if(here) > 1, clash).otherwise(value).alias(label))
     if not cells:
         return flat.select("document_id").distinct()
     return flat.groupBy("document_id").agg(*cells)
@@ -461,16 +473,20 @@ def with_pending_placeholders(
 ) -> DataFrame:
     """Items of the requested prompts, plus a placeholder per running prompt without one.
 
-    Only documents with a running workflow are expanded by the prompt list.
+    Results of other documents than the given ones are left out.  Only documents with
+    a running workflow are expanded by the prompt list.
     """
-    wanted = results.where(F.col("prompt_id").isin(*prompts))
+    known = documents.select(F.col("id").alias("document_id")).distinct()
+    wanted = results.where(F.col("prompt_id").isin(*prompts)).join(settled(known), "document_id", "left_semi")
     if "is_processing" not in wanted.columns:
         wanted = wanted.withColumn("is_processing", F.lit(False))
     requested = F.array(*[F.lit(p).cast("long") for p in prompts])
     waiting = (
         documents.where(F.col("has_active_workflow"))
         .select(F.col("id").alias("document_id"), F.explode(requested).alias("prompt_id"))
-        .join(wanted.select("document_id", "prompt_id"), ["document_id", "prompt_id"], "left_anti")
+        .join(
+            wanted.select("document_id", "prompt_id").distinct(), ["document_id", "prompt_id"], "left_anti"
+        )
         .withColumn("is_processing", F.lit(True))
     )
     return wanted.unionByName(waiting, allowMissingColumns=True)

@@ -18,14 +18,12 @@ from docloom.operators.joins import settled
 from docloom.operators.ordinals import with_dense_ordinal
 from docloom.session import materialize
 
-MAX_DEPTH = 1024
 
-
-def folder_paths(folders: DataFrame, *, max_depth: int = MAX_DEPTH) -> DataFrame:
+def folder_paths(folders: DataFrame) -> DataFrame:
     """``id, path_ids, path_names`` from root to the folder itself (runs jobs).
 
-    A folder whose parent is not in the table starts its own path.  A cycle, or
-    a tree deeper than ``max_depth``, raises ``ValueError``.
+    A folder whose parent is not in the table starts its own path.  A cycle raises
+    ``ValueError``: no path is longer than the number of folders.
     """
     known = folders.select(F.col("id").alias("__known"))
     first = folders.join(known, folders["parent_id"] == known["__known"], "left").select(
@@ -37,10 +35,10 @@ def folder_paths(folders: DataFrame, *, max_depth: int = MAX_DEPTH) -> DataFrame
     is_open = F.col("up").isNotNull()
     latest = materialize(first, "paths")
     done = latest.where(~is_open)
-    reach = 1
+    reach, most = 1, latest.count()
     while not latest.where(is_open).isEmpty():
-        if reach > max_depth:
-            raise ValueError(f"folder tree has a cycle or is deeper than {max_depth}")
+        if reach > most:
+            raise ValueError("the folder tree has a cycle")
         waiting = latest.where(is_open)
         upper = done.unionByName(waiting).select(
             F.col("id").alias("up"),
@@ -134,7 +132,6 @@ def resolve_folder_paths(
     *,
     path_col: str = "path",
     parent_id: int | None = None,
-    max_depth: int = MAX_DEPTH,
 ) -> ResolvedPaths:
     """Get-or-create every ``/`` path of a column below ``parent_id`` (runs jobs).
 
@@ -143,7 +140,7 @@ def resolve_folder_paths(
     creates nothing.  All input columns stay on ``resolved``, one row per input.
     """
     base_ids, base_names = [], []
-    tree = folder_paths(folders, max_depth=max_depth)
+    tree = folder_paths(folders)
     if parent_id is not None:
         base = tree.where(F.col("id") == parent_id).first()
         if base is None:

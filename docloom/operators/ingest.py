@@ -36,10 +36,15 @@ def repeated_names(files: DataFrame) -> DataFrame:
 
 
 def require_unique_names(files: DataFrame) -> DataFrame:
-    """Raise when flattened names repeat (runs a job); the error names the first ones."""
-    bad = [row["file_name"] for row in repeated_names(files).orderBy("file_name").limit(20).collect()]
-    if bad:
-        raise ValueError(f"flattened file names repeat: {', '.join(bad)}; keep the paths instead")
+    """Raise when flattened names repeat (runs a job); the error says how many and shows the first ones."""
+    bad = repeated_names(files)
+    total = bad.count()
+    if total:
+        shown = ", ".join(row["file_name"] for row in bad.orderBy("file_name").limit(20).collect())
+        raise ValueError(
+            f"{total} flattened file names repeat (repeated_names lists all): {shown}"
+            f"{', ...' if total > 20 else ''}; keep the paths instead"
+        )
     return files
 
 
@@ -89,12 +94,13 @@ class Resumption:
 def resume_from_ledger(planned: DataFrame, ledger: DataFrame) -> Resumption:
     """Leave out batches that a ledger ``batch_key, payload_hash`` has as loaded."""
     payloads = batch_payloads(planned)
-    past = ledger.select("batch_key", F.col("payload_hash").alias("past_hash"))
+    # A ledger that was appended twice counts once.
+    past = ledger.select("batch_key", F.col("payload_hash").alias("past_hash")).distinct()
     judged = payloads.join(past, "batch_key", "left")
     conflicts = judged.where(F.col("payload_hash") != F.col("past_hash")).select(
         "batch_key", "batch_no", "payload_hash", "past_hash"
     )
-    pending = planned.join(past.select("batch_key"), "batch_key", "left_anti")
+    pending = planned.join(past.select("batch_key").distinct(), "batch_key", "left_anti")
     return Resumption(pending, conflicts)
 
 
@@ -132,27 +138,6 @@ def match_duplicates(incoming: DataFrame, catalog: DataFrame) -> Duplicates:
     return Duplicates(files, members)
 
 
-def with_duplicate_arrays(duplicates: Duplicates, *, inline_up_to: int = 1000) -> DataFrame:
-    """The files with their matches as an array ordered by id.
-
-    Content held by more than ``inline_up_to`` documents has a null array; read
-    its matches from ``members`` by md5.
-    """
-    members = duplicates.members
-    sizes = members.groupBy("md5").agg(F.count("*").alias("__n"))
-    # At most one in inline_up_to rows is a big content: the small side of the join.
-    big = sizes.where(F.col("__n") > inline_up_to).select("md5")
-    fields = [c for c in members.columns if c != "md5"]
-    arrays = (
-        members.join(settled(big), "md5", "left_anti")
-        .groupBy("md5")
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("duplicates"))
-    )
-    joined = duplicates.files.join(settled(arrays), "md5", "left")
-    none = F.when(F.col("duplicate_count") == 0, F.expr("array()").cast(arrays.schema["duplicates"].dataType))
-    return joined.withColumn("duplicates", F.coalesce("duplicates", none))
-
-
 def upload_outcomes(
     files: DataFrame,
     catalog: DataFrame,

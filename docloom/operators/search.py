@@ -5,17 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators.ordinals import with_dense_ordinal
 
 DEFAULT_PAGE_SIZE = 50
 
-#: Pages that end beyond this row are cut by row number over a distributed
-#: sort, because a top-k of that depth would gather too much in one task.
-DEEP_PAGE_ROWS = 100_000
-
 
 def total_order(order_by: str = "id", order_dir: str = "asc", tie: str = "id") -> list[Column]:
     """Sort keys with nulls last and the id as tie-break."""
@@ -36,29 +32,26 @@ def search_page(
     order_by: str = "id",
     order_dir: str = "asc",
     tie: str = "id",
-    deep_rows: int = DEEP_PAGE_ROWS,
 ) -> DataFrame:
     """Rows of one 1-based page, with ``has_more`` on each row.
 
-    One row past the page is fetched to learn ``has_more``.  Pages that end beyond
-    ``deep_rows`` run a job to number the rows.
+    One row past the page is looked at to learn ``has_more``.  Only order key and tie
+    are sorted and numbered (runs jobs), the same way at any depth; the rows of the
+    page, no more than ``page_size``, are then fetched by their tie.  ``tie`` must
+    identify a row.
     """
     if page < 1 or page_size < 1:
         raise ValueError("page and page_size start at 1")
     order = total_order(order_by, order_dir, tie)
     first = (page - 1) * page_size
-    if first + page_size > deep_rows:
-        numbered = with_dense_ordinal(matches, order, "__place", start=-first)
-        window = numbered.where(F.col("__place").between(0, page_size))
-    else:
-        fetched = matches.orderBy(*order).offset(first).limit(page_size + 1)
-        # At most page_size + 1 rows reach this window.
-        place = F.row_number().over(Window.orderBy(*order)) - 1
-        window = fetched.withColumn("__place", place)
-    everything = Window.partitionBy(F.lit(0))
-    flagged = window.withColumn("has_more", F.max("__place").over(everything) >= page_size)
-    # At most page_size rows are left to put in order.
-    return flagged.where(F.col("__place") < page_size).orderBy("__place").drop("__place")
+    keys = matches.select(*dict.fromkeys([order_by, tie]))
+    numbered = with_dense_ordinal(keys, order, "__place", start=-first)
+    places = numbered.where(F.col("__place").between(0, page_size)).select(F.col(tie).alias("__tie"), "__place")
+    # At most page_size + 1 rows of two columns, whatever the table.
+    more = F.lit(places.where(F.col("__place") == page_size).count() > 0)
+    page_keys = F.broadcast(places.where(F.col("__place") < page_size))
+    rows = matches.join(page_keys, matches[tie].eqNullSafe(F.col("__tie")))
+    return rows.withColumn("has_more", more).orderBy("__place").drop("__place", "__tie")
 
 
 def search_after(

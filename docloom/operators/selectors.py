@@ -21,9 +21,6 @@ from docloom.operators.folders import subtree_ids
 
 Selector = dict[str, Any]
 
-#: Longer id lists become a table and a semi join instead of an IN list.
-INLINE_IDS = 10_000
-
 
 @dataclass(frozen=True)
 class Catalog:
@@ -209,9 +206,7 @@ def _member(column: Column, values: Sequence[Any]) -> Column:
 def _id_set(documents: DataFrame, files: Sequence[int] | DataFrame) -> Column | DataFrame:
     if isinstance(files, DataFrame):
         return _ids(files.select(F.col(files.columns[0]).cast("long").alias("document_id")))
-    if len(files) <= INLINE_IDS:
-        return _member(F.col("id"), files)
-    return documents.sparkSession.createDataFrame([(i,) for i in files], "document_id long")
+    return documents.sparkSession.createDataFrame([(i,) for i in sorted(set(files))], "document_id long")
 
 
 def _range_of(selector: Selector, kind: str, column: str, low: str, high: str) -> Column:
@@ -323,6 +318,7 @@ def _compile(
 
 #: Kinds that look at nothing but the document's own row.
 _JOINED = {
+    "fileSelector",
     "folderSubtreeSelector",
     "tagSelector",
     "projectSelector",
@@ -341,8 +337,7 @@ def selection_predicate(
     """The selection as one column predicate, or None when it needs a join."""
     selection = target_selection(selectors, document_ids, required=True)
     for selector in selection["include"] + selection["exclude"]:
-        files = selector.get("files", ())
-        if selector["type"] in _JOINED or isinstance(files, DataFrame) or len(files) > INLINE_IDS:
+        if selector["type"] in _JOINED:
             return None
     predicate = F.lit(True)
     for compiled, keep in _compile(catalog, selection, matching):

@@ -26,9 +26,6 @@ from docloom.session import materialize
 
 PAGE_CHARS = 3000
 
-#: Up to this many ids fit Spark's own broadcast limit, and filter the text scan.
-FILTER_FIRST_ROWS = 500_000
-
 
 class ExtractionFailed(RuntimeError):
     """No document to work on, or every document of the job failed."""
@@ -135,14 +132,8 @@ def extract(
         sources = select_documents(replace(catalog, documents=held), selectors)
         answered = answer_documents(sources, rules).join(reserved, "document_id", "left_semi")
     else:
-        chosen_count = started.jobs.agg(F.sum("total_docs")).first()[0] or 0
-        if chosen_count <= FILTER_FIRST_ROWS:
-            # Few ids: Spark broadcasts them and only their texts are worked on.
-            ids = reserved.select(F.col("document_id").alias("id"))
-            answered = answer_documents(held.join(ids, "id", "left_semi"), rules)
-        else:
-            # Many ids: a join on the documents would shuffle every text.
-            answered = answer_documents(held, rules).join(reserved, "document_id", "left_semi")
+        # A join on the documents would shuffle their texts; the answers are short.
+        answered = answer_documents(held, rules).join(reserved, "document_id", "left_semi")
         if files is not None:
             by_path = answer_documents(files, rules, id_col="path")
             fresh = loaded.select("path", F.col("id").alias("new_id"))

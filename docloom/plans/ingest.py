@@ -52,6 +52,10 @@ def ingest_files(
     largest catalog id (or start at ``first_id``) in path order, so a rerun over the
     same tables gives the same ids; write the documents first, then append the ledger.
     """
+    # Texts and other columns of the caller stay outside; what is sorted and written is narrow,
+    # and hashes are computed once, before the sort samples its input.
+    narrow = ["size", "md5", "folder_id", *[c for c in ("page_count", "has_file") if c in files.columns]]
+    files = materialize(files.select(*dict.fromkeys(["path", path_col, *narrow])), "files")
     named = steps.with_remote_name(files, flatten=flatten, path_col=path_col)
     if flatten and check_names:
         steps.require_unique_names(named)

@@ -18,6 +18,9 @@ def local_session(app: str = "docloom", cores: str = "8", shuffle_partitions: in
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docloom-"))
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "1m")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
@@ -63,19 +66,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-#: Below this size a shuffle costs less than the cores that one split leaves idle.
-SMALL_SCAN_BYTES = 1 << 30
-
-
-def spread_if_small(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores before costly work per row.
-
-    The optimizer's size estimate decides: an input above ``SMALL_SCAN_BYTES`` has
-    enough splits of its own and is returned as it is, without a shuffle.
-    """
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) > SMALL_SCAN_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

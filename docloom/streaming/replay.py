@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
 
-from docloom.streaming.status import first_per_key
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def first_requests_stream(
@@ -12,7 +15,31 @@ def first_requests_stream(
 ) -> DataFrame:
     """The request of each key that is executed; repeats within ``retention`` are dropped.
 
-    Takes the first request *processed*, where the batch form takes the earliest:
-    they differ when requests arrive out of order.
+    ``requests`` has ``ts`` and ``request_id``.  Of the requests of a key in one
+    micro-batch the earliest is taken (equal times: the smaller id), whatever their
+    order in the files; a key that has been answered stays answered, also if an
+    earlier request arrives in a later micro-batch.
     """
-    return first_per_key(requests.withWatermark("ts", retention), [key])
+    columns = requests.columns
+    timed = requests.withWatermark("ts", retention).withColumn("__us", F.unix_micros("ts"))
+
+    def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        first = None
+        for frame in frames:
+            best = frame.sort_values(["__us", "request_id"]).head(1)
+            place = (best["__us"].iloc[0], best["request_id"].iloc[0])
+            if first is None or place < first[0]:
+                first = place, best
+        answered = state.exists
+        latest = max(int(first[0][0]) // 1000, state.getCurrentWatermarkMs() + 1)
+        state.update((True,))
+        state.setTimeoutTimestamp(latest)
+        if not answered:
+            yield first[1][columns]
+
+    return timed.groupBy(key).applyInPandasWithState(
+        step, requests.schema, "answered boolean", "append", GroupStateTimeout.EventTimeTimeout
+    )

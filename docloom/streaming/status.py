@@ -43,13 +43,13 @@ def completion_stream(
     max_wait_seconds: float | None = JOB_WAIT_SECONDS,
     watermark: str = "10 minutes",
     retention_seconds: float = 86_400.0,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Emit each wait once: ``subject_id, outcome, status, ended_at``.
 
     ``events`` also has ``started_at``, the start of the subject's wait.  The
     outcome is ``done`` for a done status up to and including the deadline, else
-    ``timeout`` once the watermark has passed it.  A finished wait is remembered
+    ``timeout`` once the watermark has passed it.  Of the observations of one
+    micro-batch the earliest done one counts.  A finished wait is remembered
     for ``retention_seconds`` of event time, so repeats do not emit again.
     """
     timed = has_deadline(max_wait_seconds)
@@ -67,10 +67,7 @@ def completion_stream(
         F.when(done, F.col("status")).alias("done_status"),
         ts_us.alias("ts_us"),
         start_ms.alias("start_ms"),
-        F.pmod(F.xxhash64("ts", "status"), F.lit(salts)).alias("salt"),
     )
-    # Repeats of an open or done observation add nothing to the wait.
-    thin = shaped.dropDuplicatesWithinWatermark(["subject_id", "done_status", "salt"])
 
     def step(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
@@ -117,7 +114,7 @@ def completion_stream(
                 state.setTimeoutTimestamp(deadline_ms)
 
     key_type = events.schema["subject_id"].dataType.simpleString()
-    out = thin.groupBy("subject_id").applyInPandasWithState(
+    out = shaped.groupBy("subject_id").applyInPandasWithState(
         step,
         f"subject_id {key_type}, outcome string, status string, ended_us long",
         "finished boolean, deadline_ms long",
@@ -153,6 +150,17 @@ def set_readiness_stream(ready: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.withColumn("all_ready", F.col("ready") == F.col("requested"))
 
 
+def complete_readiness(progress: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The table that :func:`set_readiness_stream` wrote, with the sets that have nothing ready yet.
+
+    A stream has no row for what has not arrived; this joins the requested sets to it.
+    """
+    sizes = wanted.distinct().groupBy("set_id").agg(F.count("*").alias("requested"))
+    seen = progress.select("set_id", "ready", "last_ready_at")
+    joined = sizes.join(seen, "set_id", "left").na.fill(0, ["ready"])
+    return joined.withColumn("all_ready", F.col("ready") == F.col("requested"))
+
+
 def unknown_status_stream(
     events: DataFrame, kind: str = "job", *, watermark: str = "10 minutes"
 ) -> DataFrame:

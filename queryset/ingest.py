@@ -139,17 +139,6 @@ def duplicate_members(spark: SparkSession, sf: str) -> DataFrame:
     return matched.members.select("md5", "document_id", "name")
 
 
-@query(
-    "i7_duplicate_arrays",
-    sql("""SELECT i.path, coalesce(string_agg(CAST(h.id AS VARCHAR), ',' ORDER BY h.id), '') AS duplicates
-        FROM incoming i LEFT JOIN held h ON h.md5 = i.md5 GROUP BY 1"""),
-)
-def duplicate_arrays(spark: SparkSession, sf: str) -> DataFrame:
-    matched = i.match_duplicates(t.incoming(spark, sf), t.held(spark, sf).drop("page_count"))
-    ids = F.transform("duplicates", lambda d: d["document_id"].cast("string"))
-    return i.with_duplicate_arrays(matched).select("path", F.array_join(ids, ",").alias("duplicates"))
-
-
 @query(
     "i8_policy_block",
     sql("""SELECT path, document_id, slot AND duplicate_count = 0 AS uploaded,

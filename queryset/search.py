@@ -35,7 +35,7 @@ def deep_page(spark: SparkSession, sf: str) -> DataFrame:
     orders = t.load(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price")
     )
-    return q.search_page(orders, page=20, page_size=60, order_by="price", deep_rows=1000)
+    return q.search_page(orders, page=20, page_size=60, order_by="price")
 
 
 @query(

@@ -9,6 +9,7 @@ from docloom.session import scratch_path
 from docloom.streaming.ingest import ingest_stream
 from docloom.streaming.replay import first_requests_stream
 from docloom.streaming.status import (
+    complete_readiness,
     completion_stream,
     ready_documents_stream,
     set_readiness_stream,
@@ -49,7 +50,11 @@ def _drain(stream: DataFrame, label: str) -> DataFrame:
     "t1_completion_stream",
     sql("""SELECT subject_id * 100 + day(ts) AS subject_id,
           CASE WHEN count(*) FILTER (WHERE status = 'ready' AND ts <= date_trunc('day', ts) + INTERVAL 12 HOUR) > 0
-               THEN 'done' ELSE 'timeout' END AS outcome
+               THEN 'done' ELSE 'timeout' END AS outcome,
+          CASE WHEN count(*) FILTER (WHERE status = 'ready' AND ts <= date_trunc('day', ts) + INTERVAL 12 HOUR) > 0
+               THEN 'ready' END AS status,
+          strftime(coalesce(min(ts) FILTER (WHERE status = 'ready' AND ts <= date_trunc('day', ts) + INTERVAL 12 HOUR),
+                   min(date_trunc('day', ts)) + INTERVAL 12 HOUR), '%Y-%m-%d %H:%M:%S.%f') AS ended_at
         FROM status_events GROUP BY 1"""),
 )
 def completions(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,7 +63,10 @@ def completions(spark: SparkSession, sf: str) -> DataFrame:
         "status", "ts", F.date_trunc("day", "ts").alias("started_at"),
     )
     ended = completion_stream(events, done_statuses=["ready"], max_wait_seconds=12 * 3600.0)
-    return _drain(ended, "completions").select("subject_id", "outcome")
+    return _drain(ended, "completions").select(
+        "subject_id", "outcome", "status",
+        F.date_format("ended_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ended_at"),
+    )
 
 
 @query(
@@ -66,7 +74,7 @@ def completions(spark: SparkSession, sf: str) -> DataFrame:
     sql("""SELECT c_nationkey::BIGINT AS set_id, count(r.subject_id) AS ready, count(*) AS requested,
                count(r.subject_id) = count(*) AS all_ready
         FROM customer LEFT JOIN (SELECT DISTINCT subject_id FROM status_events WHERE status = 'ready') r
-             ON r.subject_id = c_custkey GROUP BY 1 HAVING count(r.subject_id) > 0"""),
+             ON r.subject_id = c_custkey GROUP BY 1"""),
 )
 def set_readiness(spark: SparkSession, sf: str) -> DataFrame:
     seen = ready_documents_stream(_event_stream(spark, sf), watermark="60 days")
@@ -86,7 +94,7 @@ def set_readiness(spark: SparkSession, sf: str) -> DataFrame:
         .option("checkpointLocation", root + "/progress").trigger(availableNow=True).start()
     )
     running.awaitTermination()
-    return spark.read.parquet(f"{root}/table").select("set_id", "ready", "requested", "all_ready")
+    return complete_readiness(spark.read.parquet(f"{root}/table"), wanted).select("set_id", "ready", "requested", "all_ready")
 
 
 @query(
@@ -99,13 +107,14 @@ def unknown_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _drain(found, "unknown")
 
 
-@query("t5_first_request_stream", sql("SELECT DISTINCT key FROM requests"))
+@query("t5_first_request_stream", sql("""SELECT key, request_id FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts, request_id) AS place
+        FROM requests) WHERE place = 1"""))
 def first_requests(spark: SparkSession, sf: str) -> DataFrame:
     requests = _event_stream(spark, sf).select(
         F.concat_ws("-", "subject_id", "event_type").alias("key"),
         F.md5("props").alias("payload_hash"), "ts", F.col("event_id").alias("request_id"),
     )
-    return _drain(first_requests_stream(requests, retention="60 days"), "requests").select("key")
+    return _drain(first_requests_stream(requests, retention="60 days"), "requests").select("key", "request_id")
 
 
 @query(

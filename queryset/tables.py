@@ -57,7 +57,7 @@ def docs(spark: SparkSession, sf: str, *, labels: bool = False) -> DataFrame:
     columns = [
         F.col("doc_id").alias("id"),
         F.concat(F.lit("doc"), F.col("doc_id"), F.lit(".txt")).alias("name"),
-        (F.substring("source", 4, 9).cast("long") + NATION_BASE).alias("folder_id"),
+        (F.expr("substring(source, 4)").cast("long") + NATION_BASE).alias("folder_id"),
         F.col("lang").alias("document_class"),
         F.octet_length("text").cast("long").alias("file_size"),
         F.greatest(F.lit(1), F.ceil(F.col("n_chars") / 3000)).alias("page_count"),

@@ -31,7 +31,7 @@ def test_deep_chain(table):
 def test_cycle_is_an_error(table):
     loop = table(SCHEMA, (1, "a", 2), (2, "b", 1), (3, "c", None))
     with pytest.raises(ValueError, match="cycle"):
-        f.folder_paths(loop, max_depth=8)
+        f.folder_paths(loop)
     assert tuples(f.subtree_ids(loop, [1])) == [(1,), (2,)]
 
 

@@ -120,15 +120,25 @@ def test_pins(table):
     assert tuples(i.pin_tags(tags)) == [(1, "new"), (2, "b")]
 
 
-def test_duplicate_arrays_leave_big_contents_to_members(table):
-    held = table(HELD, *[(n, f"d{n}", None, "big" if n < 5 else "small") for n in range(7)])
+def test_every_holder_of_a_content_is_a_member(table):
+    held = table(HELD, *[(n, f"d{n}", None, "big" if n < 1500 else "small") for n in range(1502)])
     files = table("path string, md5 string", ("a", "big"), ("b", "small"), ("c", "none"))
     found = i.match_duplicates(files, held)
-    got = {r["path"]: r for r in i.with_duplicate_arrays(found, inline_up_to=3).collect()}
-    assert got["a"]["duplicates"] is None and got["a"]["duplicate_count"] == 5
-    assert [d["document_id"] for d in got["b"]["duplicates"]] == [5, 6]
-    assert got["c"]["duplicates"] == []
-    assert found.members.count() == 7
+    assert dict(tuples(found.files, "path", "duplicate_count")) == {"a": 1500, "b": 2, "c": 0}
+    assert tuples(found.members.where("md5 = 'big'"), "document_id") == sorted([(n,) for n in range(1500)], key=repr)
+    assert found.members.count() == 1502
+
+
+def test_repeated_names_error_counts_all(table):
+    files = table("file_name string", *[(f"n{k:02}",) for k in range(30)] * 2)
+    with pytest.raises(ValueError, match="30 .*repeated_names"):
+        i.require_unique_names(files)
+
+
+def test_ledger_written_twice_gives_one_conflict(table):
+    planned = i.plan_batches(table("path string, file_name string, md5 string", ("a", "a", "1")), "k", order_by=["path"])
+    ledger = table("batch_key string, payload_hash string", ("k-0000", "other"), ("k-0000", "other"))
+    assert i.resume_from_ledger(planned, ledger).conflicts.count() == 1
 
 
 def test_download_plan(table):

@@ -98,8 +98,7 @@ def test_shortcut_rules(catalog, table):
     assert ids(s.select_documents(catalog, document_ids=table("x long", (2,), (2,)), required=True)) == [2]
 
 
-def test_long_lists_become_a_table(catalog, monkeypatch):
-    monkeypatch.setattr(s, "INLINE_IDS", 2)
+def test_id_lists_are_joined(catalog):
     assert ids(s.select_documents(catalog, document_ids=[1, 2, 3, 77])) == [1, 2, 3]
 
 

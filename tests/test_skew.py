@@ -72,8 +72,6 @@ def test_equal_contents_stay_linear(skewed):
         assert rows == ROWS and "skew=true" in plan
     assert found.files.count() == ROWS and found.members.count() == ROWS
     assert found.files.where(F.col("duplicate_count") == ROWS // 3).count() == ROWS // 3
-    arrays = i.with_duplicate_arrays(found, inline_up_to=10)
-    assert arrays.count() == ROWS and arrays.where(F.col("duplicates").isNull()).count() == ROWS // 3
 
 
 def test_hot_tagged_document(skewed):

@@ -122,7 +122,7 @@ def test_pages_tile_the_order(numbers, direction, deep):
     assert everything == sorted(key, key=lambda i: (key[i] is None, sign * (key[i] or 0), i))
     seen, number = [], 1
     while True:
-        rows = q.search_page(numbers, page=number, page_size=10, order_by="v", order_dir=direction, deep_rows=deep)
+        rows = q.search_page(numbers, page=number, page_size=10, order_by="v", order_dir=direction)
         rows = q.iterate(rows, order_by="v", order_dir=direction).collect()
         seen += [r["id"] for r in rows]
         if not rows[0]["has_more"]:

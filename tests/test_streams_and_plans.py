@@ -140,8 +140,7 @@ def test_extract_partial_failed_and_not_ready(catalog):
         extract(catalog, RULES, document_ids=[1, 3])
 
 
-def test_extract_from_many_ids_joins_answers(catalog, monkeypatch):
-    monkeypatch.setattr("docloom.plans.extract.FILTER_FIRST_ROWS", 0)
+def test_extract_joins_answers_not_texts(catalog):
     out = extract(catalog, RULES, document_ids=[1, 2])
     assert tuples(out.values, "document_id", "value") == sorted(
         [(1, "1234.5"), (1, "acme"), (2, None)], key=repr)
