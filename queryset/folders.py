@@ -36,18 +36,13 @@ def has_children(spark: SparkSession, sf: str) -> DataFrame:
     return f.with_has_children(t.folders(spark, sf)).select("id", "has_children")
 
 
-def _host_paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Two-segment paths host/language out of the page URLs, many pages per path."""
-    return t.url_paths(spark, sf).select(
-        "id", F.array_join(F.slice(F.split("path", "/", -1), 1, 2), "/").alias("path")
-    )
-
-
-_PATHS = """paths AS (SELECT id, string_split(path, '/')[1] AS a, string_split(path, '/')[2] AS b
-            FROM url_paths),
-     needed AS (SELECT DISTINCT a AS p1, NULL AS p2 FROM paths UNION SELECT a, b FROM paths),
-     fresh AS (SELECT *, (SELECT max(id) FROM folders)
-                 + row_number() OVER (ORDER BY p2 IS NOT NULL, p1, p2) AS id FROM needed)"""
+#: All prefixes of all paths below the root, one row each, and the ids that new folders get.
+_PATHS = """paths AS (SELECT id, path, [x FOR x IN string_split(path, '/') IF trim(x) <> ''] AS parts FROM url_paths),
+     needed AS (SELECT DISTINCT parts[1:n] AS prefix FROM (SELECT parts, unnest(range(1, len(parts) + 1)) AS n FROM paths)),
+     fresh AS (SELECT prefix, (SELECT max(id) FROM folders) + row_number() OVER (ORDER BY len(prefix), prefix) AS id FROM needed),
+     steps AS (SELECT p.id, p.path, len(f.prefix) AS depth, f.id AS folder_id FROM paths p
+               JOIN (SELECT id, unnest(range(1, len(parts) + 1)) AS n FROM paths) k ON k.id = p.id
+               JOIN fresh f ON f.prefix = p.parts[1:k.n])"""
 
 
 def _with_paths(body: str) -> str:
@@ -57,24 +52,22 @@ def _with_paths(body: str) -> str:
 
 @query(
     "f4_resolve_paths",
-    _with_paths("""SELECT p.id, a || '/' || b AS path, r.id || ',' || l.id AS folder_ids
-        FROM paths p JOIN fresh r ON r.p1 = p.a AND r.p2 IS NULL
-        JOIN fresh l ON l.p1 = p.a AND l.p2 = p.b"""),
+    _with_paths("""SELECT id, path, string_agg(CAST(folder_id AS VARCHAR), ',' ORDER BY depth) AS folder_ids
+        FROM steps GROUP BY id, path"""),
 )
 def resolve_paths(spark: SparkSession, sf: str) -> DataFrame:
-    out = f.resolve_folder_paths(t.folders(spark, sf), _host_paths(spark, sf))
+    out = f.resolve_folder_paths(t.folders(spark, sf), t.url_paths(spark, sf))
     ids = F.array_join(F.col("folder_ids").cast("array<string>"), ",")
     return out.resolved.select("id", "path", ids.alias("folder_ids"))
 
 
 @query(
     "f4_created_folders",
-    _with_paths("""SELECT l.id, coalesce(l.p2, l.p1) AS name,
-             CASE WHEN l.p2 IS NULL THEN NULL ELSE r.id END AS parent_id
-        FROM fresh l LEFT JOIN fresh r ON r.p1 = l.p1 AND r.p2 IS NULL"""),
+    _with_paths("""SELECT l.id, l.prefix[-1] AS name, r.id AS parent_id
+        FROM fresh l LEFT JOIN fresh r ON r.prefix = l.prefix[1:len(l.prefix) - 1]"""),
 )
 def created_folders(spark: SparkSession, sf: str) -> DataFrame:
-    return f.resolve_folder_paths(t.folders(spark, sf), _host_paths(spark, sf)).created
+    return f.resolve_folder_paths(t.folders(spark, sf), t.url_paths(spark, sf)).created
 
 
 @query(
@@ -94,11 +87,10 @@ def resolve_existing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "f5_leaf_per_path",
-    _with_paths("""SELECT p.id, l.id AS leaf_id FROM paths p
-        JOIN fresh l ON l.p1 = p.a AND l.p2 = p.b"""),
+    _with_paths("SELECT id, max_by(folder_id, depth) AS leaf_id FROM steps GROUP BY id"),
 )
 def leaf_per_path(spark: SparkSession, sf: str) -> DataFrame:
-    out = f.resolve_folder_paths(t.folders(spark, sf), _host_paths(spark, sf))
+    out = f.resolve_folder_paths(t.folders(spark, sf), t.url_paths(spark, sf))
     return f.leaf_folders(out).select("id", "leaf_id")
 
 
@@ -118,17 +110,20 @@ _MOVE_SELECTED = """selected AS (SELECT * FROM folders WHERE parent_id IN (101,
     + ", "
     + _MOVE_SELECTED
     + """, target AS (SELECT n.parent_id AS up FROM folders n WHERE n.id = 103),
-      first AS (SELECT substr(name, 1, 17) AS short, min(id) AS first_id FROM selected GROUP BY 1)
+      named AS (SELECT id, parent_id, CASE WHEN id > 1000 THEN 'branch ' || (id % 10) ELSE name END AS name FROM folders),
+      first AS (SELECT name, min(id) AS first_id FROM named WHERE id IN (SELECT id FROM selected) GROUP BY 1)
       SELECT s.id, CASE WHEN s.id > first_id THEN 'duplicate_in_selection'
                         WHEN s.parent_id = 103 THEN 'already_in_target'
                         WHEN s.id = 103 OR s.id = (SELECT up FROM target) THEN 'invalid_parent'
-                        WHEN short IN (SELECT substr(name, 1, 17) FROM folders WHERE parent_id = 103) THEN 'name_conflict'
+                        WHEN s.name IN (SELECT name FROM named WHERE parent_id = 103) THEN 'name_conflict'
                         ELSE 'moved' END AS outcome
-      FROM selected s JOIN first ON short = substr(s.name, 1, 17)""",
+      FROM named s JOIN first ON first.name = s.name WHERE s.id IN (SELECT id FROM selected)""",
 )
 def move_folders(spark: SparkSession, sf: str) -> DataFrame:
-    # Shortened names, so that siblings of other folders share some of them.
-    folders = t.folders(spark, sf).withColumn("name", F.substring("name", 1, 17))
+    # Many branches of the same names, so that siblings of other folders share some of them.
+    branch = F.concat(F.lit("branch "), F.col("id") % 10)
+    named = F.when(F.col("id") > 1000, branch).otherwise(F.col("name"))
+    folders = t.folders(spark, sf).withColumn("name", named)
     chosen = folders.where(F.col("parent_id").isin(101, 102, 103) | F.col("id").isin(1, 103))
     moved = f.move_folders(folders, chosen.select("id"), target_parent_id=103)
     return moved.classified.select("id", "outcome")
