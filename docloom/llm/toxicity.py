@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -52,7 +52,6 @@ class Index:
     n: int
     docs: list[np.ndarray]  # per term: examples, ascending
     weights: list[np.ndarray]
-    cuts: np.ndarray  # per term: where each block's postings begin
     most: np.ndarray  # per term and block: the largest weight
 
     @classmethod
@@ -63,30 +62,43 @@ class Index:
             for term, weight in vector.items():
                 docs[term].append(i)
                 weights[term].append(weight)
-        blocks = -(-len(vectors) // BLOCK)
-        edges = np.arange(blocks + 1) * BLOCK
         found = [np.array(d, np.int64) for d in docs]
-        cuts = np.stack([np.searchsorted(d, edges) for d in found]) if terms else np.zeros((0, blocks + 1), np.int64)
-        most = np.zeros((terms, blocks))
+        most = np.zeros((terms, -(-len(vectors) // BLOCK)))
         for term, d in enumerate(found):
             np.maximum.at(most[term], d // BLOCK, weights[term])
-        return cls(len(vectors), found, [np.array(w) for w in weights], cuts, most)
+        return cls(len(vectors), found, [np.array(w) for w in weights], most)
+
+    def _score(self, scores: np.ndarray, vector: dict[int, float], wanted: np.ndarray) -> None:
+        """Add the similarities of all examples in the ``wanted`` blocks."""
+        for term, weight in vector.items():
+            docs = self.docs[term]
+            taken = wanted[docs // BLOCK]
+            scores[docs[taken]] += weight * self.weights[term][taken]
 
     def nearest(self, vector: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The k examples of largest positive similarity, as (similarity, example); ties to the smaller number."""
-        terms = list(vector)
-        bound = np.array([vector[t] for t in terms]) @ self.most[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or len(best) == k and bound[block] < best[-1][0] - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for t in terms:
-                a, b = self.cuts[t, block], self.cuts[t, block + 1]
-                scores[self.docs[t][a:b] - block * BLOCK] += vector[t] * self.weights[t][a:b]
-            hits = [(round(float(scores[j]), 12), int(block * BLOCK + j)) for j in np.flatnonzero(scores > 0)]
-            best = sorted(best + [h for h in hits if h[1] != without], key=lambda h: (-h[0], h[1]))[:k]
-        return best
+        """The k examples of largest positive similarity, as (similarity, example); ties to the smaller number.
+
+        The blocks of best bound, enough for k examples, are scored first; then all
+        blocks whose bound reaches the k-th similarity among those.
+        """
+        bound = np.array(list(vector.values())) @ self.most[list(vector)]
+        order = np.argsort(-bound, kind="stable")
+        scores = np.zeros(self.n)
+        first = np.zeros(len(bound), bool)
+        first[order[: 1 + k // 8]] = True
+        self._score(scores, vector, first)
+        if without >= 0:
+            scores[without] = 0
+        floor = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+        rest = ~first & (bound > 0) & (bound >= floor - 1e-9)
+        if rest.any():
+            self._score(scores, vector, rest)
+            if without >= 0:
+                scores[without] = 0
+            floor = np.partition(scores, -k)[-k] if len(scores) >= k else 0.0
+        found = np.flatnonzero((scores > 0) & (scores >= floor - 1e-9))
+        hits = [(round(float(scores[i]), 12), int(i)) for i in found]
+        return sorted(hits, key=lambda h: (-h[0], h[1]))[:k]
 
 
 @dataclass
@@ -101,6 +113,40 @@ class Model:
     knots: np.ndarray = field(default_factory=lambda: np.zeros(1))  # calibration: vote -> score
     values: np.ndarray = field(default_factory=lambda: np.zeros(1))
     rest: float = 0.0  # score of texts without any known term
+    known: set[str] = field(default_factory=set)  # words that a Python process has looked at
+    hits: dict[str, list[int]] = field(default_factory=dict)  # those with terms
+    scored: dict[tuple, tuple] = field(default_factory=dict)
+
+    def counts(self, text: str | None) -> Counter:
+        """How often each term occurs in a text."""
+        words = words_of(text)
+        distinct = set(words)
+        fresh = distinct - self.known
+        if fresh:
+            if len(self.known) > MOST_KNOWN:
+                self.known, self.hits, fresh = set(), {}, distinct
+            # A quick look at the stems first: almost no word has a term.
+            stems = self.terms
+            for w in fresh:
+                if w in stems or any(w[:n] + "*" in stems for n in PREFIXES):
+                    self.hits[w] = [stems[t] for t in terms_of(w) if t in stems]
+            self.known |= fresh
+        found: Counter = Counter()
+        if not distinct.isdisjoint(self.hits):
+            for word in words:
+                found.update(self.hits.get(word, ()))
+        return found
+
+    def judge(self, text: str | None) -> tuple[float, list[tuple[int, float, bool]]]:
+        """Score and nearest examples; texts with the same terms are scored once."""
+        counts = self.counts(text)
+        key = tuple(sorted(counts.items()))
+        if key not in self.scored:
+            if len(self.scored) > 50_000:
+                self.scored = {}
+            value, near = self.score(self.vector(counts))
+            self.scored[key] = value, [(int(self.ids[i]), s, bool(self.labels[i])) for s, i in near[:3]]
+        return self.scored[key]
 
     def vector(self, counts: Counter) -> dict[int, float]:
         raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
@@ -118,15 +164,6 @@ class Model:
         return float(np.interp(self.vote(near), self.knots, self.values)), near
 
 
-def _counts(words: Iterable[str], terms: dict[str, int]) -> Counter:
-    found: Counter = Counter()
-    for word in words:
-        for term in terms_of(word):
-            if term in terms:
-                found[terms[term]] += 1
-    return found
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Model:
     """Learn the model from labelled rows (runs jobs).
 
@@ -168,8 +205,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         idf = np.array([math.log((1 + clean + marked) / (1 + r["clean"] + r["marked"])) + 1 for r in picked])
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(terms, idf, Index.of([], 0), np.zeros(0, bool), np.zeros(0, np.int64))
         for batch in slices(batches, "text"):
-            found = [_counts(words_of(x), terms) for x in batch.column(1).to_pylist()]
+            found = [own.counts(x) for x in batch.column(1).to_pylist()]
             keys = pa.array([list(c) for c in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), keys, pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], ["id", "label", "terms", "counts"])
 
@@ -203,29 +241,10 @@ def score_toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", tex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.get()
-        known: set[str] = set()
-        useful: set[str] = set()
-        scored: dict[tuple, tuple] = {}
         for batch in slices(batches, "text"):
-            scores, evidence = [], []
-            for text in batch.column(1).to_pylist():
-                words = words_of(text)
-                distinct = set(words)
-                fresh = distinct - known
-                useful.update(w for w in fresh if any(t in own.terms for t in terms_of(w)))
-                known |= fresh
-                counts = _counts((w for w in words if w in useful), own.terms) if not useful.isdisjoint(distinct) else Counter()
-                key = tuple(sorted(counts.items()))
-                if key not in scored:
-                    value, near = own.score(own.vector(counts))
-                    scored[key] = value, [(int(own.ids[i]), s, bool(own.labels[i])) for s, i in near[:3]]
-                value, near = scored[key]
-                scores.append(value)
-                evidence.append([{"doc_id": i, "similarity": s, "marked": m} for i, s, m in near])
-                if len(known) > MOST_KNOWN:
-                    known, useful = set(), set()
-                if len(scored) > 50_000:
-                    scored = {}
+            judged = [own.judge(x) for x in batch.column(1).to_pylist()]
+            scores = [value for value, _ in judged]
+            evidence = [[{"doc_id": i, "similarity": s, "marked": m} for i, s, m in near] for _, near in judged]
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("marked", pa.bool_())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["doc_id", "score", "evidence"])
 
