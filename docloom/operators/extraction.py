@@ -260,17 +260,24 @@ def run_splitter(
     boundary: str,
     *,
     first_id: int,
-    stride: int = 1_000_000,
+    stride: int | None = None,
     text_col: str = "text",
     id_col: str = "id",
 ) -> DataFrame:
     """Cut each text at a boundary pattern into child documents.
 
-    Child ids are ``first_id + source * stride + position``: no shuffle, and the
-    same on every run.  ``first_id`` must lie above all existing ids.  Blank
-    pieces make no child; a text with ``stride`` pieces or more is an error
-    rather than a clash of ids.
+    Child ids are ``first_id + source * stride + position``: no shuffle of texts, and
+    the same on every run.  ``first_id`` must lie above all existing ids.  Blank pieces
+    make no child.  Without ``stride`` it is the largest number of pieces of a text
+    (runs a job), so that no text has too many; ids that would not fit a long are an
+    error before anything is split.
     """
+    size = F.max(F.size(F.split(F.col(text_col), boundary, -1)))
+    if stride is None:
+        found = documents.agg(size.alias("pieces"), F.max(id_col).alias("last")).first()
+        stride = max(found["pieces"] or 1, 1)
+        if first_id + ((found["last"] or 0) + 1) * stride >= 1 << 63:
+            raise ValueError("child ids would not fit a long; number the sources anew")
     pieces = documents.select(
         F.col(id_col).alias("source_document"),
         # Outer, like above: the plain form would split every text twice.

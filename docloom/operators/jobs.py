@@ -204,6 +204,11 @@ def require_budget(estimates: DataFrame) -> DataFrame:
     return gated
 
 
+def next_job_id(jobs: DataFrame | None) -> int:
+    """One more than the largest id of a jobs table (runs a job); 1 without jobs."""
+    return 1 if jobs is None else (jobs.agg(F.max("id")).first()[0] or 0) + 1
+
+
 @dataclass(frozen=True)
 class StartedJobs:
     jobs: DataFrame
@@ -252,15 +257,21 @@ def run_jobs(
     requests: Sequence[JobRequest],
     *,
     rates: dict[str, int] = DEFAULT_RATES,
-    first_id: int = 1,
+    first_id: int | None = None,
+    jobs: DataFrame | None = None,
     strict: bool = False,
     created_at: Column | None = None,
 ) -> StartedJobs:
     """Estimate, gate and start many requests (runs jobs).
 
+    Ids follow the largest of the ``jobs`` table that the new rows go to; without one
+    they start at ``first_id``, or at 1.
+
     The price and the started documents come from one written snapshot.
     ``strict`` raises on the first request over its budget and starts nothing.
     """
+    if first_id is None:
+        first_id = next_job_id(jobs)
     priced = estimate(catalog, requests, rates=rates)
     gated = require_budget(priced.estimates) if strict else budget_gate(priced.estimates)
     return start_jobs(gated, priced.reserved, first_id=first_id, created_at=created_at)

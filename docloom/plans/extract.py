@@ -57,6 +57,7 @@ def extract(
     project_id: int | None = None,
     project_name: str | None = None,
     projects: DataFrame | None = None,
+    jobs: DataFrame | None = None,
     flatten: bool = True,
     max_size: int | None = None,
     max_credits: int | None = None,
@@ -71,7 +72,7 @@ def extract(
     documents carry ``text``; ``files`` has ``path, size, md5, folder_id, text``.
     A rejected file that holds an id (its name is taken) still takes part, over the
     document that has the name; without any id nothing is priced.  The budget is
-    checked before the job starts.  A failed job raises unless told otherwise, a
+    checked before the job starts; its id follows the largest one in ``jobs``.  A failed job raises unless told otherwise, a
     partial success returns.  A document without text fails.
 
     Texts are read where they lie: each is scanned once, and only the short
@@ -118,7 +119,7 @@ def extract(
         project_id=None if files is not None else project_id,
         key=base_key,
     )
-    started = run_jobs(catalog, [request], rates=rates, strict=True)
+    started = run_jobs(catalog, [request], rates=rates, strict=True, jobs=jobs)
     reserved = started.job_documents.select("document_id")
     if "status" in held.columns:
         ids = reserved.select(F.col("document_id").alias("id"))
@@ -147,7 +148,8 @@ def extract(
     finished = F.when(F.col("has_text"), "completed").otherwise("failed").alias("status")
     documents = answered.select("document_id", finished)
 
-    counts = roll_up_status(documents.withColumn("job_id", F.lit(1).cast("long")), started.jobs)
+    job_id = started.jobs.first()["id"]
+    counts = roll_up_status(documents.withColumn("job_id", F.lit(job_id).cast("long")), started.jobs)
     stale = ("total_docs", "completed_docs", "error_count", "status")
     job = materialize(
         started.jobs.drop(*stale).join(counts.withColumnRenamed("job_id", "id"), "id"), "job"

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docloom.operators.ingest import MAX_BATCH_FILES
 from docloom.plans.ingest import ingest_files
+from docloom.session import materialize
 from docloom.sources.files import relative_path
 
 
@@ -33,7 +34,8 @@ def ingest_stream(
     Each micro-batch goes through the batch steps against ``catalog`` and what
     earlier micro-batches loaded, and overwrites its own partition of
     ``out/documents`` and ``out/outcomes``: a repeated micro-batch leaves no
-    second copy.  ``on_batch`` gets the per-batch counts.
+    second copy.  Of the history it reads the names, hashes and ids, and works only
+    on rows that share a name or content with the arriving files.  ``on_batch`` gets the per-batch counts.
     """
     arriving = (
         spark.readStream.format("binaryFile")
@@ -51,6 +53,7 @@ def ingest_stream(
 
     def load(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
+        arrived = materialize(batch, "arrived")  # hashed once
         known = catalog.select("id", "name", "folder_id", "md5")
         done = _table(session, f"{out}/documents")
         if done is not None:
@@ -62,9 +65,17 @@ def ingest_stream(
             # Ids of blocked files have been reported; they are not given again.
             past = judged.where(F.col("epoch") < number).agg(F.max("document_id")).first()[0]
             highest = max(highest, past or 0)
+        # Only what shares a content or a name with this micro-batch takes part.
+        name = F.substring_index("path", "/", -1) if flatten else F.col("rel_path")
+        same = [
+            known.join(arrived.select("md5").distinct(), "md5", "left_semi"),
+            known.join(arrived.select(name.alias("name")).distinct(), "name", "left_semi"),
+        ]
+        columns = ["id", "name", "folder_id", "md5"]
+        concerned = same[0].select(columns).unionByName(same[1].select(columns)).distinct()
         result = ingest_files(
-            batch.withColumn("folder_id", F.lit(folder_id).cast("long")),
-            known,
+            arrived.withColumn("folder_id", F.lit(folder_id).cast("long")),
+            concerned,
             base_key=f"{base_key}-{number}",
             flatten=flatten,
             path_col="path" if flatten else "rel_path",

@@ -15,12 +15,13 @@ def first_requests_stream(
 ) -> DataFrame:
     """The request of each key that is executed; repeats within ``retention`` are dropped.
 
-    ``requests`` has ``ts`` and ``request_id``.  Of the requests of a key in one
-    micro-batch the earliest is taken (equal times: the smaller id), whatever their
-    order in the files; a key that has been answered stays answered, also if an
+    ``requests`` has ``ts``.  Of the requests of a key in one micro-batch the earliest
+    is taken (equal times: the smaller ``request_id``, if there is one), whatever
+    their order in the files; a key that has been answered stays answered, also if an
     earlier request arrives in a later micro-batch.
     """
     columns = requests.columns
+    order = ["__us", *(c for c in ("request_id",) if c in columns)]
     timed = requests.withWatermark("ts", retention).withColumn("__us", F.unix_micros("ts"))
 
     def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -29,8 +30,8 @@ def first_requests_stream(
             return
         first = None
         for frame in frames:
-            best = frame.sort_values(["__us", "request_id"]).head(1)
-            place = (best["__us"].iloc[0], best["request_id"].iloc[0])
+            best = frame.sort_values(order).head(1)
+            place = tuple(best[order].iloc[0])
             if first is None or place < first[0]:
                 first = place, best
         answered = state.exists

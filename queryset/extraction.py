@@ -220,15 +220,17 @@ def last_per_prompt(spark: SparkSession, sf: str) -> DataFrame:
     sql(
         """SELECT document_id, prompt_id, raw_value, false AS is_processing
         FROM results WHERE prompt_id IN (1, 2, 3)
+          AND document_id IN (SELECT id FROM docs WHERE document_class IN ('en', 'de'))
         UNION ALL
         SELECT d.id, p.prompt_id, NULL, true
         FROM docs d, (VALUES (1), (2), (3)) p(prompt_id)
-        WHERE d.has_active_workflow AND NOT EXISTS (
+        WHERE d.has_active_workflow AND d.document_class IN ('en', 'de') AND NOT EXISTS (
           SELECT 1 FROM results r WHERE r.document_id = d.id AND r.prompt_id = p.prompt_id)"""
     ),
 )
 def pending(spark: SparkSession, sf: str) -> DataFrame:
-    documents = t.docs(spark, sf, labels=True)
+    # A selection: results of other documents must not come back.
+    documents = t.docs(spark, sf, labels=True).where(F.col("document_class").isin("en", "de"))
     found = stored_results(spark, sf)
     rows = ex.with_pending_placeholders(documents, found, [1, 2, 3])
     return rows.select("document_id", "prompt_id", "raw_value", "is_processing")
@@ -333,7 +335,8 @@ def classifier_step(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "x13_splitter_step",
-    """SELECT (SELECT max(doc_id) FROM documents) + 1 + doc_id * 1000000 + pos AS id,
+    """SELECT (SELECT max(doc_id) FROM documents) + 1
+                + doc_id * (SELECT max(len(string_split(text, chr(10)))) FROM documents) + pos AS id,
               doc_id AS source_document, pos AS position, md5(piece) AS piece_md5
        FROM (SELECT doc_id, CAST(unnest(range(len(p))) AS INTEGER) AS pos, unnest(p) AS piece
              FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents))

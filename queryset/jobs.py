@@ -69,12 +69,19 @@ def budget_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "j4_started_jobs",
-    sql(f"""SELECT step, document_count AS total_docs, total_credits AS credits, 'running' AS status
+    sql(f"""SELECT step, document_count AS total_docs, total_credits AS credits, 'running' AS status,
+            (SELECT max(id) FROM jobs) AS first_free, true AS fresh
         FROM ({_ESTIMATES}) WHERE coalesce(total_credits <= max_credits, true)"""),
 )
 def started_jobs(spark: SparkSession, sf: str) -> DataFrame:
-    started = j.run_jobs(t.catalog_of_parts(spark, sf), _requests(), rates=_RATES)
-    return started.jobs.select(F.col("stages")[0].alias("step"), "total_docs", "credits", "status")
+    before = t.jobs(spark, sf)
+    started = j.run_jobs(t.catalog_of_parts(spark, sf), _requests(), rates=_RATES, jobs=before)
+    highest = F.lit(before.agg(F.max("id")).first()[0]).cast("long")
+    many = started.jobs.count()
+    fresh = F.col("id").between(highest + 1, highest + many)
+    return started.jobs.select(
+        F.col("stages")[0].alias("step"), "total_docs", "credits", "status", highest.alias("first_free"), fresh.alias("fresh")
+    )
 
 
 @query(

@@ -231,6 +231,35 @@ def test_splitter_ids_are_stable_and_checked(table):
         ex.run_splitter(docs, "--", first_id=100, stride=2).collect()
 
 
+def test_splitter_takes_texts_of_any_size(table):
+    docs = table("id long, text string", (7, "a--b"), (8, "--".join("x" * 50)))
+    first = ex.run_splitter(docs, "--", first_id=100)
+    assert first.count() == 52 and first.select("id").distinct().count() == 52
+    again = ex.run_splitter(first.drop("source_document", "position"), "x", first_id=first.agg({"id": "max"}).first()[0] + 1)
+    assert again.select("id").distinct().count() == again.count()
+
+
+def test_empty_answer_is_an_answer(table):
+    docs = table("id long, text string", (1, "total=;"), (2, "total=5"), (3, "none"))
+    rule = ex.ExtractRule(1, "Total", "String", "total=([0-9]*)", 1)
+    assert tuples(ex.run_extractor(docs, [rule]), "document_id", "raw_value") == [(1, ""), (2, "5")]
+
+
+def test_collisions_in_a_cell_raise(table):
+    schema = "document_id long, key_kind string, field_key string, value string"
+    flat = table(schema, (1, "name", "T", "a"), (1, "name", "T", "b"), (2, "name", "T", "c"))
+    with pytest.raises(Exception, match="more than once on document 1"):
+        ex.pivot_values(flat, ["T"]).collect()
+    assert tuples(ex.pivot_values(flat.where("document_id = 2"), ["T"])) == [(2, "c")]
+
+
+def test_placeholders_of_the_given_documents_only(table):
+    docs = table("id long, has_active_workflow boolean", (1, True))
+    found = table("document_id long, prompt_id long, raw_value string", (1, 1, "a"), (1, 1, "a"), (2, 1, "b"), (2, 2, "c"))
+    rows = ex.with_pending_placeholders(docs, found, [1, 2])
+    assert tuples(rows, "document_id", "prompt_id", "raw_value") == sorted([(1, 1, "a"), (1, 1, "a"), (1, 2, None)], key=repr)
+
+
 def test_wide_csv_has_blanks(results, spark, tmp_path):
     from docloom.sources.export import write_wide_csv
 

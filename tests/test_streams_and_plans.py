@@ -6,6 +6,7 @@ import os
 
 import pytest
 from conftest import tuples
+from pyspark.sql import functions as F
 
 from docloom.operators.extraction import ExtractRule
 from docloom.operators.jobs import BudgetExceeded
@@ -83,6 +84,21 @@ def test_first_requests(spark, tmp_path):
     assert tuples(drain(stream, tmp_path / "out"), "subject_id", "status") == [(1, "a"), (2, "b"), (3, "d")]
 
 
+def test_streams_take_the_earliest_of_unordered_rows(spark, tmp_path):
+    """Out-of-order rows inside a file, several micro-batches: as the batch forms say."""
+    inbox = tmp_path / "in"
+    for part in range(3):
+        minutes = [(7 * n) % 50 for n in range(50)]
+        write_events(inbox, f"{part}.json", *[(s, "completed", 500 * part + m) for m in minutes for s in (1, 2 + part)])
+    events = read_events(spark, inbox)
+    ended = drain(completion_stream(events, watermark="10 days"), tmp_path / "ended")
+    first = {r["subject_id"]: r["ended_at"] for r in ended.collect()}
+    replayed = drain(first_requests_stream(events, key="subject_id", retention="10 days"), tmp_path / "requests")
+    taken = {r["subject_id"]: r["ts"] for r in replayed.collect()}
+    earliest = {r["subject_id"]: r["ts"] for r in spark.read.schema(events.schema).json(str(inbox)).groupBy("subject_id").agg(F.min("ts").alias("ts")).collect()}
+    assert first == taken == earliest
+
+
 def test_arriving_files_are_loaded_once(spark, table, tmp_path):
     inbox, out = tmp_path / "in", tmp_path / "out"
     inbox.mkdir()
