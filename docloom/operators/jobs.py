@@ -73,8 +73,13 @@ class JobRequest:
     key: str = ""
 
     def estimate_id(self) -> str:
-        """Same request, same id: estimating again does not reserve twice."""
+        """Same request, same id: estimating again does not reserve twice.
+
+        A table of ids is not read for this, so such a request is told by its ``key``.
+        """
         ids = self.document_ids
+        if isinstance(ids, DataFrame) and not self.key:
+            raise ValueError("a request for a table of ids needs a key")
         body = {
             "step": self.step,
             "selectors": self.selectors,
@@ -117,8 +122,11 @@ def reserve(catalog: Catalog, requests: Sequence[JobRequest]) -> DataFrame:
         )
         branches.append(chosen.select(tag.alias("estimate_id"), document, pages))
     if tags:
-        matching = F.explode(F.array_compact(F.array(*tags))).alias("estimate_id")
-        branches.insert(0, catalog.documents.select(matching, document, pages))
+        # Outer, because for a plain explode the optimizer filters on the array and so
+        # evaluates all predicates twice.
+        matching = F.explode_outer(F.array_compact(F.array(*tags))).alias("estimate_id")
+        matched = catalog.documents.select(matching, document, pages)
+        branches.insert(0, matched.where(F.col("estimate_id").isNotNull()))
     return reduce(DataFrame.unionByName, branches)
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from docloom.functions.enums import DOCUMENT_STATUSES, is_ready, normalize_enum
 from docloom.operators import downloads
 from docloom.operators.extraction import flatten_values
-from docloom.operators.selectors import combine, in_folder, select_documents
 from docloom.schemas import EXTRACTION_RESULTS
 from docloom.session import scratch_path
 from docloom.sources import export, files, pages
@@ -212,10 +211,5 @@ def download_plan_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 def download_all(spark: SparkSession, sf: str) -> DataFrame:
     catalog = t.catalog_of_docs(spark, sf)
     there = catalog.documents.where("id % 3 = 0").select("name")
-    plans = [
-        downloads.missing_downloads(
-            select_documents(catalog, combine([in_folder(folder)])).select("id", "name"), there
-        )
-        for folder in (104, 105, 106)
-    ]
-    return plans[0].unionByName(plans[1]).unionByName(plans[2])
+    chosen = catalog.documents.where(F.col("folder_id").isin(104, 105, 106))
+    return downloads.missing_downloads(chosen.select("id", "name"), there)

@@ -49,7 +49,7 @@ def test_run_many_requests_from_one_snapshot(catalog, table):
         j.JobRequest("classifier", combine([touched_by([42])]), project_id=3),
         j.JobRequest("extractor", combine([paged_between(low=3)], [named("d")]), prompts=(1, 2)),
         j.JobRequest("splitter", document_ids=[]),
-        j.JobRequest("splitter", document_ids=table("id long", (3,), (99,))),
+        j.JobRequest("splitter", document_ids=table("id long", (3,), (99,)), key="table"),
     ]
     started = j.run_jobs(catalog, requests, first_id=100)
     ids = {r.estimate_id(): n for n, r in enumerate(requests)}
