@@ -25,8 +25,8 @@ from docloom.session import materialize
 
 #: Most labelled rows that are learned from; a hash of the id chooses them if there are more.
 MOST_EXAMPLES = 20_000
-#: Most terms of the model, and what a term must reach: chi-squared with the label, labelled-positive rows.
-MOST_TERMS, LEAST_CHI, LEAST_ROWS = 4096, 30.0, 3
+#: Most terms of the model, and what a term must reach: chi-squared with the label, marked rows and their share.
+MOST_TERMS, LEAST_CHI, LEAST_ROWS, LEAST_SHARE = 4096, 30.0, 3, 0.005
 NEIGHBOURS = 25
 THRESHOLD = 0.3
 BLOCK = 64
@@ -199,7 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         share = (F.col("clean") + F.col("marked")) / (clean + marked)
         gap = F.col("marked") / marked - F.col("clean") / clean
         chi = gap * gap / (share * (1 - share)) / (1 / marked + 1 / clean)
-        picked = counted.where((F.col("marked") >= LEAST_ROWS) & (gap > 0) & (share < 1)).withColumn("chi", chi)
+        least = max(LEAST_ROWS, LEAST_SHARE * marked)
+        picked = counted.where((F.col("marked") >= least) & (gap > 0) & (share < 1)).withColumn("chi", chi)
         picked = picked.where(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "term").limit(MOST_TERMS).collect()
         terms = {r["term"]: i for i, r in enumerate(picked)}
         idf = np.array([math.log((1 + clean + marked) / (1 + r["clean"] + r["marked"])) + 1 for r in picked])
