@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import string
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,16 +42,21 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
 
 
 class Shared:
-    """A model of bounded size, sent to every executor once and unpacked once per Python process."""
+    """A model of bounded size, sent to every executor once.
+
+    A Python process keeps the two models it used last, with what they remember, from
+    task to task; older ones go, so that a long session does not fill its memory.
+    """
 
     def __init__(self, spark: SparkSession, model: object) -> None:
-        self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+        self._packed, self._key = spark.sparkContext.broadcast(cloudpickle.dumps(model)), uuid.uuid4().hex
 
     def get(self) -> object:
-        # A Python process keeps its broadcasts from task to task, and so what is unpacked from them.
-        if not hasattr(self._packed, "unpacked"):
-            self._packed.unpacked = cloudpickle.loads(self._packed.value)
-        return self._packed.unpacked
+        # Functions come anew with each task; the class of broadcasts stays in the process.
+        kept = vars(Broadcast).get("_models", {})
+        model = kept.pop(self._key, None) or cloudpickle.loads(self._packed.value)
+        Broadcast._models = dict([*kept.items(), (self._key, model)][-2:])
+        return model
 
 
 def _canonical(edges: DataFrame) -> DataFrame:

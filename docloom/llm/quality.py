@@ -30,7 +30,7 @@ NGRAMS = (3, 4)
 EPOCHS, BATCH, RATE = 12, 16, 60.0
 THRESHOLD = 0.7
 #: Distinct words whose sums a Python process remembers; the first half stays.
-MOST_KNOWN = 600_000
+MOST_KNOWN = 300_000
 #: Bucket 0 is kept for "the word before, once more".
 _REPEAT = 0
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from docloom.llm.common import Shared, slices
 
 #: Words whose counts a Python process remembers; the first half stays.
-MOST_KNOWN = 600_000
+MOST_KNOWN = 300_000
 #: Words are runs of letters and digits, or single other signs.
 WORD = r"\w+|[^\w\s]"
 #: Marks the end of a word in the vocabulary.
