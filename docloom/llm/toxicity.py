@@ -33,7 +33,7 @@ BLOCK = 64
 #: Terms of a word: the word and its first 4, 5 and 6 letters.
 PREFIXES = (4, 5, 6)
 #: Distinct words a task remembers at a time.
-MOST_KNOWN = 400_000
+MOST_KNOWN = 300_000
 _WORD = re.compile(r"\w+")
 
 
@@ -128,13 +128,14 @@ class Model:
             # A quick look at the stems first: almost no word has a term.
             stems = self.terms
             for w in fresh:
-                if w in stems or any(w[:n] + "*" in stems for n in PREFIXES):
+                if w in stems or w[:4] + "*" in stems or w[:5] + "*" in stems or w[:6] + "*" in stems:
                     self.hits[w] = [stems[t] for t in terms_of(w) if t in stems]
             self.known |= fresh
         found: Counter = Counter()
-        if not distinct.isdisjoint(self.hits):
-            for word in words:
-                found.update(self.hits.get(word, ()))
+        hit = {w for w in distinct if w in self.hits}
+        for word, n in Counter(filter(hit.__contains__, words)).items() if hit else ():
+            for term in self.hits[word]:
+                found[term] += n
         return found
 
     def judge(self, text: str | None) -> tuple[float, list[tuple[int, float, bool]]]:
