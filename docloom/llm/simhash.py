@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import components, slices
+from docloom.llm.near_copies import near_classes
 from docloom.session import materialize
 
 SHINGLE_WORDS = 3
@@ -261,10 +262,12 @@ def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column:
 
 
 def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the row of the smallest id of each near-duplicate class; all columns stay.
+    """``docs`` with the row of the smallest id of each class of near copies; all columns stay.
 
-    Rows that share that id all stay, and so do rows without an id.
+    Near copies are not op10's: their five-word shingles are similar by 0.8 or more,
+    where fingerprints differ in about 10 bits (see ``near_copies``).  Rows that share
+    that id all stay, and so do rows without an id.
     """
-    found = simhash_components(docs, id_column, text_column)
+    found = near_classes(docs, id_column, text_column)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
     return docs.join(gone, docs[id_column] == gone["__dropped"], "left_anti")

@@ -7,13 +7,14 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import differences, oracle
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from docloom.llm import exact_dedup, line_dedup, mixing, neighbours, simhash
+from docloom.llm import exact_dedup, line_dedup, mixing, near_copies, neighbours, simhash
 from docloom.llm.common import components
 from docloom.llm.queries import ORACLE_SQL, QUERIES
 
@@ -251,3 +252,35 @@ def test_pipeline(spark, sf):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     lowered = [re.sub("[A-Z]", lambda m: m[0].lower(), texts[r["doc_id"]] or "") for r in docs.collect()]
     assert len(lowered) == len(set(lowered)) > 0
+
+
+def _shingle_set(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_near_copies_equal_all_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(near_copies, "FEW_PAIRS", few)
+    monkeypatch.setattr(near_copies, "PAIRS_A_ROW", 1 if few else 0)
+    monkeypatch.setattr(near_copies, "ROUNDS", 2)
+    r = random.Random(11)
+    texts = {}
+    for size, copies in [(12, 6), (60, 12), (200, 60), (700, 12)]:
+        base = [r.choice("abcdefghij") + str(r.randint(0, 300)) for _ in range(size)]
+        for _ in range(copies):
+            words = list(base)
+            for at in r.sample(range(size), r.randint(0, max(1, size // 35))):
+                words[at] = "other" + str(r.randint(0, 9))
+            texts[len(texts)] = " ".join(words)
+    sets = {i: _shingle_set(t) for i, t in texts.items()}
+    head = {i: i for i in texts}
+    for a in texts:
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and head[a] != head[b]:
+                low, high = sorted((head[a], head[b]))
+                head = {i: low if h == high else h for i, h in head.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {x["doc_id"]: x["component_id"] for x in near_copies.near_classes(docs).collect()} == head
+    kept = {x["doc_id"] for x in simhash.without_near_duplicates(docs).collect()}
+    assert kept == set(head.values()) and 4 <= len(kept) < len(texts)
