@@ -163,7 +163,7 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(flags)], names)
 
     def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        group = np.cumsum((np.diff(rows[:, 1:3], axis=0, prepend=rows[:1, 1:3] - 1) != 0).any(axis=1))
+        group = np.cumsum((np.diff(rows[:, :3], axis=0, prepend=rows[:1, :3] - 1) != 0).any(axis=1))
         sizes = np.bincount(group)[group]
         fp = np.ascontiguousarray(rows[:, 3]).view(np.uint64)
         few = (sizes > 1) & (sizes <= 64)
@@ -178,7 +178,7 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
         while len(rows):
             if streaming is not None:  # inside a dense key: pass its rows on as they come
-                same = (rows[:, 1:3] == streaming).all(axis=1)
+                same = (rows[:, :3] == streaming).all(axis=1)
                 stop = len(rows) if same.all() else int(np.argmin(same))
                 if stop:
                     yield out([], rows[:stop])
@@ -189,13 +189,13 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(rows)
             size += len(rows)
             held = np.concatenate(kept)
-            cut = int(np.argmax((held[:, 1:3] == held[-1, 1:3]).all(axis=1)))
+            cut = int(np.argmax((held[:, :3] == held[-1, :3]).all(axis=1)))
             if cut:
                 yield from done(held[:cut])
             kept, size, rows = [held[cut:]], size - cut, rows[:0]
             if size > DENSE:
                 yield out([], kept[0])
-                streaming, kept, size = kept[0][-1, 1:3], [], 0
+                streaming, kept, size = kept[0][-1, :3], [], 0
     if size:
         yield from done(np.concatenate(kept))
 
@@ -219,14 +219,16 @@ def links(nodes: DataFrame) -> DataFrame:
     ``nodes`` has one row per distinct fingerprint: fp, node (long).  Not every pair of
     a dense group is emitted, only enough to connect it.  A key with more than ``DENSE``
     fingerprints is not matched in one task: its rows come back under keys with more
-    equal bits (a quarter of the free ones each), until no key is dense.
+    equal bits (a quarter of the free ones each), until no key is dense.  Masks of
+    different starts can coincide then, but their budgets differ: the start is part of
+    the key.
     """
     found, masks, rows = None, None, nodes
     level = {(s, m): [] for s, m in _first_masks()}
     while True:
         keyed = _keyed(rows, masks)
         n = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        sorted_rows = keyed.repartition(n, "mask", "value").sortWithinPartitions("mask", "value")
+        sorted_rows = keyed.repartition(n, "start", "mask", "value").sortWithinPartitions("start", "mask", "value")
         matched = sorted_rows.mapInArrow(
             _match, "a long, b long, start long, mask long, fp long, node long, dense boolean"
         )

@@ -125,6 +125,21 @@ def test_links_among_close_fingerprints(spark, monkeypatch, dense):
     assert found == _plain_components(points)
 
 
+def test_match_keeps_the_starts_apart():
+    """Rows of two starts under one mask and value: the chain is checked from each row's own start."""
+    shared = 0xFFFFFFFFF8000000
+    assert {s for s, m in simhash._first_masks() if shared in simhash._children(m)} == {0, 1}
+    mask, high = simhash._signed(shared), 0x123456789 << 27
+    far = [high | x for x in (0x7FFFFFF ^ (i << 8 | 0xF0) for i in range(70))]
+    own = [high, high | 0x1000201]
+    rows = [(1, mask, high, fp, n) for n, fp in enumerate(own)] + [(0, mask, high, fp, n) for n, fp in enumerate(own)]
+    rows += [(s, mask, high, fp, 10 + n) for s in (0, 1) for n, fp in enumerate(far)]
+    rows.sort(key=lambda x: (x[1:3], -x[0]))
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["start", "mask", "value", "fp", "node"])
+    links = {tuple(sorted((x["a"], x["b"]))) for b in simhash._match(iter([batch])) for x in b.to_pylist() if not x["dense"]}
+    assert (0, 1) in links
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(200, 260)] + [(3, 3), (7, 200), (200, 7)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
