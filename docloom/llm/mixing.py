@@ -3,91 +3,135 @@
 A source with share w of all slots may run its j-th block (from 0) from its release
 floor(j / w) on and must have run it before its deadline ceil((j + 1) / w).  Earliest
 deadline first meets all of these, so after any number of slots every source is less
-than one block away from its target.
+than one block away from its target.  Shares are exact fractions of the weights.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.session import materialize
 
-#: Slots of one cycle; target weights are rounded to this many equal parts.
-CYCLE = 1000
+#: Slots that a task deals.
+CHUNK = 1 << 15
 #: Rows of one block.
 BLOCK_ROWS = 16
 #: Rows numbered by one window group.
 SHARD_ROWS = 1 << 13
 
 
-def whole_shares(weights: Mapping[str, float], cycle: int = CYCLE) -> dict[str, int]:
-    """Weights as whole slots of a cycle, at least one each, by largest remainders."""
-    total = sum(weights.values())
-    cycle = max(cycle, len(weights))
-    exact = {k: w / total * cycle for k, w in weights.items()}
-    shares = {k: max(1, math.floor(x)) for k, x in exact.items()}
-    order = sorted(exact, key=lambda k: (shares[k] - exact[k], k))
-    spare = cycle - sum(shares.values())
-    while spare:
-        for k in order if spare > 0 else reversed(order):
-            step = 1 if spare > 0 else -1
-            if shares[k] + step >= 1 and spare:
-                shares[k] += step
-                spare -= step
-    return shares
+def exact_shares(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in the exact proportion of the weights; nothing is rounded."""
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    common = math.lcm(*(x.denominator for x in exact.values()))
+    whole = {k: int(x * common) for k, x in exact.items()}
+    divisor = math.gcd(*whole.values())
+    return {k: x // divisor for k, x in whole.items()}
 
 
-def pfair(shares: Mapping[str, int]) -> list[str]:
-    """The source of each slot of one cycle (as many slots as shares)."""
-    cycle = sum(shares.values())
-    waiting = [(0, k, 0) for k in shares]  # release, source, block
+def dealt(shares: Mapping[str, int], done: Mapping[str, int], slot: int) -> Iterator[str]:
+    """The source of each slot from ``slot`` on without end; ``done`` blocks of each source were dealt before it.
+
+    The counts are the whole state, so a schedule can be taken up at any slot.
+    """
+    total = sum(shares.values())
+    waiting = [(done[k] * total // shares[k], k, done[k]) for k in shares]  # release, source, block
     heapq.heapify(waiting)
-    ready: list[tuple[int, int, int, str, int]] = []
-    slots = []
-    for slot in range(cycle):
+    ready: list[tuple[int, bool, int, str, int]] = []
+    while True:
         while waiting and waiting[0][0] <= slot:
             _, k, j = heapq.heappop(waiting)
-            deadline, overlap = -(-(j + 1) * cycle // shares[k]), -(j + 1) * cycle % shares[k] != 0
+            deadline, rest = divmod(-(j + 1) * total, shares[k])
             # Ties: a window that overlaps the next one first, then the larger share.
-            heapq.heappush(ready, (deadline, not overlap, -shares[k], k, j))
+            heapq.heappush(ready, (-deadline, not rest, -shares[k], k, j))
         *_, k, j = heapq.heappop(ready)
-        slots.append(k)
-        if j + 1 < shares[k]:
-            heapq.heappush(waiting, ((j + 1) * cycle // shares[k], k, j + 1))
-    return slots
+        yield k
+        heapq.heappush(waiting, ((j + 1) * total // shares[k], k, j + 1))
+        slot += 1
+
+
+def pfair(shares: Mapping[str, int]) -> list[str]:
+    """The source of each slot of one period (as many slots as shares)."""
+    order = dealt(shares, dict.fromkeys(shares, 0), 0)
+    return [next(order) for _ in range(sum(shares.values()))]
+
+
+Phase = tuple[dict[str, int], dict[str, int]]
+Chunk = tuple[int, int, int, int, list[int]]
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], cycle: int = CYCLE) -> list[tuple[str, int, int, int, int, list[int]]]:
+def phases(blocks: Mapping[str, int], weights: Mapping[str, float], most: int = CHUNK) -> tuple[list[Phase], list[Chunk], dict[str, int]]:
     """How the blocks of all sources are laid out until the last is used up.
 
     In a phase the sources that have blocks left share the slots by their weights; it
-    ends where one of them is used up.  Returns for each phase and source: (source,
-    first block, blocks, first slot, slots of a cycle, slot of each share in a cycle).
-    Work is one cycle per phase, and there are at most as many phases as sources.
+    ends with the last block of one of them.  Sources of weight zero wait for all others.
+    Returns the phases (shares, blocks dealt before), the chunks of at most ``most``
+    slots (phase, first slot, slot in the phase, slots, blocks of each source dealt in
+    the phase before) and the slot of each source's last block.  The schedule is walked
+    once, but only the chunks' counts are kept.
     """
-    done, slot, plan = dict.fromkeys(blocks, 0), 0, []
-    while left := {k: n - done[k] for k, n in sorted(blocks.items()) if n > done[k]}:
-        shares = whole_shares({k: weights[k] for k in left}, cycle)
-        order = pfair(shares)
-        places: dict[str, list[int]] = {k: [] for k in left}
-        for at, k in enumerate(order):
-            places[k].append(at)
-        full = min(left[k] // shares[k] for k in left)
-        # The first slot of the next cycle whose source has nothing left ends the phase.
-        spare = {k: left[k] - full * shares[k] for k in left}
-        stop = min(places[k][spare[k]] for k in left if spare[k] < shares[k])
-        for k in left:
-            used = full * shares[k] + sum(at < stop for at in places[k])
-            if used:
-                plan.append((k, done[k], used, slot, len(order), places[k]))
-            done[k] += used
-        slot += full * len(order) + stop
-    return plan
+    before, slot, ends = dict.fromkeys(blocks, 0), 0, {}
+    found: list[Phase] = []
+    chunks: list[Chunk] = []
+    while left := {k: n - before[k] for k, n in sorted(blocks.items()) if n > before[k]}:
+        if min(weights[k] for k in left) < 0:
+            raise ValueError("a weight is negative")
+        heavy = [k for k in left if weights[k]] or list(left)
+        shares = exact_shares({k: weights[k] or 1 for k in heavy})
+        found.append((shares, dict(before)))
+        done, at, used_up = dict.fromkeys(shares, 0), 0, None
+        while used_up is None:
+            first, counts = at, list(done.values())
+            if len(shares) == 1:
+                used_up = heavy[0]
+                for first in range(0, left[used_up], most):
+                    chunks.append((len(found) - 1, slot + first, first, min(most, left[used_up] - first), [first]))
+                at = done[used_up] = left[used_up]
+                continue
+            for k in dealt(shares, done, at):
+                done[k] += 1
+                at += 1
+                if done[k] == left[k]:
+                    used_up = k
+                if used_up is not None or at - first == most:
+                    break
+            chunks.append((len(found) - 1, slot + first, first, at - first, counts))
+        for k, n in done.items():
+            before[k] += n
+        slot += at
+        ends[used_up] = slot - 1
+    return found, chunks, ends
+
+
+def _places(found: list[Phase]) -> object:
+    """Chunks -> rows plan_key, plan_block, slot."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                shares, before = found[row["phase"]]
+                done = dict(zip(shares, row["counts"], strict=True))
+                keys, blocks = [], []
+                if len(shares) == 1:
+                    ((k, n),) = done.items()
+                    keys, blocks = [k] * row["slots"], range(before[k] + n, before[k] + n + row["slots"])
+                else:
+                    for _, k in zip(range(row["slots"]), dealt(shares, dict(done), row["in_phase"]), strict=False):
+                        keys.append(k)
+                        blocks.append(before[k] + done[k])
+                        done[k] += 1
+                slots = np.arange(row["first_slot"], row["first_slot"] + row["slots"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(blocks, pa.int64()), pa.array(slots, pa.int64())], ["plan_key", "plan_block", "slot"])
+
+    return scan
 
 
 def mix_sources(
@@ -96,7 +140,6 @@ def mix_sources(
     *,
     power: float = 0.5,
     block_rows: int = BLOCK_ROWS,
-    cycle: int = CYCLE,
     id_column: str = "doc_id",
     source_column: str = "source",
 ) -> DataFrame:
@@ -113,8 +156,9 @@ def mix_sources(
     by their weights, and less than one block of deviation holds anew from there.  Rows
     that are equal in id and source are interchangeable.  An empty table gives no rows.
 
-    A large source is numbered in shards of about ``SHARD_ROWS`` rows, and only counts
-    per source and the schedule of the phases pass through the driver.
+    A large source is numbered in shards of about ``SHARD_ROWS`` rows.  Counts per source
+    pass through the driver, which walks the schedule once, block by block, and keeps
+    the counts at every ``CHUNK`` slots; tasks deal the slots between them.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(source_column).cast("string").alias("source"))
     rows = rows.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
@@ -135,26 +179,19 @@ def mix_sources(
         mean = sum(weights.values()) / len(weights) if weights else 1.0
         chosen = {k: float(weights.get(k[1:], mean)) if k else mean for k in per_source}
     blocks = {k: -(-n // block_rows) for k, n in per_source.items()}
-    plan = phases(blocks, chosen, cycle)
-    # One row per phase and source; a phase has at most one cycle of places.
-    table = spark.createDataFrame(
-        plan, "plan_key string, first long, blocks long, first_slot long, slots long, places array<int>"
-    )
+    found, chunks, ends = phases(blocks, chosen)
+    table = spark.createDataFrame(chunks, "phase int, first_slot long, in_phase long, slots long, counts array<long>")
+    table = table.repartition(len(chunks)).mapInArrow(_places(found), "plan_key string, plan_block long, slot long")
     window = "sum(n) over (partition by key order by shard rows between unbounded preceding and 1 preceding)"
     offsets = sizes.select("key", "shard", F.coalesce(F.expr(window), F.lit(0)).alias("offset"))
     in_shard = F.expr("row_number() over (partition by key, shard order by order, doc_id) - 1")
     numbered = stored.withColumn("in_shard", in_shard).join(offsets, ["key", "shard"])
     placed = numbered.withColumn("source_position", F.col("offset") + F.col("in_shard"))
     placed = placed.withColumn("block", F.floor(F.col("source_position") / block_rows))
-    on = (placed["key"] == table["plan_key"]) & placed["block"].between(table["first"], table["first"] + table["blocks"] - 1)
-    placed = placed.join(F.broadcast(table), on).withColumn("ahead", F.col("block") - F.col("first"))
-    share = F.size("places")
-    place = F.element_at("places", (F.col("ahead") % share).cast("int") + 1)
-    slot = F.col("first_slot") + F.floor(F.col("ahead") / share) * F.col("slots") + place
+    placed = placed.join(table, (placed["key"] == table["plan_key"]) & (placed["block"] == table["plan_block"]))
     # Only the last block of a source can be short: these few shorten what comes after them.
-    short = placed.select("doc_id", "source", "source_position", "block", slot.alias("slot"))
+    short = placed.select("doc_id", "source", "source_position", "block", "slot")
     lacking = {k: -n % block_rows for k, n in per_source.items()}
-    ends = _last_slots(plan, blocks)
     gaps = F.lit(0).cast("long")
     missing = sorted((ends[k], n) for k, n in lacking.items() if n)
     if missing:
@@ -171,16 +208,6 @@ def mix_sources(
     return short.select("doc_id", "source", "source_position", "block", "slot", position.alias("mix_position"))
 
 
-def _last_slots(plan: list[tuple[str, int, int, int, int, list[int]]], blocks: Mapping[str, int]) -> dict[str, int]:
-    """The slot of the last block of each source."""
-    ends = {}
-    for key, first, count, first_slot, slots, places in plan:
-        if first + count == blocks[key]:
-            cycles, rest = divmod(count - 1, len(places))
-            ends[key] = first_slot + cycles * slots + places[rest]
-    return ends
-
-
 def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, id_column: str = "doc_id", source_column: str = "source", **options: object) -> DataFrame:
     """All rows of ``docs`` in the order of the mixture, as sorted ranges; columns stay as they are.
 

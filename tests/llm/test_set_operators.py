@@ -234,6 +234,22 @@ def test_schedule_stays_within_a_block():
             assert all(abs(seen[k] * len(order) - n * w) < len(order) for k, w in shares.items())
 
 
+def test_schedule_follows_the_unrounded_weights():
+    weights = {"hot": 1 / 3, "rare": 0.00037, **{f"s{i:02}": (2 / 3 - 0.00037) / 20 * (1 + i / 977) for i in range(20)}}
+    blocks = {k: 1 + int(60_000 * w) for k, w in weights.items()}
+    found, chunks, ends = mixing.phases(blocks, weights, 1000)
+    batch = pa.RecordBatch.from_pylist([dict(zip(["phase", "first_slot", "in_phase", "slots", "counts"], c, strict=True)) for c in chunks])
+    rows = sorted((x["slot"], x["plan_key"], x["plan_block"]) for b in mixing._places(found)(iter([batch])) for x in b.to_pylist())
+    assert [x[0] for x in rows] == list(range(sum(blocks.values())))
+    assert {(k, j) for _, k, j in rows} == {(k, j) for k, n in blocks.items() for j in range(n)}
+    assert ends == {k: max(x[0] for x in rows if x[1] == k) for k in blocks}
+    total, seen = sum(weights.values()), Counter()
+    for n, k, _ in rows[: min(ends.values())]:
+        seen[k] += 1
+        assert all(abs(seen[x] - (n + 1) * w / total) < 1 + 1e-6 for x, w in weights.items())
+    assert min(ends.values()) > 50_000  # many periods of the old 1000 slots
+
+
 def test_mixing(spark, awkward, nothing):
     docs = spark.range(4000).selectExpr("id as doc_id", "case when id % 3 = 0 then 'hot' else 's' || id % 7 end as source")
     weights = {"hot": 0.4, **{f"s{i}": 0.1 for i in range(6)}}
