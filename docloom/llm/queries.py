@@ -14,6 +14,7 @@ from docloom.llm.line_dedup import line_classes
 from docloom.llm.mixing import mix_sources
 from docloom.llm.neighbours import NEIGHBOURS, nearest
 from docloom.llm.simhash import simhash_components
+from docloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +87,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_text": op1_html_text,
     "op2_byte_bpe": op2_byte_bpe,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op13_whitening": op13_whitening,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -26,7 +26,7 @@ def test_query_runs_and_matches_its_sql(name, spark, sf):
         assert differences(frame, oracle(sf), ORACLE_SQL[name]) == []
     else:
         table = "pages" if name.startswith("op1_") else "documents"
-        if name != "op6_line_dedup":
+        if name not in ("op6_line_dedup", "op12_prefix_trie", "op13_whitening"):
             assert frame.count() == spark.read.parquet(f"{sf}/{table}.parquet").count()
 
 
