@@ -13,6 +13,7 @@ from docloom.llm.exact_dedup import exact_duplicates
 from docloom.llm.line_dedup import line_classes
 from docloom.llm.mixing import mix_sources
 from docloom.llm.neighbours import NEIGHBOURS, nearest
+from docloom.llm.prefix_trie import prefix_trie
 from docloom.llm.simhash import simhash_components
 from docloom.llm.whitening import whiten
 
@@ -87,6 +88,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -102,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_whitening": op13_whitening,
 }
 
