@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, html_text, quality, toxicity, word_pieces
+from docloom.llm import byte_bpe, html_text, quality, sanitise, toxicity, word_pieces
 from docloom.llm.exact_dedup import exact_duplicates
 from docloom.llm.line_dedup import line_classes
 from docloom.llm.mixing import mix_sources
@@ -88,6 +88,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.report(sanitise.private_data(_table(spark, sf_dir, "documents")))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(_table(spark, sf_dir, "conversations"))
 
@@ -107,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_private_data": op11_private_data,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_whitening": op13_whitening,
 }
