@@ -26,6 +26,33 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(mapped)
 
 
+def row_digest(text_column: str) -> Column:
+    """A digest of a text as it is; a null text's is that of the empty one with a mark."""
+    text = F.col(text_column)
+    return F.unhex(F.sha2(F.when(text.isNull(), F.lit("\x00null")).otherwise(text), 256))
+
+
+def kept_rows(keyed: DataFrame, marks: DataFrame, id_column: str) -> DataFrame:
+    """``keyed`` (rows with ``__digest``) after a deduplication; ``__digest`` goes (runs a job).
+
+    ``marks`` (doc_id, __digest, stays) names the ids and digests of which not every row
+    stays: none, or one.  That one, of rows that differ in other columns, is the least as JSON.
+    """
+    marks = marks.select(F.col("doc_id").alias("__id"), F.col("__digest").alias("__mark"), "stays")
+
+    def joined(some: DataFrame, how: str) -> DataFrame:
+        same = keyed[id_column].cast("long").eqNullSafe(some["__id"]) & (keyed["__digest"] == some["__mark"])
+        return keyed.join(some, same, how)
+
+    rest, repeated = joined(marks, "left_anti"), marks.where("stays")
+    if not repeated.isEmpty():  # else there is no need to read the texts for them
+        columns = [F.col(f"`{c}`") for c in keyed.columns]
+        json = F.to_json(F.struct(*[c for c, name in zip(columns, keyed.columns, strict=True) if name != "__digest"]))
+        groups = joined(repeated, "left_semi").groupBy(F.col(id_column), F.col("__digest"))
+        rest = rest.unionByName(groups.agg(F.min_by(F.struct(*columns), json).alias("__row")).select("__row.*"))
+    return rest.drop("__digest")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` (strings) of each holds about ``most_bytes``; one row is never cut."""
     for batch in batches:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import ascii_lower
+from docloom.llm.common import ascii_lower, kept_rows
 from docloom.session import materialize
 
 #: Fingerprint bits above log2(rows): about one false suspect in 2**16 rows.
@@ -185,10 +185,13 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 
 def without_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the row of the largest id of each class of equal texts; all columns stay.
+    """One row of each class of equal texts, that of the largest id; all columns stay (runs jobs).
 
-    Rows without an id cannot be named and stay.
+    Rows go by id and text, so an id that repeats with another text keeps that one.  Of
+    rows that share both, the least as JSON stays.  A class without any id leaves one row.
     """
-    dropped = exact_duplicates(docs, id_column, text_column).where("not kept").select("doc_id").distinct()
-    gone = dropped.withColumnRenamed("doc_id", "__dropped")
-    return docs.join(gone, docs[id_column] == gone["__dropped"], "left_anti")
+    keyed = docs.withColumn("__digest", F.unhex(F.sha2(ascii_lower(F.col(text_column)), 256)))
+    classes = exact_duplicates(docs, id_column, text_column)
+    copies = classes.where("group_size > 1").select("doc_id", F.unhex("text_sha256").alias("__digest"), "kept")
+    marks = copies.groupBy("doc_id", "__digest").agg(F.bool_or("kept").alias("stays"), F.count("*").alias("n"))
+    return kept_rows(keyed, materialize(marks.where("not stays or n > 1"), "copies"), id_column)

@@ -18,8 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import components, slices
-from docloom.llm.near_copies import near_classes
+from docloom.llm.common import components, kept_rows, row_digest, slices
 from docloom.session import materialize
 
 SHINGLE_WORDS = 3
@@ -53,16 +52,16 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Rows doc_id, fp (the fingerprint as a signed long), one per row of ``docs``."""
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", *more: str) -> DataFrame:
+    """Rows doc_id, fp (the fingerprint as a signed long) and the binary columns ``more``, one per row of ``docs``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = np.array([fingerprint(x) for x in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *batch.columns[2:]], ["doc_id", "fp", *more])
 
-    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return narrow.mapInArrow(scan, "doc_id long, fp long")
+    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), *more)
+    return narrow.mapInArrow(scan, ", ".join(["doc_id long, fp long", *(f"{name} binary" for name in more)]))
 
 
 def _rotated(bits: int, start: int) -> int:
@@ -242,6 +241,13 @@ def links(nodes: DataFrame) -> DataFrame:
         level = {(s, c): [] for pairs in masks.values() for s, c in pairs}
 
 
+def _classes(stored: DataFrame) -> DataFrame:
+    """Rows fp, component (a fingerprint that names its class) of all fingerprints of ``stored``."""
+    nodes = materialize(stored.select("fp", F.col("fp").alias("node")).distinct(), "nodes")
+    linked = components(links(nodes))
+    return nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Near-duplicate classes: doc_id, fingerprint, component_id for every row of ``docs`` (runs jobs).
 
@@ -250,26 +256,34 @@ def simhash_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     fingerprint zero and are linked like any other.  Fingerprints within 3 bits are
     linked; ``component_id`` is the smallest id that links reach.  Equal fingerprints are
     one node, so copies cost nothing beyond their row.  Repeated rows give repeated rows.
-    A null id takes part, but only ids can be a ``component_id``; it is null where a class
-    has none.  Other columns of ``docs`` are not read; an empty table gives no rows.
+    A row without an id takes part and links others, but only ids can be a
+    ``component_id``; it is null where a class has none.  Other columns of ``docs`` are not
+    read; an empty table gives no rows.
     """
     stored = materialize(fingerprints(docs, id_column, text_column), "simhash")
-    distinct = stored.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    nodes = materialize(distinct, "nodes")
-    named = nodes.where("node is not null")
-    linked = components(links(named))
-    classes = named.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    joined = stored.join(classes, "fp", "left")
+    smallest = stored.groupBy("fp").agg(F.min("doc_id").alias("id"))
+    named = smallest.join(_classes(stored), "fp")
+    heads = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    classes = named.join(heads, "component").select("fp", "component_id")
+    joined = stored.join(classes.hint("rebalance"), "fp", "left")
     return joined.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with the row of the smallest id of each class of near copies; all columns stay.
+    """One row of each class of near copies (three-word shingles, at most 3 bits apart); all columns stay.
 
-    Near copies are not op10's: their five-word shingles are similar by 0.8 or more,
-    where fingerprints differ in about 10 bits (see ``near_copies``).  Rows that share
-    that id all stay, and so do rows without an id.
+    The row of the smallest id stays; a null id is the largest.  Rows of one id go by the
+    digest of their text; fully repeated rows leave one.
     """
-    found = near_classes(docs, id_column, text_column)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(gone, docs[id_column] == gone["__dropped"], "left_anti")
+    keyed = docs.withColumn("__digest", row_digest(text_column))
+    prints = fingerprints(keyed.select(id_column, text_column, "__digest"), id_column, text_column, "__digest")
+    stored = materialize(prints, "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "__digest")
+    least = stored.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    joined = least.join(_classes(stored), "fp")
+    heads = joined.groupBy("component").agg(F.min("first").alias("head"), F.sum("n").alias("rows"))
+    heads = joined.select("fp", "component").join(heads.where("rows > 1"), "component").select("fp", "head")
+    marked = stored.join(heads.hint("rebalance"), "fp")
+    same = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("__digest") == F.col("head.__digest"))
+    marks = marked.groupBy("doc_id", "__digest").agg(F.bool_or(same).alias("stays"), F.count("*").alias("n"))
+    return kept_rows(keyed, materialize(marks.where("not stays or n > 1"), "near-copies"), id_column)

@@ -256,8 +256,14 @@ def score_toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", tex
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence")
 
 
-def without_toxic(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` without the rows whose id is predicted toxic; columns stay, rows without an id stay."""
-    found = score_toxicity(docs, model, id_column, text_column).where("predicted = 1")
-    gone = found.select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(gone, docs[id_column] == gone["__dropped"], "left_anti")
+def without_toxic(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is not predicted toxic, judged and filtered in one scan; columns stay."""
+    shared = Shared(docs.sparkSession, model)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.get()
+        for batch in slices(batches, text_column):
+            texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
+            yield batch.filter(pa.array([own.judge(x)[0] < THRESHOLD for x in texts]))
+
+    return docs.mapInArrow(scan, docs.schema)

@@ -14,7 +14,7 @@ from compare import differences, oracle
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from docloom.llm import exact_dedup, line_dedup, mixing, near_copies, neighbours, simhash
+from docloom.llm import exact_dedup, line_dedup, mixing, neighbours, simhash
 from docloom.llm.common import components
 from docloom.llm.queries import ORACLE_SQL, QUERIES
 
@@ -50,7 +50,7 @@ def test_exact_duplicates(awkward, nothing):
     assert exact_dedup.exact_duplicates(nothing).count() == 0
     kept = exact_dedup.without_exact_duplicates(awkward)
     assert kept.columns == awkward.columns
-    assert Counter(r["doc_id"] for r in kept.collect()) == Counter({1: 1, 2: 1, 3: 1, 8: 1, 9: 1, 10: 1, 5: 1, None: 1})
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter({1: 1, 2: 1, 3: 1, 8: 1, 9: 1, 10: 1, 5: 1})  # the nameless row is a copy
 
 
 def test_one_text_in_a_third_of_the_rows(spark):
@@ -283,35 +283,69 @@ def test_pipeline(spark, sf):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     lowered = [re.sub("[A-Z]", lambda m: m[0].lower(), texts[r["doc_id"]] or "") for r in docs.collect()]
     assert len(lowered) == len(set(lowered)) > 0
-
-
-def _shingle_set(text):
-    words = text.lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-@pytest.mark.parametrize("few", [100_000, 0])
-def test_near_copies_equal_all_pairs(spark, monkeypatch, few):
-    monkeypatch.setattr(near_copies, "FEW_PAIRS", few)
-    monkeypatch.setattr(near_copies, "PAIRS_A_ROW", 1 if few else 0)
-    monkeypatch.setattr(near_copies, "ROUNDS", 2)
-    r = random.Random(11)
-    texts = {}
-    for size, copies in [(12, 6), (60, 12), (200, 60), (700, 12)]:
-        base = [r.choice("abcdefghij") + str(r.randint(0, 300)) for _ in range(size)]
-        for _ in range(copies):
-            words = list(base)
-            for at in r.sample(range(size), r.randint(0, max(1, size // 35))):
-                words[at] = "other" + str(r.randint(0, 9))
-            texts[len(texts)] = " ".join(words)
-    sets = {i: _shingle_set(t) for i, t in texts.items()}
-    head = {i: i for i in texts}
-    for a in texts:
-        for b in range(a):
-            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and head[a] != head[b]:
-                low, high = sorted((head[a], head[b]))
-                head = {i: low if h == high else h for i, h in head.items()}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert {x["doc_id"]: x["component_id"] for x in near_copies.near_classes(docs).collect()} == head
-    kept = {x["doc_id"] for x in simhash.without_near_duplicates(docs).collect()}
-    assert kept == set(head.values()) and 4 <= len(kept) < len(texts)
+    placed = docs.select("doc_id", "source", "mix_position").collect()
+    assert sorted(r["mix_position"] for r in placed) == list(range(len(placed)))
+    sources = [r["source"] for r in sorted(placed, key=lambda r: r["mix_position"])]
+    sizes = Counter(sources)
+    first = Counter(sources[: len(sources) // 4])
+    if len(sources) >= 16 * 8 * len(sizes):  # enough blocks: shares follow the square roots of the sizes
+        whole = sum(n**0.5 for n in sizes.values())
+        assert all(abs(first[k] - len(sources) // 4 * n**0.5 / whole) <= 2 * 16 for k, n in sizes.items())
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
+    """Every stage against its plain meaning on rows with null and repeated ids; then on no rows."""
+    odd = _odd_documents(spark)
+    labels = "doc_id long, quality int, toxic int"
+    for name, docs in (("odd", odd), ("none", odd.where("false"))):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.createDataFrame([(1, 1, 0), (20, 1, 0)], labels).write.parquet(str(tmp_path / name / "labels.parquet"))
+        result = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        if name == "none":
+            assert result == []
+        else:
+            near = simhash.without_near_duplicates(exact_dedup.without_exact_duplicates(docs)).collect()
+            assert Counter(r["doc_id"] for r in result) == Counter(r["doc_id"] for r in near)
+            assert {r["n_tokens"] for r in result if r["doc_id"] == 30} <= {0}
+
+
+def _odd_documents(spark):
+    """Ids that repeat with other texts, rows that repeat as a whole, null ids, near copies."""
+    near = " ".join(f"word{i}" for i in range(400))
+    rows = [(1, "same"), (2, "SAME"), (1, "unique text here"), (7, "rep"), (7, "rep"), (None, "rep"), (None, "lost"), (None, "lost")]
+    rows += [(20, near), (21, near + " tail"), (22, near.replace("word7 ", "w ")), (None, None), (30, ""), (31, "  ")]
+    return spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars int")
+
+
+def _texts(frame):
+    return Counter((r["doc_id"], r["text"]) for r in frame.collect())
+
+
+def test_stages_drop_rows_and_not_ids(spark):
+    odd = _odd_documents(spark)
+    exact = exact_dedup.without_exact_duplicates(odd)
+    assert exact.columns == odd.columns
+    wanted = {(2, "SAME"), (1, "unique text here"), (7, "rep"), (None, "lost"), (30, ""), (31, "  ")}
+    found = _texts(exact)
+    assert wanted <= set(found) and max(found.values()) == 1 and len(found) == 9
+    near = simhash.without_near_duplicates(odd)
+    assert near.columns == odd.columns
+    rows = odd.collect()
+    classes = _plain_components({n: _plain_fingerprint(r["text"]) for n, r in enumerate(rows)})
+    heads = defaultdict(list)
+    for n, r in enumerate(rows):
+        heads[classes[n]].append((r["doc_id"] is None, r["doc_id"] or 0))
+    assert Counter(None if nameless else i for nameless, i in map(min, heads.values())) == Counter(r["doc_id"] for r in near.collect())
+    for stage in (exact_dedup.without_exact_duplicates, simhash.without_near_duplicates):
+        assert stage(odd.where("false")).count() == 0
+
+
+def test_null_ids_bridge_near_copies(spark):
+    words = [f"word{i}" for i in range(300)]
+    rows = [(5, words), (None, ["x", *words[1:]]), (9, ["x", "y", *words[2:]]), (None, ["alone"])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    prints = [_plain_fingerprint(" ".join(w)) for _, w in rows]
+    wanted = _plain_components(dict(enumerate(prints)))
+    found = {int(r["fingerprint"], 16): r["component_id"] for r in simhash.simhash_components(docs).collect()}
+    heads = {c: min((rows[i][0] for i, d in wanted.items() if d == c and rows[i][0] is not None), default=None) for c in wanted.values()}
+    assert found == {p: heads[wanted[i]] for i, p in enumerate(prints)}
