@@ -1,14 +1,23 @@
-"""The corpus pipeline: documents without toxic rows and copies, mixed by source and encoded."""
+"""The corpus pipeline: documents without toxic rows and copies, mixed by source and encoded.
+
+Stages go by rows and not by ids, so null and repeated ids are handled like others: the
+toxicity stage drops the rows whose text is predicted toxic (null and empty texts have a
+score too), the copy stages leave one row of each class (fully repeated rows are copies;
+of rows that differ in other columns only, the least as JSON).  Null texts count as empty.
+An empty table gives empty results.  All but the last stage return the columns of their input,
+whatever those are; the last one those it names.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docloom.llm import byte_bpe, toxicity
 from docloom.llm.exact_dedup import without_exact_duplicates
-from docloom.llm.mixing import mixed
+from docloom.llm.mixing import mix_sources, mixed
 from docloom.llm.queries import byte_vocabulary, digests
 from docloom.llm.simhash import without_near_duplicates
 from docloom.session import scratch_path
@@ -28,7 +37,7 @@ def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies (five-word shingles, Jaccard 0.8), the one of the smallest id."""
+    """One document of each class of near copies (three-word shingles, at most 3 of 64 bits), the one of the smallest id."""
     return without_near_duplicates(docs)
 
 
@@ -38,10 +47,19 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document doc_id, source, ids, n_tokens and the digests of ids and decoded bytes."""
+    """Per document doc_id, source, mix_position, ids, n_tokens and the digests of ids and decoded bytes.
+
+    ``mix_position`` is the document's place in the mixture: the order of the files that the
+    stage before wrote, as a column (it follows from the same rows).  Rows that share id and
+    source have the first of their places.
+    """
     vocabulary = byte_vocabulary()
     encoded = byte_bpe.encode(docs.select("doc_id", "source", "text"), vocabulary)
-    return digests(byte_bpe.decode(encoded.drop("text"), vocabulary), "source", "ids")
+    done = digests(byte_bpe.decode(encoded.drop("text"), vocabulary), "source", "ids")
+    order = mix_sources(docs).groupBy("doc_id", "source").agg(F.min("mix_position").alias("mix_position"))
+    order = order.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "mix_position")
+    same = done["doc_id"].eqNullSafe(order["__id"]) & done["source"].eqNullSafe(order["__source"])
+    return done.join(order, same, "left").drop("__id", "__source")
 
 
 STAGES: list[tuple[str, Stage]] = [
