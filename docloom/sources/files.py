@@ -1,87 +1,116 @@
-"""File manifest source: what a directory or a list of files would upload."""
+"""File manifest source: what a directory or a list of files would upload.
+
+Directories are listed and files are hashed in tasks.  A listing goes level by level: a
+table of directories becomes a table of their entries, whose directories are the next
+table.  The driver sees how many there are, never their names.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import posixpath
+import sys
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
-from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.names import component_order, glob_regex
+from docloom.session import materialize
+
+# Functions that run in tasks travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_READER_OPTIONS = {"recursiveFileLookup": "true"}
+#: Bytes that a file is read and hashed by.
+CHUNK_BYTES = 1 << 20
+#: Directories of a listing task; bytes and files of a hashing task (one file is never split).
+TASK_DIRECTORIES, TASK_BYTES, TASK_FILES = 32, 256 << 20, 1000
 
 
 def _uri(path: str) -> str:
     return path if "://" in path or path.startswith("file:/") else "file:" + path
 
 
-@dataclass(frozen=True)
-class _Hidden:
-    """What Spark's own listing leaves out: ``_name`` and ``.name`` at any depth."""
-
-    directories: list[str]
-    files: list[tuple[str, int]]
-
+def _opened(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a URI and the place in it; names need no escapes."""
+    if uri.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/")
+    scheme, _, rest = uri.partition("://")
+    authority, _, place = rest.partition("/")
+    system, root = pyarrow.fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system, posixpath.join(root, place)
 
-def _hidden_entries(spark: SparkSession, base: str, max_depth: int = 64) -> _Hidden:
-    """Found level by level with the file system's glob, which hides nothing.
 
-    Files with a leading dot are not listed: a manifest leaves them out anyway.
-    """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = _Hidden([], [])
-    level = base
-    for _ in range(max_depth):
-        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/[._]*")) or []:
-            path = status.getPath()
-            if status.isDirectory():
-                found.directories.append(path.toString())
-            elif not path.getName().startswith("."):
-                found.files.append((path.toString(), status.getLen()))
-        below = fs.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/*")) or []
-        if not any(status.isDirectory() for status in below):
-            return found
-        level += "/*"
-    raise ValueError(f"{base} is nested deeper than {max_depth} levels")
-
-
-def _read(spark: SparkSession, paths: Sequence[str], with_md5: bool) -> DataFrame:
-    files = spark.read.format("binaryFile").options(**_READER_OPTIONS).load(list(paths))
-    columns = [_plain_column(F.col("path")).alias("path"), F.col("length").alias("size")]
-    return files.select(*columns, *([F.md5("content").alias("md5")] if with_md5 else []))
-
-
-def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _list_directories(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Directories (path) -> their entries (path, size, is_directory)."""
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            system, place = _opened(path)
+            entries = system.get_file_info(pyarrow.fs.FileSelector(place))
+            found = [e for e in entries if e.type in (pyarrow.fs.FileType.File, pyarrow.fs.FileType.Directory)]
+            for at in range(0, len(found), 10_000):
+                part = found[at : at + 10_000]
+                columns = [
+                    pa.array([f"{path.rstrip('/')}/{e.base_name}" for e in part], pa.string()),
+                    pa.array([e.size if e.is_file else None for e in part], pa.int64()),
+                    pa.array([not e.is_file for e in part], pa.bool_()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["path", "size", "is_directory"])
+
+
+def _size_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files (path) -> path, size; a missing file is an error."""
+    for batch in batches:
+        sizes = []
+        for path in batch.column(0).to_pylist():
+            system, place = _opened(path)
+            info = system.get_file_info(place)
+            if not info.is_file:
+                raise FileNotFoundError(path)
+            sizes.append(info.size)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["path", "size"])
+
+
+def _hash_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files (path, size) -> path, size, md5; a file of any size is read by chunks."""
     for batch in batches:
-        hashes = []
-        for path in batch["path"]:
-            system, place = pyarrow.fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1))
-            digest = hashlib.md5(usedforsecurity=False)
+        for at in range(batch.num_rows):
+            one, digest = batch.slice(at, 1), hashlib.md5(usedforsecurity=False)
+            system, place = _opened(one.column(0)[0].as_py())
             with system.open_input_stream(place) as stream:
-                while chunk := stream.read(1 << 20):
+                while chunk := stream.read(CHUNK_BYTES):
                     digest.update(chunk)
-            hashes.append(digest.hexdigest())
-        yield batch.assign(md5=hashes)
+            yield pa.RecordBatch.from_arrays([*one.columns, pa.array([digest.hexdigest()])], ["path", "size", "md5"])
 
 
-def _read_named(
-    spark: SparkSession, sized: Sequence[tuple[str, int]], with_md5: bool
-) -> DataFrame:
-    """Files that the reader refuses even by explicit path; hashed in the tasks."""
-    rows = [(_plain(path), size) for path, size in sized]
-    files = spark.createDataFrame(rows, "path string, size long")
-    if not with_md5:
-        return files
-    spread = files.repartition(min(len(rows), 1000))
-    return spread.mapInPandas(_hash_files, "path string, size long, md5 string")
+def hashed(files: DataFrame) -> DataFrame:
+    """``path, size, md5`` of a table ``path, size``, hashed in tasks (runs a job to count them).
+
+    Files are dealt out evenly; only their paths and sizes move.
+    """
+    total = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    parts = max(1, min(total["n"], -(-total["bytes"] // TASK_BYTES) + -(-total["n"] // TASK_FILES)))
+    return files.select("path", "size").repartition(parts).mapInArrow(_hash_files, "path string, size long, md5 string")
+
+
+def listed_tree(spark: SparkSession, base: str) -> DataFrame:
+    """All files below the directory ``base``, at any depth and of any name: ``path, size``.
+
+    Runs a job per level of directories; each level is a written table.
+    """
+    level = spark.createDataFrame([(_plain(_uri(base.rstrip("/"))),)], "path string")
+    found, directories = None, 1
+    while directories:
+        spread = level.repartition(-(-directories // TASK_DIRECTORIES))
+        entries = materialize(spread.mapInArrow(_list_directories, "path string, size long, is_directory boolean"), "listing")
+        files = entries.where("not is_directory").select("path", "size")
+        found = files if found is None else found.unionByName(files)
+        level = entries.where("is_directory").select("path")
+        directories = level.count()
+    return found
 
 
 def file_manifest(
@@ -92,26 +121,22 @@ def file_manifest(
     with_md5: bool = True,
     include_hidden: bool = True,
 ) -> DataFrame:
-    """``path, rel_path, size[, md5]`` of the files below ``base`` that match ``pattern``.
+    """``path, rel_path, size[, md5]`` of the files below ``base`` that match ``pattern`` (runs a job per level).
 
     Files whose own name starts with a dot are left out; other names, and files in
-    dot or underscore directories, are kept.  Without md5 the contents are not
-    read.  ``include_hidden=False`` skips the extra listing for names that Spark's
-    listing leaves out.  Order it with :func:`manifest_order`.
+    dot or underscore directories, are kept.  ``include_hidden=False`` leaves out every
+    name with a leading dot or underscore, at any depth, as Spark's own listing does.
+    Without md5 the contents are not read; with it only those of matching files.  Order
+    it with :func:`manifest_order`.
     """
-    root = _uri(base.rstrip("/"))
-    files = _read(spark, [root], with_md5)
-    if include_hidden:
-        hidden = _hidden_entries(spark, root)
-        if hidden.directories:
-            files = files.unionByName(_read(spark, hidden.directories, with_md5))
-        if hidden.files:
-            files = files.unionByName(_read_named(spark, hidden.files, with_md5))
-        if hidden.directories or hidden.files:
-            files = files.dropDuplicates(["path"])
-    files = files.withColumn("rel_path", relative_path(F.col("path"), base))
+    files = listed_tree(spark, base).withColumn("rel_path", relative_path(F.col("path"), base))
     own_name = F.substring_index("rel_path", "/", -1)
-    return files.where(F.col("rel_path").rlike(glob_regex(pattern)) & ~own_name.startswith("."))
+    files = files.where(F.col("rel_path").rlike(glob_regex(pattern)) & ~own_name.startswith("."))
+    if not include_hidden:
+        files = files.where(~F.col("rel_path").rlike("(^|/)[._]"))
+    if with_md5:
+        files = hashed(files).withColumn("rel_path", relative_path(F.col("path"), base))
+    return files.select("path", "rel_path", "size", *(["md5"] if with_md5 else []))
 
 
 def _plain(uri: str) -> str:
@@ -144,33 +169,13 @@ def require_files(manifest: DataFrame, what: str) -> DataFrame:
 def listed_files(
     spark: SparkSession, paths: Sequence[str], *, with_md5: bool = True
 ) -> DataFrame:
-    """Manifest ``path, given, size[, md5]`` of an explicit list, ``given`` verbatim."""
+    """Manifest ``path, given, size[, md5]`` of an explicit list, ``given`` verbatim; sizes are read in tasks."""
     if not paths:
         raise ValueError("give at least one file")
-    uris = [_uri(p) for p in paths]
-    named = [u for u in uris if u.rsplit("/", 1)[-1].startswith(("_", "."))]
-    parts = []
-    if len(named) < len(uris):
-        plain = [u for u in dict.fromkeys(uris) if u not in set(named)]
-        parts.append(_read(spark, plain, with_md5))
-    if named:
-        parts.append(_read_named(spark, _sized(spark, named), with_md5))
-    files = reduce(DataFrame.unionByName, parts).dropDuplicates(["path"])
     given = spark.createDataFrame(
-        list(zip(map(_plain, uris), paths, range(len(paths)), strict=True)),
+        [(_plain(_uri(path)), path, position) for position, path in enumerate(paths)],
         "path string, given string, position long",
     )
-    return given.join(files, "path")
-
-
-def _sized(spark: SparkSession, uris: Sequence[str]) -> list[tuple[str, int]]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    sizes = []
-    for uri in dict.fromkeys(uris):
-        path = jvm.org.apache.hadoop.fs.Path(uri)
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
-            raise FileNotFoundError(uri)
-        sizes.append((uri, fs.getFileStatus(path).getLen()))
-    return sizes
+    distinct = given.select("path").distinct().repartition(-(-len(paths) // TASK_FILES))
+    files = materialize(distinct.mapInArrow(_size_files, "path string, size long"), "listed")
+    return given.join(hashed(files) if with_md5 else files, "path")

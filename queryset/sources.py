@@ -39,6 +39,22 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "s2_file_md5",
+    """SELECT 'source=' || source AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS size,
+              md5(string_agg(text || chr(10), '' ORDER BY doc_id)) AS md5
+       FROM documents GROUP BY 1""",
+)
+def file_md5(spark: SparkSession, sf: str) -> DataFrame:
+    """One file per source, listed and hashed in tasks."""
+    path = scratch_path(spark, "tree")
+    docs = t.load(spark, sf, "documents").select("text", "source", "doc_id")
+    ordered = docs.repartition("source").sortWithinPartitions("source", "doc_id").drop("doc_id")
+    ordered.write.partitionBy("source").text(path)
+    found = files.file_manifest(spark, path, pattern="*/*.txt")
+    return found.select(F.substring_index("rel_path", "/", 1).alias("folder"), "size", "md5")
+
+
 @query("s2_content_md5", "SELECT doc_id AS id, md5(text) AS md5 FROM documents")
 def content_md5(spark: SparkSession, sf: str) -> DataFrame:
     return t.docs(spark, sf).select("id", "md5")

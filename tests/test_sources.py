@@ -39,6 +39,35 @@ def test_manifest_pattern_and_empty(spark, tree):
         files.require_files(files.file_manifest(spark, str(tree), pattern="*.zip"), "*.zip")
 
 
+def test_manifest_of_deep_trees_odd_names_and_long_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "CHUNK_BYTES", 7)
+    monkeypatch.setattr(files, "TASK_BYTES", 64)
+    monkeypatch.setattr(files, "TASK_DIRECTORIES", 2)
+    names = ["/".join(["d"] * 80) + "/end.txt", "a b/c%20d #1?.txt", "é/漢字.pdf", "x/empty", "_h/.i/_j/k.txt", "many/" + "n" * 200]
+    names += [f"many/{i}.bin" for i in range(40)]
+    for n, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if name.endswith("empty") else bytes(range(256)) * n)
+    (tmp_path / "no files here").mkdir()
+    got = files.file_manifest(spark, str(tmp_path) + "/").collect()
+    assert {r["rel_path"]: (r["size"], r["md5"]) for r in got} == {
+        n: ((tmp_path / n).stat().st_size, hashlib.md5((tmp_path / n).read_bytes()).hexdigest()) for n in names
+    }
+    shown = files.file_manifest(spark, str(tmp_path), with_md5=False, include_hidden=False)
+    assert {r["rel_path"] for r in shown.collect()} == {n for n in names if not n.startswith("_")}
+    with pytest.raises(Exception, match="nowhere"):
+        files.file_manifest(spark, str(tmp_path / "nowhere")).collect()
+
+
+def test_listing_and_hashing_run_in_tasks(spark, tree):
+    """Nothing but numbers comes to the driver, and contents are read for matching files only."""
+    (tree / "sub" / "unreadable").write_bytes(b"x")
+    (tree / "sub" / "unreadable").chmod(0)
+    assert tuples(files.file_manifest(spark, str(tree), pattern="sub/*.pdf"), "rel_path") == [("sub/b.pdf",)]
+    plan = files.file_manifest(spark, str(tree))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "LocalTableScan" not in plan and "binaryFile" not in plan.lower()
+
+
 def test_listed_files(spark, tree):
     paths = [str(tree / "sub/b.pdf"), str(tree / "_under.txt")]
     got = files.listed_files(spark, paths)
