@@ -13,9 +13,10 @@ from dataclasses import dataclass
 from typing import Literal
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions.patterns import may_match, need_of
 from docloom.functions.values import (
     DATE_FORMATS,
     display_value,
@@ -52,28 +53,36 @@ def answer_documents(
     text_col: str = "text",
     id_col: str = "id",
     keep_unanswered: bool = False,
+    spread: int | None = None,
 ) -> DataFrame:
     """One row per document: ``document_id, has_text, answers``.
 
-    Every rule runs once over the whole text in one scan, without a shuffle; the
-    text does not travel further.  ``answers`` holds rule position and raw text.
+    Texts are scanned in one pass, without a shuffle, and do not travel further.  A rule
+    runs only over texts that hold the literal its pattern needs; the literals of many
+    rules are looked for at once (``functions/patterns.py``).  ``answers`` holds rule
+    position and raw text.  ``spread`` deals the texts to that many tasks first, for
+    inputs whose files cannot be split (it moves the texts).
     """
     text = F.col(text_col)
-    hits = F.array(*[F.regexp_extract(text, r.pattern, r.group) for r in rules])
-    # An empty hit is an answer if the pattern matched; only then is it looked at again.
-    found = F.array(*[
-        F.when((F.col("hits")[n] != "") | text.rlike(r.pattern), F.col("hits")[n])
-        for n, r in enumerate(rules)
-    ]) if rules else F.expr("cast(array() as array<string>)")
+    wanted = documents.select(F.col(id_col).alias("document_id"), text_col)
+    if spread:
+        wanted = wanted.repartition(spread)
+    wanted, may = may_match(wanted, text_col, [r.pattern for r in rules])
+    found = []
+    for rule, condition in zip(rules, may, strict=True):
+        hit = F.regexp_extract(text, rule.pattern, rule.group)
+        if rule.group == 0 and need_of(rule.pattern).never_empty:
+            found.append(F.when(condition, F.nullif(hit, F.lit(""))))
+        else:  # an empty hit is an answer if the pattern matched
+            found.append(F.when(condition & text.rlike(rule.pattern), hit))
+    hits = F.array(*found) if rules else F.expr("cast(array() as array<string>)")
     answers = F.transform(
         F.col("found"),
         lambda hit, place: F.struct(place.cast("int").alias("position"), hit.alias("raw_value")),
     )
     if not keep_unanswered:
         answers = F.filter(answers, lambda item: item["raw_value"].isNotNull())
-    wanted = documents.select(F.col(id_col).alias("document_id"), text_col)
-    scanned = wanted.select("document_id", text_col, hits.alias("hits"))
-    judged = scanned.select("document_id", text.isNotNull().alias("has_text"), found.alias("found"))
+    judged = wanted.select("document_id", text.isNotNull().alias("has_text"), hits.alias("found"))
     return judged.select("document_id", "has_text", answers.alias("answers"))
 
 
@@ -124,14 +133,15 @@ def run_extractor(
     keep_unanswered: bool = False,
     scale: int = NUMBER_SCALE,
     date_formats: Sequence[str] = DATE_FORMATS,
+    spread: int | None = None,
 ) -> DataFrame:
     """Run every rule over every whole text in one pass, and type the answers.
 
     A rule without a match gives no row, or a row without value when
-    ``keep_unanswered``.
+    ``keep_unanswered``.  For ``spread`` see :func:`answer_documents`.
     """
     answered = answer_documents(
-        documents, rules, text_col=text_col, id_col=id_col, keep_unanswered=keep_unanswered
+        documents, rules, text_col=text_col, id_col=id_col, keep_unanswered=keep_unanswered, spread=spread
     )
     return explode_answers(answered, rules, scale=scale, date_formats=date_formats)
 
@@ -197,20 +207,26 @@ class ClassRule:
 
 
 def run_classifier(
-    documents: DataFrame, rules: Sequence[ClassRule], *, text_col: str = "text"
+    documents: DataFrame, rules: Sequence[ClassRule], *, text_col: str = "text", spread: int | None = None
 ) -> DataFrame:
     """Set ``document_class`` and ``document_subclass`` to the best-scoring class.
 
     Ties go to the class that the rules name first; no hit leaves both null.
-    The scores are columns of the row, so nothing is joined or shuffled.
+    The scores are columns of the row, so nothing is joined or shuffled; like for
+    :func:`answer_documents`, patterns run over texts that hold their literal, and ``spread``
+    deals the documents to that many tasks first.
     """
+    if spread:
+        documents = documents.repartition(spread)
+    documents, may = may_match(documents, text_col, [r.pattern for r in rules])
     classes = list(dict.fromkeys((r.document_class, r.document_subclass) for r in rules))
     candidates = []
     for rank, (name, subclass) in enumerate(classes):
         score = F.lit(0)
-        for rule in rules:
+        for rule, condition in zip(rules, may, strict=True):
             if (rule.document_class, rule.document_subclass) == (name, subclass):
-                score = score + F.col(text_col).rlike(rule.pattern).cast("int") * rule.weight
+                hits = condition & F.col(text_col).rlike(rule.pattern)
+                score = score + hits.cast("int") * rule.weight
         candidates.append(
             F.struct(
                 score.alias("score"),
@@ -226,7 +242,7 @@ def run_classifier(
         .withColumn("__best", best)
         .withColumn("document_class", F.when(hit, F.col("__best.name")))
         .withColumn("document_subclass", F.when(hit, F.col("__best.subclass")))
-        .drop("__best")
+        .drop("__best", "__may")
     )
 
 
@@ -348,28 +364,49 @@ def key_collisions(keyed: DataFrame) -> DataFrame:
     )
 
 
+def distinct_keys(rules: Sequence[ExtractRule], key_by: KeyBy = "name") -> bool:
+    """Do no two rules share a field?  Then no document can have a field twice."""
+    by_id = [("prompt_id", str(r.prompt_id)) for r in rules]
+    keys = by_id if key_by == "prompt_id" else [("name", r.name) if r.name else k for r, k in zip(rules, by_id, strict=True)]
+    return len(set(keys)) == len(keys)
+
+
+def _without_collisions(keyed: DataFrame) -> DataFrame:
+    """The same rows; a field that repeats in a document is an error when its rows are computed."""
+    items = F.count("*").over(Window.partitionBy("document_id", "key_kind", "field_key"))
+    clash = F.raise_error(
+        F.concat(
+            F.lit("field "), F.col("field_key"), F.lit(" appears "), F.col("__items").cast("string"),
+            F.lit(" times on document "), F.col("document_id").cast("string"),
+            F.lit("; flatten with key_by='prompt_id' instead"),
+        )
+    )
+    # A filter, because a column that nobody reads would not be computed.
+    checked = keyed.withColumn("__items", items).where(F.when(F.col("__items") > 1, clash.cast("boolean")).otherwise(True))
+    return checked.drop("__items")
+
+
 def flatten_values(
     results: DataFrame,
     *,
     documents: DataFrame | None = None,
     key_by: KeyBy = "name",
     strict: bool = True,
+    rules: Sequence[ExtractRule] | None = None,
 ) -> DataFrame:
     """Long rows ``document_id, key_kind, field_key, prompt_id, value_type, value, …``.
 
     Pending items are left out first.  With ``documents`` (their ``id`` column),
     documents without items stay as one row with a null field.  A field key that
-    repeats inside a document is an error, found by a job; ``strict=False`` is for
-    results that cannot repeat one, and for looking at those that do.
+    repeats inside a document is an error of the query that reads the rows: they are counted
+    per document and field on their way, in the same evaluation of ``results``.  Nothing needs
+    to be counted if ``rules``, by which ``results`` were extracted from documents of distinct
+    ids, have distinct fields, nor before :func:`pivot_values`, which checks by itself
+    (``strict=False``).
     """
     keyed = with_value_type(with_field_key(drop_pending(results), key_by))
-    if strict:
-        clash = key_collisions(keyed).first()
-        if clash is not None:
-            raise ValueError(
-                f"field {clash['field_key']!r} appears {clash['items']} times on document "
-                f"{clash['document_id']}; flatten with key_by='prompt_id' instead"
-            )
+    if strict and not (rules is not None and distinct_keys(rules, key_by)):
+        keyed = _without_collisions(keyed)
     wanted = ["document_id", "key_kind", "field_key", "prompt_id", "value_type", "value"]
     typed = ["value_text", "value_number", "value_bool", "value_date"]
     extra = ["parsed_value"] if "parsed_value" in keyed.columns else []

@@ -65,6 +65,7 @@ def extract(
     key_by: KeyBy = "name",
     raise_on_failure: bool = True,
     base_key: str = "extract",
+    spread: int | None = None,
 ) -> ExtractResult:
     """Run the prompts in ``rules`` over files, documents or a selection (runs jobs).
 
@@ -76,7 +77,8 @@ def extract(
     partial success returns.  A document without text fails.
 
     Texts are read where they lie: each is scanned once, and only the short
-    answers are shuffled, joined and written.
+    answers are shuffled, joined and written.  ``spread`` deals them to that many tasks
+    first, for inputs whose files cannot be split.
     """
     if sum(x is not None for x in (files, document_ids, selectors)) != 1:
         raise ValueError("give exactly one of files, document_ids and selectors")
@@ -131,12 +133,12 @@ def extract(
         # The selection again, so that its predicates prune the text scan; the
         # snapshot then decides which answers count.
         sources = select_documents(replace(catalog, documents=held), selectors)
-        answered = answer_documents(sources, rules).join(reserved, "document_id", "left_semi")
+        answered = answer_documents(sources, rules, spread=spread).join(reserved, "document_id", "left_semi")
     else:
         # A join on the documents would shuffle their texts; the answers are short.
-        answered = answer_documents(held, rules).join(reserved, "document_id", "left_semi")
+        answered = answer_documents(held, rules, spread=spread).join(reserved, "document_id", "left_semi")
         if files is not None:
-            by_path = answer_documents(files, rules, id_col="path")
+            by_path = answer_documents(files, rules, id_col="path", spread=spread)
             fresh = loaded.select("path", F.col("id").alias("new_id"))
             answered = answered.unionByName(
                 by_path.join(fresh, by_path["document_id"] == fresh["path"]).select(
@@ -157,7 +159,7 @@ def extract(
     if raise_on_failure and job.first()["status"] == "failed":
         raise ExtractionFailed("the extraction job failed")
     ids = documents.select(F.col("document_id").alias("id"))
-    values = flatten_values(results, documents=ids, key_by=key_by, strict=True)
+    values = flatten_values(results, documents=ids, key_by=key_by, rules=rules)
     return ExtractResult(job, documents, results, values, outcomes, loaded, members)
 
 

@@ -21,6 +21,7 @@ def local_session(app: str = "docloom", cores: str = "8", shuffle_partitions: in
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docloom-"))
         .config("spark.sql.files.maxPartitionBytes", "4m")
         .config("spark.sql.files.openCostInBytes", "1m")
+        .config("docloom.spread", cores)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ _VALUE = f"CASE WHEN data_type = 'Number' THEN {sql_number(_NUMBER)} ELSE raw_va
 
 
 def results(spark: SparkSession, sf: str) -> DataFrame:
-    return ex.run_extractor(t.docs(spark, sf), t.RULES, scale=t.WIDE_SCALE)
+    return ex.run_extractor(t.docs(spark, sf), t.RULES, scale=t.WIDE_SCALE, spread=t.spread(spark))
 
 
 def stored_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,8 +43,8 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
         Catalog(t.docs(spark, sf)),
         combine(include=[classified(), sized_between(200, 2_000_000)]),
     )
-    found = ex.run_extractor(chosen, t.RULES, scale=t.WIDE_SCALE)
-    return ex.flatten_values(found).select(
+    found = ex.run_extractor(chosen, t.RULES, scale=t.WIDE_SCALE, spread=t.spread(spark))
+    return ex.flatten_values(found, rules=t.RULES).select(
         "document_id", "prompt_id", "field_key", "value_type", "value"
     )
 
@@ -165,7 +167,7 @@ def key_collisions(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def flatten(spark: SparkSession, sf: str) -> DataFrame:
-    flat = ex.flatten_values(stored_results(spark, sf), documents=t.docs(spark, sf))
+    flat = ex.flatten_values(stored_results(spark, sf), documents=t.docs(spark, sf), rules=t.RULES)
     return flat.select("document_id", "field_key", "value")
 
 
@@ -181,7 +183,7 @@ def flatten(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def wide(spark: SparkSession, sf: str) -> DataFrame:
-    flat = ex.flatten_values(results(spark, sf))
+    flat = ex.flatten_values(results(spark, sf), strict=False)  # the pivot checks its cells
     return ex.pivot_values(flat, ["email", "ipv4", "phone", "card16", "token"])
 
 
@@ -196,7 +198,7 @@ def wide(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def wide_typed(spark: SparkSession, sf: str) -> DataFrame:
-    flat = ex.flatten_values(ex.type_raw_values(t.typed_raw(spark, sf)))
+    flat = ex.flatten_values(ex.type_raw_values(t.typed_raw(spark, sf)), strict=False)
     return ex.pivot_values(flat, ["Total", "Shipped", "Open", ("prompt_id", "8")])
 
 
@@ -316,6 +318,28 @@ _CLASS_RULES = [
 ]
 
 
+#: A hundred prompts: the first word that begins with th and two given letters, and the word after it.
+_MANY_RULES = [
+    ex.ExtractRule(1000 + n, f"th{a}{b}", "String", rf"th{a}{b}[a-z]* [a-z]+")
+    for n, (a, b) in enumerate(product("aeionrstwh", repeat=2))
+]
+
+
+@query(
+    "x11_many_prompts",
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT doc_id AS document_id, CAST({r.prompt_id} AS BIGINT) AS prompt_id, "
+        f"nullif(regexp_extract(text, '{r.pattern}'), '') AS raw_value FROM documents"
+        for r in _MANY_RULES
+    )
+    + ") WHERE raw_value IS NOT NULL",
+)
+def many_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    found = ex.run_extractor(t.docs(spark, sf), _MANY_RULES, spread=t.spread(spark))
+    return found.select("document_id", "prompt_id", "raw_value")
+
+
 @query(
     "x12_classifier_step",
     f"""SELECT doc_id AS document_id,
@@ -329,7 +353,7 @@ _CLASS_RULES = [
           3 * CAST(regexp_matches(text, '{t.RULES[4].pattern}') AS INT) AS c FROM documents)""",
 )
 def classifier_step(spark: SparkSession, sf: str) -> DataFrame:
-    labelled = ex.run_classifier(t.docs(spark, sf), _CLASS_RULES)
+    labelled = ex.run_classifier(t.docs(spark, sf).select("id", "text"), _CLASS_RULES, spread=t.spread(spark))
     return labelled.select(F.col("id").alias("document_id"), "document_class", "document_subclass")
 
 

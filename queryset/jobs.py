@@ -233,7 +233,8 @@ _E_DOCS = "(SELECT DISTINCT document_id, text FROM (SELECT o.document_id, CASE W
 
 def _pipeline(spark: SparkSession, sf: str) -> ExtractResult:
     return extract(
-        Catalog(t.held(spark, sf)), _E_RULES, files=t.incoming(spark, sf), rates=_RATES
+        Catalog(t.held(spark, sf)), _E_RULES, files=t.incoming(spark, sf), rates=_RATES,
+        spread=t.spread(spark),
     )
 
 

@@ -49,6 +49,12 @@ def _case(column: str, mapping: dict[str, str], default: str) -> str:
     return f"CASE {column} {arms} ELSE {default} END"
 
 
+def spread(spark: SparkSession) -> int | None:
+    """Tasks to deal texts to before patterns run over them, if the session asks for it (``docloom.spread``)."""
+    found = spark.conf.get("docloom.spread", None)
+    return int(found) if found else None
+
+
 def docs(spark: SparkSession, sf: str, *, labels: bool = False) -> DataFrame:
     """Text documents in nation folders; ``labels`` adds is_valid and has_active_workflow."""
     table = load(spark, sf, "documents")

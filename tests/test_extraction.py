@@ -9,7 +9,10 @@ import pytest
 from conftest import tuples
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from docloom.functions import patterns
+from docloom.functions.patterns import need_of
 from docloom.operators import extraction as ex
 from docloom.schemas import EXTRACTION_RESULTS
 from docloom.sources.pages import extraction_items, page_items, read_pages
@@ -84,8 +87,8 @@ def test_flatten_by_name_falls_back_to_id(results):
 
 def test_collision_is_an_error_by_name_only(results):
     rows = results({1: [item(5, "Total", 1.0), item(6, "Total", 2.0)]})
-    with pytest.raises(ValueError, match="prompt_id"):
-        ex.flatten_values(rows, strict=True)
+    with pytest.raises(Exception, match="Total appears 2 times on document 1; flatten with key_by='prompt_id'"):
+        ex.flatten_values(rows, strict=True).count()
     flat = ex.flatten_values(rows, key_by="prompt_id", strict=True)
     assert tuples(flat, "field_key", "value") == [("5", "1"), ("6", "2")]
     assert tuples(ex.key_collisions(ex.with_field_key(rows)), "field_key", "items") == [("Total", 2)]
@@ -245,6 +248,66 @@ def test_empty_answer_is_an_answer(table):
     assert tuples(ex.run_extractor(docs, [rule]), "document_id", "raw_value") == [(1, ""), (2, "5")]
 
 
+@pytest.mark.parametrize(("pattern", "literal", "any_case", "never_empty"), [
+    (r"[+]1 [(][0-9]{3}[)] [0-9]{3}-[0-9]{4}", "+1 (", False, True),
+    (r"total=([0-9]*)", "total=", False, True),
+    (r"(?i)Total[ ]?due", "Total", True, True),
+    (r"(?:foo|bar)baz+q?", "baz", False, True),
+    (r"foot|food", "foo", False, True),
+    (r"\bab(cd)ef\b", "abcdef", False, True),
+    (r"x*", None, False, False),
+    (r"(?:abc)*", None, False, False),
+    (r"[0-9]{16}", None, False, True),
+    (r"naïve word", "ve word", False, True),
+])
+def test_needed_literals(pattern, literal, any_case, never_empty):
+    need = need_of(pattern)
+    assert (need.literal, need.any_case, need.never_empty) == (literal, any_case, never_empty)
+
+
+@pytest.mark.parametrize("pattern", [r"[a-z&&[^bc]]xyz", r"\Qa.b\E", r"(?<n>abc)", r"\hword", r"(?x)a b c", r"a(?s:b.c)\p{L}"])
+def test_patterns_that_only_java_reads_are_not_guessed(pattern):
+    assert need_of(pattern).literal is None
+
+
+@pytest.mark.parametrize("many", [1, 1000])
+def test_literal_filter_changes_no_answer(table, monkeypatch, many):
+    monkeypatch.setattr(patterns, "MANY", many)
+    texts = ["Total=5 total=7", "TOTAL DUE 3", "abc abcd", "", None, "x&y ünï total=", "\u212aelvin kelvin", "foo.bar", "zzz" * 5000 + "end total=9"]
+    docs = table("id long, text string, __may string", *[(i, x, "mine") for i, x in enumerate(texts)])
+    rules = [r"total=([0-9]*)", r"(?i)total due", r"abcd?", r"kelvin", r"(?i)kelvin", r"x*", r"foo[.]bar|bar", r"[a-z&&[^z]]+ total", r"end (?:total)=9"]
+    found = ex.run_extractor(docs.drop("__may"), [ex.ExtractRule(n, f"r{n}", "String", p, 1 if "(" in p and "?" not in p else 0) for n, p in enumerate(rules)])
+    got = {(r["document_id"], r["prompt_id"]): r["raw_value"] for r in found.collect()}
+    plain = docs.where("text is not null")
+    for n, p in enumerate(rules):
+        group = 1 if "(" in p and "?" not in p else 0
+        for r in plain.select("id", F.col("text").rlike(p).alias("hit"), F.regexp_extract("text", p, group).alias("value")).collect():
+            assert got.get((r["id"], n)) == (r["value"] if r["hit"] else None)
+    classes = [ex.ClassRule(f"c{n}", p) for n, p in enumerate(rules) if p != "x*"]
+    labels = {r["id"]: r["document_class"] for r in ex.run_classifier(docs.drop("__may"), classes, spread=3).collect()}
+    for i, x in enumerate(texts):
+        hits = [r["n"] for n, p in enumerate(rules) if p != "x*" for r in docs.where((F.col("id") == i) & F.col("text").rlike(p)).select(F.lit(n).alias("n")).collect()]
+        assert labels[i] == (f"c{hits[0]}" if hits else None)
+
+
+def test_flatten_reads_its_input_once(spark, table):
+    """The check is part of the same plan: one scan of the results, and none beside it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = table("id long, text string", *[(i, f"total={i}") for i in range(50)])
+    rule = ex.ExtractRule(1, "Total", "Number", "total=([0-9]*)", 1)
+    found = ex.run_extractor(docs, [rule])
+    counted = found.mapInArrow(count, found.schema)
+    assert ex.flatten_values(counted).count() == 50 and seen.value == 50
+    assert "Window" not in ex.flatten_values(found, rules=[rule])._jdf.queryExecution().toString()
+    assert not ex.distinct_keys([rule, ex.ExtractRule(2, "Total", "Number", "x")])
+
+
 def test_collisions_in_a_cell_raise(table):
     schema = "document_id long, key_kind string, field_key string, value string"
     flat = table(schema, (1, "name", "T", "a"), (1, "name", "T", "b"), (2, "name", "T", "c"))
