@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from docloom.streaming.combine import earliest_rows
+
 
 def first_requests_stream(
     requests: DataFrame, *, key: str = "key", retention: str = "1 day"
@@ -22,7 +24,9 @@ def first_requests_stream(
     """
     columns = requests.columns
     order = ["__us", *(c for c in ("request_id",) if c in columns)]
-    timed = requests.withWatermark("ts", retention).withColumn("__us", F.unix_micros("ts"))
+    # A task hands on the earliest request of a key, with the latest time as the row's time.
+    timed = requests.withColumn("__us", F.unix_micros("ts")).withColumn("__ts", F.col("ts"))
+    timed = earliest_rows(timed, key, order, "__ts").withWatermark("__ts", retention)
 
     def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:

@@ -20,6 +20,7 @@ from docloom.functions.enums import (
     is_ready,
 )
 from docloom.operators.waits import JOB_WAIT_SECONDS, has_deadline
+from docloom.streaming.combine import earliest_rows
 
 #: Tasks that the repeats of one hot key are spread over before the last step.
 SALTS = 16
@@ -61,13 +62,15 @@ def completion_stream(
     ts_us = F.unix_micros("ts")
     if timed:
         done = done & (ts_us <= (start_ms + budget_ms) * 1000)
-    shaped = events.withWatermark("ts", watermark).select(
+    shaped = events.select(
         "subject_id",
         "ts",
         F.when(done, F.col("status")).alias("done_status"),
-        ts_us.alias("ts_us"),
+        F.when(done, ts_us).alias("ts_us"),
         start_ms.alias("start_ms"),
     )
+    # Of a subject's rows a task keeps the earliest done one, or any: a hot subject is a row per task.
+    shaped = earliest_rows(shaped, "subject_id", ["ts_us"], "ts").withWatermark("ts", watermark)
 
     def step(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState

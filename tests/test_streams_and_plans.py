@@ -12,6 +12,8 @@ from docloom.operators.extraction import ExtractRule
 from docloom.operators.jobs import BudgetExceeded
 from docloom.operators.selectors import Catalog, combine, named
 from docloom.plans.extract import ExtractionFailed, extract, uncovered_files
+from docloom.streaming import combine
+from docloom.streaming.combine import earliest_rows
 from docloom.streaming.ingest import ingest_stream
 from docloom.streaming.replay import first_requests_stream
 from docloom.streaming.status import completion_stream, unknown_status_stream
@@ -99,6 +101,20 @@ def test_streams_take_the_earliest_of_unordered_rows(spark, tmp_path):
     assert first == taken == earliest
 
 
+def test_a_hot_key_reaches_its_state_as_one_row_per_task(spark, table, tmp_path, monkeypatch):
+    rows = [(7 if n % 3 else n, n % 4, None if n == 9 else NOON + datetime.timedelta(seconds=(n * 31) % 997)) for n in range(1, 900)]
+    rows += [(None, 5, NOON), (None, 4, NOON)]
+    frame = table("subject_id long, request_id long, ts timestamp", *rows).repartition(6)
+    found = earliest_rows(frame.withColumn("at", F.col("ts")), "subject_id", ["ts", "request_id"], "at")
+    assert found.groupBy("subject_id").count().agg(F.max("count")).first()[0] <= 6
+    order = F.struct("ts", "request_id")
+    best = found.groupBy("subject_id").agg(F.min(order).alias("first"), F.max("at").alias("last"))
+    plain = frame.where("ts is not null").groupBy("subject_id").agg(F.min(order).alias("first"), F.max("ts").alias("last"))
+    assert sorted(best.collect(), key=repr) == sorted(plain.collect(), key=repr)
+    monkeypatch.setattr(combine, "MOST_KEYS", 10)
+    assert earliest_rows(frame, "subject_id", ["request_id"], "ts").select("subject_id").distinct().count() == frame.where("ts is not null").select("subject_id").distinct().count()
+
+
 def test_arriving_files_are_loaded_once(spark, table, tmp_path):
     inbox, out = tmp_path / "in", tmp_path / "out"
     inbox.mkdir()
