@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import heapq
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from docloom.llm.common import Shared, slices
 
 #: Words whose ids a Python process remembers at a time; the first half, seen early and so often, stays.
-MOST_KNOWN = 300_000
+MOST_KNOWN = 200_000
+#: Bytes of text that are worked on at a time.
+SLICE_BYTES = 1 << 20
 #: Longer words are merged one by one with a heap, so that time stays near linear.
 LONG_WORD = 64
 _NONE = np.int64(1) << 40
@@ -162,6 +164,22 @@ class Vocabulary:
         return [p for p in parts if p >= 0]
 
 
+def _encoded(own: Vocabulary, split: Callable[[str], list[str]], column: pa.Array) -> pa.ListArray:
+    texts = [split(text or "") for text in column.to_pylist()]
+    own.learn(set().union(*texts))
+    rows = [b"".join(map(own.known.__getitem__, words)) for words in texts]
+    sizes = [0, *(len(row) // 4 for row in rows)]
+    ids = pa.array(np.frombuffer(b"".join(rows), np.int32))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), ids)
+
+
+def _decoded(pieces: list[bytes], column: pa.ListArray) -> pa.Array:
+    arrays = (x.values for x in column)
+    piece = pieces.__getitem__
+    found = [b"" if x is None else b"".join(map(piece, x.to_numpy(zero_copy_only=False).tolist())) for x in arrays]
+    return pa.array(found, pa.binary())
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", output: str = "ids") -> DataFrame:
     """``docs`` with an array of token ids of the whole text in ``output``.
 
@@ -177,14 +195,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", o
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.get()
         split = regex.compile(own.pattern).findall
-        for batch in slices(batches, text_column, 4 << 20):
-            texts = [split(text or "") for text in batch.column(kinds.index(text_column)).to_pylist()]
-            own.learn(set().union(*texts))
-            rows = [b"".join(map(own.known.__getitem__, words)) for words in texts]
-            sizes = [0, *(len(row) // 4 for row in rows)]
-            ids = pa.array(np.frombuffer(b"".join(rows), np.int32))
-            column = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), ids)
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*kinds, output])
+        for batch in slices(batches, text_column, SLICE_BYTES):
+            ids = _encoded(own, split, batch.column(kinds.index(text_column)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*kinds, output])
 
     return docs.mapInArrow(scan, schema)
 
@@ -201,12 +214,33 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids", out
     kinds = [f for f in schema.fieldNames() if f != output]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = shared.get().__getitem__
+        pieces = shared.get()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 some = batch.slice(start, 256)
-                arrays = (x.values for x in some.column(kinds.index(ids_column)))
-                found = [b"" if x is None else b"".join(map(piece, x.to_numpy(zero_copy_only=False).tolist())) for x in arrays]
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(found, pa.binary())], [*kinds, output])
+                found = _decoded(pieces, some.column(kinds.index(ids_column)))
+                yield pa.RecordBatch.from_arrays([*some.columns, found], [*kinds, output])
 
     return rows.mapInArrow(scan, schema)
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one scan: ``ids`` and ``decoded`` instead of the text.
+
+    The same two steps, with one Python process per core and one copy of the vocabulary.
+    """
+    shared = Shared(docs.sparkSession, vocabulary)
+    docs = docs.drop("ids", "decoded")
+    kept = [c for c in docs.columns if c != text_column]
+    columns = docs.select(*kept).withColumn("ids", F.lit(None).cast("array<int>")).withColumn("decoded", F.lit(None).cast("binary"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.get()
+        split = regex.compile(own.pattern).findall
+        for batch in slices(batches, text_column, SLICE_BYTES):
+            names = batch.schema.names
+            ids = _encoded(own, split, batch.column(names.index(text_column)))
+            others = [batch.column(names.index(c)) for c in kept]
+            yield pa.RecordBatch.from_arrays([*others, ids, _decoded(own.pieces, ids)], [*kept, "ids", "decoded"])
+
+    return docs.mapInArrow(scan, columns.schema)

@@ -47,9 +47,7 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = byte_vocabulary()
-    encoded = byte_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
-    return digests(byte_bpe.decode(encoded.drop("text"), vocabulary))
+    return digests(byte_bpe.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), byte_vocabulary()))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

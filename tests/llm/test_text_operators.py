@@ -39,6 +39,14 @@ def test_bpe_equals_the_library(awkward, vocabulary, library):
         assert bytes(row["decoded"]) == (row["text"] or "").encode()
 
 
+def test_bpe_round_trip_in_one_scan(awkward, nothing, vocabulary):
+    wanted = byte_bpe.decode(byte_bpe.encode(awkward, vocabulary), vocabulary).drop("text")
+    found = byte_bpe.round_trip(awkward, vocabulary)
+    assert set(found.columns) == set(wanted.columns)
+    assert sorted(found.select(*wanted.columns).collect(), key=repr) == sorted(wanted.collect(), key=repr)
+    assert byte_bpe.round_trip(nothing, vocabulary).count() == 0
+
+
 def test_bpe_digests(awkward, vocabulary, library):
     rows = digests(byte_bpe.decode(byte_bpe.encode(awkward, vocabulary), vocabulary)).collect()
     texts = {i: t or "" for i, t in enumerate(AWKWARD)} | {None: "a b c d e f"}
