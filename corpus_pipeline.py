@@ -53,9 +53,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stage before wrote, as a column (it follows from the same rows).  Rows that share id and
     source have the first of their places.
     """
-    vocabulary = byte_vocabulary()
-    encoded = byte_bpe.encode(docs.select("doc_id", "source", "text"), vocabulary)
-    done = digests(byte_bpe.decode(encoded.drop("text"), vocabulary), "source", "ids")
+    encoded = byte_bpe.round_trip(docs.select("doc_id", "source", "text"), byte_vocabulary())
+    done = digests(encoded, "source", "ids")
     order = mix_sources(docs).groupBy("doc_id", "source").agg(F.min("mix_position").alias("mix_position"))
     order = order.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "mix_position")
     same = done["doc_id"].eqNullSafe(order["__id"]) & done["source"].eqNullSafe(order["__source"])
