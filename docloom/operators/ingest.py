@@ -154,23 +154,35 @@ def upload_outcomes(
     rejected without id.  Everything else gets ``first_id + ordinal``.  Under
     ``block`` a duplicate keeps that id in its outcome although the document is
     not made; an accepted item without a local file fails without an error.
+
+    Names are unique per folder inside the set as well: of files for the same place the
+    one of the smallest ordinal takes it, later ones are rejected and carry its id.  Too
+    large files and blocked duplicates take no place.
     """
     if on_duplicate not in DUPLICATE_POLICIES:
         raise ValueError(f"on_duplicate must be one of {', '.join(DUPLICATE_POLICIES)}")
-    holders = catalog.groupBy(
-        F.col("folder_id").alias("__folder"), F.col("name").alias("__name")
-    ).agg(F.min("id").alias("holder_id"))
+    folder, place_name = F.col("folder_id").alias("__folder"), F.col("name").alias("__name")
+    holders = catalog.groupBy(folder, place_name).agg(F.min("id").alias("holder_id"))
     place = F.col("folder_id").eqNullSafe(F.col("__folder")) & (
         F.col("file_name") == F.col("__name")
     )
     rows = files.join(settled(holders), place, "left").drop("__folder", "__name")
     has_file = F.col("has_file") if "has_file" in files.columns else F.lit(True)
 
-    clash = F.col("holder_id").isNotNull()
     limit = F.lit(max_size).cast("long")
     too_large = F.coalesce(F.col("size") > limit, F.lit(False))
+    blocked = (F.col("duplicate_count") > 0) & F.lit(on_duplicate == "block")
+    new_id = F.lit(first_id).cast("long") + F.col("ordinal")
+    # What would be made, were it alone in the set; of each place the first one is.
+    claims = rows.where(F.col("holder_id").isNull() & ~too_large & ~blocked)
+    winners = claims.groupBy(F.col("folder_id").alias("__folder"), F.col("file_name").alias("__name")).agg(
+        F.min(new_id).alias("winner_id")
+    )
+    rows = rows.join(settled(winners), place, "left").drop("__folder", "__name")
+    taken = ~too_large & ~blocked & (F.col("winner_id") < new_id)
+    clash = F.col("holder_id").isNotNull() | F.coalesce(taken, F.lit(False))
     slot = ~clash & ~too_large
-    skipped = slot & (F.col("duplicate_count") > 0) & F.lit(on_duplicate == "block")
+    skipped = slot & blocked
     size = F.col("size").cast("long")
 
     def failure(code: str, message: str) -> Column:
@@ -185,9 +197,7 @@ def upload_outcomes(
     error = F.when(
         clash, failure("NAME_ALREADY_EXISTS", "a document of this name is in the folder")
     ).when(too_large, failure("FILE_TOO_LARGE", "the file is above the size limit"))
-    document_id = F.when(clash, F.col("holder_id")).when(
-        slot, F.lit(first_id).cast("long") + F.col("ordinal")
-    )
+    document_id = F.when(clash, F.coalesce("holder_id", "winner_id")).when(slot, new_id)
     return rows.withColumns(
         {
             "document_id": document_id,
@@ -195,7 +205,7 @@ def upload_outcomes(
             "skipped_as_duplicate": skipped,
             "error": error,
         }
-    ).drop("holder_id")
+    ).drop("holder_id", "winner_id")
 
 
 def duplicate_warnings(outcomes: DataFrame) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.operators import ingest as i
+from docloom.operators.folders import folder_paths
 from docloom.operators.projects import get_or_create_projects
-from docloom.plans.ingest import IngestResult, ingest_files
+from docloom.plans.ingest import IngestResult, ingest_files, load_files
+from docloom.session import scratch_path
 from queryset import tables as t
 from queryset.registry import query
 from queryset.tables import sql
@@ -173,6 +175,75 @@ def rejections(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _nested(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of the documents in folders by language; ten sources of a language share the names."""
+    docs = t.docs(spark, sf)
+    name = F.concat_ws("/", F.col("document_class"), F.col("id") % 7, F.concat(F.lit("f"), F.floor(F.col("id") / 10), F.lit(".txt")))
+    folder = F.lit(None).cast("long").alias("folder_id")
+    return docs.select(name.alias("path"), F.col("file_size").alias("size"), "md5", folder, F.col("id").alias("page_count"))
+
+
+_NESTED = """WITH nested AS (
+  SELECT lang, doc_id % 7 AS part, doc_id // 10 AS number, doc_id, md5(text) AS md5 FROM documents)"""
+
+
+@query(
+    "i1_layout_folders",
+    f"""{_NESTED}
+        SELECT lang || '/' || part AS folder, count(DISTINCT number) AS documents, count(*) AS files
+        FROM nested GROUP BY 1""",
+)
+def layout_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents by the folder they landed in, after get-or-create of all folders."""
+    run = _nested_run(spark, sf)
+    paths = folder_paths(run.folders).select(F.col("id").alias("folder_id"), F.array_join("path_names", "/").alias("folder"))
+    placed = run.outcomes.join(paths, "folder_id")
+    return placed.groupBy("folder").agg(F.count_if("uploaded").alias("documents"), F.count("*").alias("files"))
+
+
+@query(
+    "i9_places_in_the_set",
+    f"""{_NESTED}
+        SELECT lang || '/' || part AS folder, 'f' || number || '.txt' AS file_name, count(*) AS files,
+               CAST(1 AS BIGINT) AS uploaded, count(*) - 1 AS rejected, CAST(1 AS BIGINT) AS ids
+        FROM nested GROUP BY 1, 2""",
+)
+def places_in_the_set(spark: SparkSession, sf: str) -> DataFrame:
+    run = _nested_run(spark, sf)
+    paths = folder_paths(run.folders).select(F.col("id").alias("folder_id"), F.array_join("path_names", "/").alias("folder"))
+    taken = F.col("error.code") == "NAME_ALREADY_EXISTS"
+    return run.outcomes.join(paths, "folder_id").groupBy("folder", "file_name").agg(
+        F.count("*").alias("files"), F.count_if("uploaded").alias("uploaded"), F.count_if(taken).alias("rejected"),
+        F.count_distinct("document_id").alias("ids"),
+    )
+
+
+def _nested_run(spark: SparkSession, sf: str) -> IngestResult:
+    none = spark.createDataFrame([], "id long, name string, folder_id long, md5 string")
+    folders = spark.createDataFrame([], "id long, name string, parent_id long")
+    return ingest_files(_nested(spark, sf), none, base_key="nested", flatten=False, folders=folders)
+
+
+@query(
+    "i6_failed_and_resumed_run",
+    sql("""SELECT path, CASE WHEN ordinal // 100 < 2 THEN 0 ELSE 1 END AS run, ordinal // 100 AS batch_no
+        FROM planned p WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.name = p.file_name)"""),
+)
+def failed_and_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """The third batch fails, a second call loads it and all after it: the run that loaded each file."""
+    out = scratch_path(spark, "loaded")
+
+    def fails(batch):  # noqa: ANN001, ANN202
+        if int(batch["batch_no"].iloc[0]) == 2:
+            raise OSError("no route")
+
+    files, held = t.incoming(spark, sf), t.held(spark, sf)
+    load_files(files, held, out, base_key="bulk", transfer=fails)
+    load_files(files, held, out, base_key="bulk", transfer=lambda batch: None)
+    outcomes = spark.read.parquet(f"{out}/outcomes").where("uploaded")
+    return outcomes.select("path", F.col("run").cast("int").alias("run"), "batch_no")
+
+
 _COUNTS = """count(*) AS files, count(*) FILTER (WHERE slot AND duplicate_count = 0) AS succeeded,
     count(*) FILTER (WHERE NOT slot) AS failed, count(*) FILTER (WHERE slot AND duplicate_count > 0) AS skipped,
     count(document_id) AS document_ids"""

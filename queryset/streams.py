@@ -131,3 +131,24 @@ def continuous_ingest(spark: SparkSession, sf: str) -> DataFrame:
     loaded = spark.read.parquet(out + "/outcomes").where("uploaded")
     lang = F.regexp_extract("path", "lang=([a-z]+)", 1)
     return loaded.groupBy(lang.alias("lang")).agg(F.sum("size").alias("bytes"))
+
+
+@query(
+    "t7_ingested_files",
+    """SELECT 'lang=' || lang AS folder, md5(string_agg(text || chr(10), '' ORDER BY doc_id)) AS md5,
+              CAST(0 AS INTEGER) AS epoch, true AS uploaded FROM documents GROUP BY 1
+       UNION ALL
+       SELECT 'source=' || source, md5(string_agg(text || chr(10), '' ORDER BY doc_id)), 1, true
+       FROM documents GROUP BY 1""",
+)
+def ingested_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Two micro-batches, a file per language and then a file per source: md5 and outcome of each."""
+    inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "ingested")
+    docs = t.load(spark, sf, "documents").select("text", "lang", "source", "doc_id")
+    for key in ("lang", "source"):
+        ordered = docs.repartition(key).sortWithinPartitions(key, "doc_id").select("text", key)
+        ordered.write.mode("append").partitionBy(key).text(inbox)
+        ingest_stream(spark, inbox, t.held(spark, sf), out, base_key="live", flatten=False).awaitTermination()
+    outcomes = spark.read.parquet(out + "/outcomes")
+    folder = F.substring_index("rel_path", "/", 1).alias("folder")
+    return outcomes.select(folder, "md5", F.col("epoch").cast("int").alias("epoch"), "uploaded")

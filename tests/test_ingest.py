@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators import downloads
 from docloom.operators import ingest as i
-from docloom.plans.ingest import ingest_files
+from docloom.plans.ingest import ingest_files, load_files
 
 FILES = "path string, size long, md5 string, folder_id long"
 HELD = "id long, name string, folder_id long, md5 string"
@@ -78,6 +78,69 @@ def test_duplicate_policies(table, policy, uploaded, skipped, warned):
     assert (summary["failed"], summary["skipped"], summary["document_ids"]) == (0, int(skipped), 1)
 
 
+def test_places_are_unique_inside_the_set(table):
+    files = table(FILES, ("x/b.pdf", 1, "m1", 7), ("y/b.pdf", 1, "m2", 7), ("z/b.pdf", 99, "m3", 7), ("v/b.pdf", 1, "dup", 7), ("w/b.pdf", 1, "m4", 8))
+    held = table(HELD, (50, "other", 7, "dup"))
+    out = ingest_files(files, held, base_key="k", max_size=50, on_duplicate="block", check_names=False)
+    got = {r["path"]: (r["uploaded"], r["document_id"], r["error"] and r["error"]["code"], r["skipped_as_duplicate"]) for r in out.outcomes.collect()}
+    assert got == {
+        "v/b.pdf": (False, 51, None, True),  # a blocked duplicate takes no place
+        "w/b.pdf": (True, 52, None, False),  # another folder
+        "x/b.pdf": (True, 53, None, False),
+        "y/b.pdf": (False, 53, "NAME_ALREADY_EXISTS", False),
+        "z/b.pdf": (False, None, "FILE_TOO_LARGE", False),
+    }
+    assert tuples(out.documents, "id", "name", "folder_id") == [(52, "b.pdf", 8), (53, "b.pdf", 7)]
+
+
+def test_layout_is_rebuilt_as_folders(table):
+    folders = table("id long, name string, parent_id long", (1, "root", None), (2, "sub", 1))
+    files = table(FILES, ("a.pdf", 1, "m1", None), ("sub/b.pdf", 1, "m2", None), ("sub/deep/b.pdf", 1, "m3", None), ("sub//deep/c.pdf", 1, "m4", None), ("sub/deep/./b.pdf", 1, "m5", None))
+    held = table(HELD, (9, "b.pdf", 2, "q"))
+    out = ingest_files(files, held, base_key="k", flatten=False, folders=folders, parent_id=1)
+    assert tuples(out.created_folders, "id", "name", "parent_id") == sorted([(3, "deep", 2), (4, ".", 3)], key=repr)
+    got = {r["path"]: (r["file_name"], r["folder_id"], r["uploaded"]) for r in out.outcomes.collect()}
+    assert got == {
+        "a.pdf": ("a.pdf", 1, True), "sub/b.pdf": ("b.pdf", 2, False), "sub/deep/b.pdf": ("b.pdf", 3, True),
+        "sub//deep/c.pdf": ("c.pdf", 3, True), "sub/deep/./b.pdf": ("b.pdf", 4, True)}
+    assert out.folders.count() == 4
+    top = ingest_files(files, held, base_key="k", flatten=False, folders=folders)
+    assert {r["path"]: r["folder_id"] for r in top.outcomes.collect()}["a.pdf"] is None
+
+
+def test_a_failing_batch_stops_and_the_next_run_goes_on(spark, table, tmp_path):
+    held = table(HELD, (9, "x", None, "zz"))
+    files, out = files_of(table, 9), str(tmp_path / "out")
+    broken = tmp_path / "broken"
+    broken.write_text("")
+
+    def transfer(batch):
+        assert list(batch["ordinal"]) == sorted(batch["ordinal"])
+        if broken.exists() and "f4.pdf" in set(batch["file_name"]):
+            raise OSError("no route")
+
+    options = {"base_key": "k", "batch_size": 2, "transfer": transfer, "project_id": 5, "tag_ids": [3, 4]}
+    first = load_files(files, held, out, **options)
+    assert tuple(first.progress.first()) == (2, 2, "OSError: no route", True)
+    assert tuples(first.documents, "id") == [(10,), (11,), (12,), (13,)] and first.outcomes.count() == 4
+    assert first.project_documents.count() == 4 and first.document_tags.count() == 8
+    broken.unlink()
+    second = load_files(files, held, out, **options)
+    assert tuple(second.progress.first()) == (3, None, None, False)
+    done = spark.read.parquet(out + "/documents")
+    assert sorted(r["name"] for r in done.collect()) == [f"f{n}.pdf" for n in range(9)]
+    assert done.select("id").distinct().count() == 9
+    third = load_files(files, held, out, **options)
+    assert third.documents.count() == 0 and tuple(third.progress.first())[0] == 0
+
+
+def test_a_run_that_died_before_its_ledger_does_not_count(spark, table, tmp_path):
+    out = str(tmp_path / "out")
+    files_of(table, 1).select(F.lit(77).alias("id"), F.lit("ghost").alias("name")).write.parquet(out + "/documents/run=0")
+    load_files(files_of(table, 3), table(HELD, (9, "x", None, "zz")), out, base_key="k")
+    assert tuples(spark.read.parquet(out + "/documents"), "id") == [(10,), (11,), (12,)]
+
+
 def test_unknown_policy(table):
     with pytest.raises(ValueError, match="on_duplicate"):
         ingest_files(files_of(table, 1), table(HELD), base_key="k", on_duplicate="ask")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 import json
 import os
 
@@ -140,6 +141,32 @@ def test_arriving_files_are_loaded_once(spark, table, tmp_path):
     assert [(c["batch_key"], c["succeeded"], c["skipped"]) for c in counts[:2]] == [("live-0-0000", 1, 0), ("live-1-0000", 1, 1)]
 
 
+@pytest.mark.parametrize("flatten", [True, False])
+def test_repeated_names_are_outcomes_and_do_not_stop_the_stream(spark, table, tmp_path, flatten):
+    inbox, out = tmp_path / "in", tmp_path / "out"
+    held = table("id long, name string, folder_id long, md5 string", (7, "taken.txt", None, "x"))
+    for name in ("a/x.txt", "b/x.txt", "_hidden.txt", "sub dir/y.txt"):
+        (inbox / name).parent.mkdir(parents=True, exist_ok=True)
+        (inbox / name).write_text(name)
+
+    def run():
+        ingest_stream(spark, str(inbox), held, str(out), base_key="live", flatten=flatten).awaitTermination()
+        return {r["path"].split("/in/")[1]: r for r in spark.read.parquet(str(out / "outcomes")).collect()}
+
+    got = run()
+    assert {n: r["uploaded"] for n, r in got.items()} == {"a/x.txt": True, "b/x.txt": not flatten, "sub dir/y.txt": True}
+    assert got["a/x.txt"]["md5"] == hashlib.md5(b"a/x.txt").hexdigest()
+    if flatten:
+        assert got["b/x.txt"]["error"]["code"] == "NAME_ALREADY_EXISTS" and got["b/x.txt"]["document_id"] == got["a/x.txt"]["document_id"]
+    (inbox / "c").mkdir()
+    (inbox / "c/x.txt").write_text("again")
+    (inbox / "c/taken.txt").write_text("mine")
+    later = run()
+    assert later["c/x.txt"]["uploaded"] is not flatten and later["c/taken.txt"]["uploaded"] is not flatten
+    ids = [r["document_id"] for r in later.values() if r["uploaded"]]
+    assert len(set(ids)) == len(ids)
+
+
 RULES = [ExtractRule(5, "Total", "Number", r"total=([0-9.]+)", 1), ExtractRule(6, "Vendor", "String", r"by ([a-z]+)", 1)]
 
 
