@@ -23,7 +23,7 @@ from docloom.session import materialize
 
 #: Vectors of one tree and queries of one block; both stay in one task's memory.
 SHARD_ROWS, QUERY_ROWS = 4096, 2048
-LEAF = 64
+LEAF = 256
 NEIGHBOURS = 20
 _NO_ID = np.iinfo(np.int64).max
 
@@ -39,6 +39,16 @@ def _sane(frame: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return rows.withColumn("dim", F.size("vector"))
 
 
+def _reachable(ids: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Without the rows that can be nobody's neighbour: of equal vectors the k + 1 smallest ids win every tie."""
+    kind = np.unique(points, axis=0, return_inverse=True)[1].ravel()
+    order = np.lexsort((ids, kind))
+    kind = kind[order]
+    rank = np.arange(len(kind)) - np.searchsorted(kind, kind)
+    kept = order[rank <= k]
+    return ids[kept], points[kept]
+
+
 class Tree:
     """A vantage-point tree over the rows of a matrix; points of a subtree lie side by side."""
 
@@ -80,20 +90,36 @@ class Tree:
         found = np.full((len(queries), k), _NO_ID)
         norms = (queries * queries).sum(axis=1)
         slack = 1e-6 * np.sqrt(norms + self.top)
+        # More than any two ways of adding up a product can differ.
+        error = 8 * queries.shape[1] * np.finfo(float).eps * np.sqrt(norms * self.top)
 
         def scan(start: int, stop: int, active: np.ndarray) -> None:
-            for at in range(0, len(active), 256):
-                some = active[at : at + 256]
-                got = np.zeros((len(some), stop - start))
-                for d in range(queries.shape[1]):  # plain left-to-right sums: equal vectors score equally
-                    got += queries[some, d, None] * self.points[None, start:stop, d]
-                names = np.broadcast_to(self.ids[start:stop], got.shape)
-                got = np.where(names == query_ids[some, None], -np.inf, got)
-                both = np.concatenate([scores[some], got], axis=1)
-                named = np.where(np.isneginf(both), _NO_ID, np.concatenate([found[some], names], axis=1))
-                best = np.lexsort((named, -both), axis=1)[:, :k]
-                scores[some] = np.take_along_axis(both, best, axis=1)
-                found[some] = np.take_along_axis(named, best, axis=1)
+            """Matrix products name the pairs that can matter; only those get their exact scores."""
+            points, ids = self.points[start:stop], self.ids[start:stop]
+            for at in range(0, len(active), 1024):
+                some = active[at : at + 1024]
+                rough = queries[some] @ points.T
+                rough[ids == query_ids[some, None]] = -np.inf
+                floor = scores[some, -1]
+                if len(ids) > k:  # the k best of this leaf bound the rest of it
+                    floor = np.maximum(floor, np.partition(rough, -k, axis=1)[:, -k] - error[some])
+                row, column = np.nonzero(rough >= (floor - error[some])[:, None])
+                own = ids[column] != query_ids[some[row]]  # where all is -inf, every pair is named
+                row, column = row[own], column[own]
+                if not len(row):
+                    continue
+                # Plain left-to-right sums: equal vectors score equally.
+                exact = np.cumsum(queries[some[row]] * points[column], axis=1)[:, -1]
+                touched = np.unique(row)
+                old = some[touched]
+                of = np.concatenate([np.repeat(touched, k), row])
+                values = np.concatenate([scores[old].ravel(), exact])
+                names = np.concatenate([found[old].ravel(), ids[column]])
+                order = np.lexsort((names, -values, of))
+                of = of[order]
+                place = np.arange(len(of)) - np.searchsorted(of, touched)[np.searchsorted(touched, of)]
+                best = order[place < k]
+                scores[old], found[old] = values[best].reshape(-1, k), names[best].reshape(-1, k)
 
         def visit(number: int, active: np.ndarray) -> None:
             start, stop, children, ranges = self.nodes[number]
@@ -156,7 +182,8 @@ def nearest(
         return frame["vec_id"].to_numpy(np.int64), np.stack(frame["vector"].to_list()).astype(np.float64)
 
     def plant(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame[["dim", "shard"]].head(1).assign(tree=cloudpickle.dumps(Tree(*matrix(frame))))
+        ids, rows = _reachable(*matrix(frame), k)
+        return frame[["dim", "shard"]].head(1).assign(tree=cloudpickle.dumps(Tree(ids, rows)))
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         return frame[["dim", "block"]].head(1).assign(asked=cloudpickle.dumps(matrix(frame)))

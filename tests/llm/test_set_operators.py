@@ -202,13 +202,15 @@ def test_line_classes(spark, awkward, nothing):
     assert line_dedup.line_classes(nothing).count() == 0
 
 
-@pytest.mark.parametrize("factor", [1.0, 1.5])
-def test_neighbours(spark, factor):
+@pytest.mark.parametrize(("factor", "shard", "block"), [(1.0, 4096, 2048), (1.5, 4096, 2048), (1.0, 150, 11)])
+def test_neighbours(spark, monkeypatch, factor, shard, block):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", shard)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", block)
     r = np.random.default_rng(9)
     points = r.normal(size=(900, 8)) * r.uniform(0.2, 3, (900, 1))
     points[100:400] = points[100]
     rows = [(i, p.tolist()) for i, p in enumerate(points)] + [(900, None), (901, [0.0] * 8), (902, [float("nan")] * 8), (903, [None] * 8), (904, [1.0] * 3), (None, [1.0] * 8)]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    frame = spark.createDataFrame([(*x, 1, 2, 3) for x in rows], "vec_id long, embedding array<double>, shard int, block int, dim int")
     found = defaultdict(list)
     for x in neighbours.nearest(frame, frame.where("vec_id % 20 = 0"), 10, factor).orderBy("query_id", "rank").collect():
         found[x["query_id"]].append(x["vec_id"])
