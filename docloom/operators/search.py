@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.operators.ordinals import with_dense_ordinal
-
 DEFAULT_PAGE_SIZE = 50
 
 
@@ -24,6 +22,25 @@ def total_order(order_by: str = "id", order_dir: str = "asc", tie: str = "id") -
     return [first, F.col(tie).asc()]
 
 
+#: A page that ends within so many rows is taken from the first ones directly.
+DIRECT_ROWS = 10_000
+#: Ranges that a deep page is narrowed down by at a time, and sampled keys per range.
+RANGES, SAMPLED = 64, 64
+#: So many rows are sorted to cut a deep page out of its range.
+MOST_SORTED = 200_000
+
+
+def _after(order_by: str, order_dir: str, tie: str, value: Any, last: Any) -> Column:  # noqa: ANN401
+    """Rows that follow the row with the keys ``value`` and ``last``."""
+    column, tie_column = F.col(order_by), F.col(tie)
+    if order_by == tie:
+        return column > last if order_dir == "asc" else column < last
+    if value is None:
+        return column.isNull() & (tie_column > last)
+    beyond = column > F.lit(value) if order_dir == "asc" else column < F.lit(value)
+    return beyond | ((column == F.lit(value)) & (tie_column > last)) | column.isNull()
+
+
 def search_page(
     matches: DataFrame,
     *,
@@ -35,23 +52,56 @@ def search_page(
 ) -> DataFrame:
     """Rows of one 1-based page, with ``has_more`` on each row.
 
-    One row past the page is looked at to learn ``has_more``.  Only order key and tie
-    are sorted and numbered (runs jobs), the same way at any depth; the rows of the
-    page, no more than ``page_size``, are then fetched by their tie.  ``tie`` must
-    identify a row.
+    One row past the page is looked at to learn ``has_more``.  A page that ends within
+    DIRECT_ROWS rows is cut out of the first ones: every task keeps that many, nothing is
+    sorted as a whole or written.  A deeper page is looked for by counting (runs jobs): the
+    order is cut into RANGES ranges at sampled keys, rows are counted per range, and
+    only the range that holds the page is cut further or sorted.  ``tie`` must identify a row.
     """
     if page < 1 or page_size < 1:
         raise ValueError("page and page_size start at 1")
-    order = total_order(order_by, order_dir, tie)
     first = (page - 1) * page_size
+    skip = 0
+    if first + page_size >= DIRECT_ROWS:
+        matches, skip = _around(matches, first, first + page_size, order_by, order_dir, tie)
+    order = total_order(order_by, order_dir, tie)
+    top = matches.orderBy(*order).limit(first - skip + page_size + 1)
+    place = F.row_number().over(Window.orderBy(*order)) + skip
+    seen = top.withColumns({"__place": place, "__rows": F.count("*").over(Window.partitionBy()) + skip})
+    rows = seen.where((F.col("__place") > first) & (F.col("__place") <= first + page_size))
+    return rows.withColumn("has_more", F.col("__rows") > first + page_size).orderBy("__place").drop("__place", "__rows")
+
+
+def _around(matches: DataFrame, start: int, stop: int, order_by: str, order_dir: str, tie: str) -> tuple[DataFrame, int]:
+    """The rows of a range of the order that holds the places ``start`` to ``stop``, and how many come before it."""
     keys = matches.select(*dict.fromkeys([order_by, tie]))
-    numbered = with_dense_ordinal(keys, order, "__place", start=-first)
-    places = numbered.where(F.col("__place").between(0, page_size)).select(F.col(tie).alias("__tie"), "__place")
-    # At most page_size + 1 rows of two columns, whatever the table.
-    more = F.lit(places.where(F.col("__place") == page_size).count() > 0)
-    page_keys = F.broadcast(places.where(F.col("__place") < page_size))
-    rows = matches.join(page_keys, matches[tie].eqNullSafe(F.col("__tie")))
-    return rows.withColumn("has_more", more).orderBy("__place").drop("__place", "__tie")
+    order = total_order(order_by, order_dir, tie)
+    rows, before, inside = keys.count(), 0, F.lit(True)
+    while rows > MOST_SORTED and before + rows > start:
+        # About RANGES * SAMPLED keys come here, whatever the table.
+        part = keys.where(inside)
+        sample = part.sample(min(1.0, RANGES * SAMPLED / rows), seed=before + 1).orderBy(*order).limit(4 * RANGES * SAMPLED).collect()
+        cuts = sample[:: max(1, len(sample) // RANGES)]
+        later = [_after(order_by, order_dir, tie, cut[order_by], cut[tie]) for cut in cuts]
+        number = sum((F.coalesce(c, F.lit(False)).cast("int") for c in later), F.lit(0))
+        counts = dict(part.groupBy(number.alias("range")).agg(F.count("*").alias("n")).collect())
+        low, high, skipped, wanted = 0, len(cuts), 0, 0
+        while low < high and before + skipped + counts.get(low, 0) <= start:
+            skipped += counts.get(low, 0)
+            low += 1
+        last = low
+        wanted = counts.get(low, 0)
+        while last < high and before + skipped + wanted <= stop:
+            last += 1
+            wanted += counts.get(last, 0)
+        if wanted == rows:
+            break  # the page itself fills the range
+        if low > 0:
+            inside = inside & later[low - 1]
+        if last < len(cuts):
+            inside = inside & ~F.coalesce(later[last], F.lit(False))
+        before, rows = before + skipped, wanted
+    return matches.where(inside), before
 
 
 def search_after(
@@ -69,15 +119,7 @@ def search_after(
     filter that reaches the scan.
     """
     if after is not None:
-        value, last = after
-        column, tie_column = F.col(order_by), F.col(tie)
-        if order_by == tie:
-            later = column > last if order_dir == "asc" else column < last
-        elif value is None:
-            later = column.isNull() & (tie_column > last)
-        else:
-            beyond = column > F.lit(value) if order_dir == "asc" else column < F.lit(value)
-            later = beyond | ((column == F.lit(value)) & (tie_column > last)) | column.isNull()
+        later = _after(order_by, order_dir, tie, *after)
         matches = matches.where(later)
     return matches.orderBy(*total_order(order_by, order_dir, tie)).limit(page_size)
 

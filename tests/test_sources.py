@@ -144,7 +144,9 @@ def numbers(table):
 
 @pytest.mark.parametrize("direction", ["asc", "desc"])
 @pytest.mark.parametrize("deep", [10**6, 0])
-def test_pages_tile_the_order(numbers, direction, deep):
+def test_pages_tile_the_order(numbers, direction, deep, monkeypatch):
+    for name, value in (("DIRECT_ROWS", deep), ("MOST_SORTED", 4), ("RANGES", 4), ("SAMPLED", 2)):
+        monkeypatch.setattr(q, name, value)
     everything = [r["id"] for r in q.iterate(numbers, order_by="v", order_dir=direction).collect()]
     key = {r["id"]: r["v"] for r in numbers.collect()}
     sign = 1 if direction == "asc" else -1
@@ -174,8 +176,27 @@ def test_keyset_walk(numbers, direction, column):
     assert seen == everything
 
 
-def test_page_past_the_end_and_bad_arguments(numbers):
+def test_pages_are_not_sorted_as_a_whole(numbers, monkeypatch):
+    plan = q.search_page(numbers, page=2, page_size=5, order_by="v")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan.split("TakeOrderedAndProject")[1]
+    many = numbers.sparkSession.range(0, 50_000).selectExpr("id", "if(id % 3 = 0, 7, id % 5) as v")
+    for name, value in (("DIRECT_ROWS", 100), ("MOST_SORTED", 2_000)):
+        monkeypatch.setattr(q, name, value)
+    ordered = [r["id"] for r in many.orderBy("v", "id").collect()]
+    for page in (2, 61, 400, 500):
+        rows = q.search_page(many, page=page, page_size=100, order_by="v").collect()
+        assert [r["id"] for r in rows] == ordered[100 * (page - 1) : 100 * page]
+        assert {r["has_more"] for r in rows} == {page < 500}
+    part, skipped = q._around(many, 39_900, 40_000, "v", "asc", "id")
+    assert 0 < 39_900 - skipped and part.count() <= 2_000
+
+
+def test_page_past_the_end_and_bad_arguments(numbers, monkeypatch):
+    assert q.search_page(numbers, page=9, page_size=10).count() == 0
+    monkeypatch.setattr(q, "DIRECT_ROWS", 1)
+    monkeypatch.setattr(q, "MOST_SORTED", 2)
     assert q.search_page(numbers, page=9, page_size=10).count() == 0
+    assert q.search_page(numbers.where("false"), page=9, page_size=10).count() == 0
     with pytest.raises(ValueError):
         q.search_page(numbers, page=0)
     with pytest.raises(ValueError, match="order_dir"):
