@@ -80,25 +80,35 @@ def full_paths(paths: DataFrame, separator: str = "/") -> DataFrame:
     )
 
 
-def subtree_ids(folders: DataFrame, roots: Sequence[int]) -> DataFrame:
-    """Ids of the given folders and of all folders below them (runs jobs).
+def subtree_ids(folders: DataFrame, roots: Sequence[int] | DataFrame) -> DataFrame:
+    """Ids of the given folders (a list or a one-column table) and of all folders below them (runs jobs).
 
-    Walks down one level per round and touches only the subtree.  A folder is
-    taken once, so cycles end the walk.
+    Every folder asks whether it or a folder above it is given, by pointer doubling: a
+    round looks twice as far up as the one before, so depth d takes about log2(d) narrow
+    joins, however many roots there are.  A folder that has found one asks no more.
+    No path is longer than the number of folders; what still asks then goes in a circle.
     """
-    edges = folders.select("id", "parent_id")
-    level = materialize(edges.where(F.col("id").isin(*roots)).select("id"), "subtree")
-    levels, seen = [level], level
-    while True:
-        upper = level.select(F.col("id").alias("parent_id"))
-        below = edges.join(upper, "parent_id", "left_semi").select("id")
-        level = materialize(below.join(seen, "id", "left_anti"), "subtree")
-        if level.isEmpty():
-            return seen
-        levels.append(level)
-        seen = levels[0]
-        for part in levels[1:]:
-            seen = seen.unionByName(part)
+    given = F.col("id").isin(*roots) if not isinstance(roots, DataFrame) else F.col("__given").isNotNull()
+    known = folders.select(F.col("id").alias("__known"))
+    first = folders.select("id", "parent_id").join(settled(known), F.col("parent_id") == F.col("__known"), "left")
+    if isinstance(roots, DataFrame):
+        ids = roots.select(F.col(roots.columns[0]).cast("long").alias("__given")).distinct()
+        first = first.join(settled(ids), F.col("id") == F.col("__given"), "left")
+    latest = materialize(first.select("id", F.col("__known").alias("up"), F.coalesce(given, F.lit(False)).alias("inside")), "subtree")
+    asks = F.col("up").isNotNull() & ~F.col("inside")
+    done, reach, most = latest.where(~asks), 1, latest.count()
+    while reach <= most and not latest.where(asks).isEmpty():
+        waiting = latest.where(asks)
+        upper = done.unionByName(waiting).select(
+            F.col("id").alias("up"), F.col("up").alias("next_up"), F.col("inside").alias("upper_inside")
+        )
+        moved = waiting.join(settled(upper), "up", "left").select(
+            "id", F.col("next_up").alias("up"), F.coalesce("upper_inside", F.lit(False)).alias("inside")
+        )
+        latest = materialize(moved, "subtree")
+        done = done.unionByName(latest.where(~asks))
+        reach *= 2
+    return done.where("inside and id is not null").select("id").distinct()
 
 
 def with_has_children(folders: DataFrame) -> DataFrame:
@@ -307,12 +317,8 @@ def delete_folders(folders: DataFrame, requested: DataFrame, *, subtree: bool =
         "id", found.alias("outcome"), F.lit(True).alias("requested")
     )
     if subtree:
-        tree = folder_paths(folders)
         below = (
-            tree.select("id", F.explode("path_ids").alias("ancestor"))
-            .join(ids.select(F.col("id").alias("ancestor")), "ancestor", "left_semi")
-            .select("id")
-            .distinct()
+            subtree_ids(folders, ids)
             .join(ids, "id", "left_anti")
             .select("id", F.lit("deleted").alias("outcome"), F.lit(False).alias("requested"))
         )

@@ -98,3 +98,27 @@ def test_change_set(tree, table):
 def test_has_children(tree):
     assert tuples(f.with_has_children(tree), "id", "has_children") == [
         (1, True), (2, True), (3, False), (4, False), (5, False)]
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_subtrees_by_pointer_doubling(table, as_table):
+    chain = [(n, f"n{n}", n - 1 if n > 1 else None) for n in range(1, 41)]  # forty levels
+    bushes = [(100 + n, f"b{n}", 5 if n % 2 else 100 + n // 2) for n in range(1, 60)]
+    odd = [(900, "lost", 12345), (901, "round", 902), (902, "about", 901), (903, "off", 902), (None, "nameless", 3)]
+    rows = chain + bushes + odd
+    folders = table("id long, name string, parent_id long", *rows)
+    parent = {i: up for i, _, up in rows}
+
+    def inside(i, roots):
+        seen = set()
+        while i is not None and i in parent and i not in seen:
+            if i in roots:
+                return True
+            seen.add(i)
+            i = parent[i]
+        return False
+
+    for roots in ([1], [5, 30], [100], [903], [902], [777], [40, 40, 1, 2]):
+        given = table("wanted long", *[(r,) for r in roots]) if as_table else roots
+        found = [r["id"] for r in f.subtree_ids(folders, given).collect()]
+        assert sorted(found) == sorted(i for i in parent if i is not None and inside(i, set(roots)))
