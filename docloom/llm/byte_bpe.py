@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from docloom.llm.common import Shared, slices
 
 #: Words whose ids a Python process remembers at a time; the first half, seen early and so often, stays.
-MOST_KNOWN = 200_000
+MOST_KNOWN = 120_000
 #: Bytes of text that are worked on at a time.
 SLICE_BYTES = 1 << 20
 #: Longer words are merged one by one with a heap, so that time stays near linear.

@@ -66,13 +66,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
             stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        del batch, values
+        pa.default_memory_pool().release_unused()
 
 
 class Shared:
     """A model of bounded size, sent to every executor once.
 
-    A Python process keeps the two models it used last, with what they remember, from
-    task to task; older ones go, so that a long session does not fill its memory.
+    A Python process keeps the model it used last, with what it remembers, from task to
+    task; others go before the next one is unpacked, so that a long session does not fill
+    its memory.
     """
 
     def __init__(self, spark: SparkSession, model: object) -> None:
@@ -80,9 +83,11 @@ class Shared:
 
     def get(self) -> object:
         # Functions come anew with each task; the class of broadcasts stays in the process.
-        kept = vars(Broadcast).get("_models", {})
-        model = kept.pop(self._key, None) or cloudpickle.loads(self._packed.value)
-        Broadcast._models = dict([*kept.items(), (self._key, model)][-2:])
+        key, model = vars(Broadcast).get("_last_model") or (None, None)
+        if key != self._key:
+            Broadcast._last_model = model = None
+            model = cloudpickle.loads(self._packed.value)
+            Broadcast._last_model = self._key, model
         return model
 
 

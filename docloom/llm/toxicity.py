@@ -33,7 +33,7 @@ BLOCK = 64
 #: Terms of a word: the word and its first 4, 5 and 6 letters.
 PREFIXES = (4, 5, 6)
 #: Distinct words a task remembers at a time.
-MOST_KNOWN = 300_000
+MOST_KNOWN = 150_000
 _WORD = re.compile(r"\w+")
 
 
@@ -143,7 +143,7 @@ class Model:
         counts = self.counts(text)
         key = tuple(sorted(counts.items()))
         if key not in self.scored:
-            if len(self.scored) > 50_000:
+            if len(self.scored) > 10_000:
                 self.scored = {}
             value, near = self.score(self.vector(counts))
             self.scored[key] = value, [(int(self.ids[i]), s, bool(self.labels[i])) for s, i in near[:3]]
