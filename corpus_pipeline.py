@@ -53,12 +53,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stage before wrote, as a column (it follows from the same rows).  Rows that share id and
     source have the first of their places.
     """
-    encoded = byte_bpe.round_trip(docs.select("doc_id", "source", "text"), byte_vocabulary())
-    done = digests(encoded, "source", "ids")
     order = mix_sources(docs).groupBy("doc_id", "source").agg(F.min("mix_position").alias("mix_position"))
     order = order.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "mix_position")
-    same = done["doc_id"].eqNullSafe(order["__id"]) & done["source"].eqNullSafe(order["__source"])
-    return done.join(order, same, "left").drop("__id", "__source")
+    same = docs["doc_id"].eqNullSafe(order["__id"]) & docs["source"].eqNullSafe(order["__source"])
+    placed = docs.join(order, same, "left").select("doc_id", "source", "mix_position", "text")
+    return digests(byte_bpe.round_trip(placed, byte_vocabulary()), "source", "mix_position", "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [
