@@ -9,10 +9,10 @@ are pruned by a signature and verified with a banded bit-parallel edit distance.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,16 +20,23 @@ from docloom.llm.common import components, slices
 from docloom.session import materialize
 
 MAX_EDITS = 2
-#: Shorter lines are only equal to themselves: two edits would change a tenth or more of them.
-MIN_CHARS = 20
+#: An edit is allowed for each so many characters of the shorter line, up to MAX_EDITS: a tenth of it.
+CHARS_PER_EDIT = 10
 #: An edit replaces at most two bigrams by two, and a bigram flips one bit of the signature.
 MAX_FLIPS = 4 * MAX_EDITS
 #: Rows of one key that are compared in one task; denser keys are split by equal parts of the signature.
 DENSE = 1 << 14
+#: Ids that are broadcast at most (16 bytes each); more are joined.
+MOST_BROADCAST = 1 << 20
 #: Pairs that are compared at a time.
 _PAIRS = 1 << 21
 
 
+def allowed(length: int) -> int:
+    """Edits within which a line links to lines of its length or longer ones; none below ten characters."""
+    return min(MAX_EDITS, length // CHARS_PER_EDIT)
+
+
 def segments(length: int, edits: int = MAX_EDITS) -> list[tuple[int, int]]:
     """(begin, end) of the edits + 1 segments of a line; the longer ones come last."""
     parts = edits + 1
@@ -38,15 +45,17 @@ def segments(length: int, edits: int = MAX_EDITS) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:], strict=False))
 
 
-def probes(length: int, edits: int = MAX_EDITS) -> Iterator[tuple[int, int, int, int]]:
+def probes(length: int) -> Iterator[tuple[int, int, int, int]]:
     """(shorter length, segment, begin, end) of all substrings of a line to look up in the index.
 
     With i segments before it, a segment that is the first unchanged one has moved by at
     most i; seen from the end, with the segments after it, by at most as many around the
-    difference of the lengths.
+    difference of the lengths.  The shorter line's length says how many edits there may be.
     """
-    for other in range(max(0, length - edits), length + 1):
-        gap = length - other
+    for other in range(max(0, length - MAX_EDITS), length + 1):
+        gap, edits = length - other, allowed(other)
+        if not edits or gap > edits:
+            continue
         for i, (begin, end) in enumerate(segments(other, edits)):
             after = edits - i
             low = max(begin - i, begin + gap - after, 0)
@@ -55,13 +64,25 @@ def probes(length: int, edits: int = MAX_EDITS) -> Iterator[tuple[int, int, int,
                 yield other, i, place, place + end - begin
 
 
-def signature(line: str) -> int:
-    """64 parities of the bigrams of a line, as a signed long."""
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    mixed = (codes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (codes[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
-    bits = (mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(58)
-    odd = np.bincount(bits.astype(np.int64), minlength=64) & 1
-    return int(np.packbits(odd.astype(np.uint8)).view(">i8")[0])
+@lru_cache(maxsize=4096)
+def _places(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of a line of this length: (salt, begin, end, is it looked up and not indexed?)."""
+    edits = allowed(length)
+    own = [(length, i, b, e) for i, (b, e) in enumerate(segments(length, edits))] if edits else []
+    # An indexed row meets the other indexed ones; it need not look up its own keys.
+    asked = [p for p in probes(length) if p not in set(own)]
+    n, i, begin, end = np.array([*own, *asked], np.int64).reshape(-1, 4).T
+    return (n << 4 | i).astype(np.uint64), begin, end, np.arange(len(n)) >= len(own)
+
+
+def signatures(codes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+    """64 parities of the bigrams of each line, as signed longs; ``line`` tells whose each code point is."""
+    wide = codes.astype(np.uint64)
+    inside = line[1:] == line[:-1]
+    mixed = (wide[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (wide[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+    bits = ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(58)).astype(np.int64)[inside]
+    odd = np.bincount(line[1:][inside] * 64 + bits, minlength=lines * 64) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(lines, 64), axis=1).view(">i8").ravel().astype(np.int64)
 
 
 def within(a: str, b: str, edits: int = MAX_EDITS) -> bool:
@@ -94,22 +115,53 @@ def within(a: str, b: str, edits: int = MAX_EDITS) -> bool:
     return bool(states[edits] >> (len(a) - len(b) + edits) & 1)
 
 
+_BASE = 0x9E3779B97F4A7C15 | 1
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(line_id, line) -> rows key, indexed, line_id, sign."""
-    digest = xxhash.xxh64_intdigest
+    """(line_id, line) -> rows key, probe, line_id, sign; all lines of a length side by side.
+
+    A key is a hash of a substring (a polynomial modulo 2**64, from prefix sums), of the
+    length of the shorter line and of the segment's number.  Lines that meet by chance fall
+    to the later checks.
+    """
     for batch in slices(batches, "line", 1 << 20):
-        keys, indexed, ids, signs = [], [], [], []
-        for line_id, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = set()
-            for i, (begin, end) in enumerate(segments(len(line))):
-                own.add(digest(line[begin:end].encode("utf-8", "surrogatepass"), len(line) << 4 | i))
-            asked = {digest(line[b:e].encode("utf-8", "surrogatepass"), n << 4 | i) for n, i, b, e in probes(len(line))} - own
-            keys += [*own, *asked]
-            indexed += [True] * len(own) + [False] * len(asked)
-            ids += [line_id] * (len(own) + len(asked))
-            signs += [signature(line)] * (len(own) + len(asked))
-        columns = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(indexed), pa.array(ids, pa.int64()), pa.array(signs, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["key", "indexed", "line_id", "sign"])
+        lines = batch.column(1).to_pylist()
+        sizes = np.array([len(x) for x in lines], np.int64)
+        codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        line = np.repeat(np.arange(len(lines)), sizes)
+        within_line = np.arange(len(codes)) - starts[line]
+        top = int(sizes.max(initial=0)) + 1
+        power, inverse = _powers(_BASE, top), _powers(_BASE_INVERSE, top)
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power[within_line], dtype=np.uint64, out=sums[1:])
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        signs = signatures(codes, line, len(lines))
+        out: list[tuple[np.ndarray, ...]] = []
+        for length in np.unique(sizes[sizes >= CHARS_PER_EDIT]).tolist():
+            salt, begin, end, probe = _places(length)
+            rows = np.flatnonzero(sizes == length)
+            at = starts[rows][:, None]
+            hashed = (sums[at + end] - sums[at + begin]) * inverse[begin]
+            hashed = (hashed + salt * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93)
+            hashed = (hashed ^ hashed >> np.uint64(32)) * np.uint64(0xFF51AFD7ED558CCD)
+            shape = hashed.shape
+            out.append((
+                hashed.view(np.int64).ravel(), np.broadcast_to(probe, shape).ravel(),
+                np.repeat(ids[rows], shape[1]), np.repeat(signs[rows], shape[1]),
+            ))
+        if out:
+            columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+            columns[1] = columns[1].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["key", "probe", "line_id", "sign"])
 
 
 def _pairs(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -180,20 +232,20 @@ def _match(most: int | None) -> object:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "line_a", 1 << 22):
         lines = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-        yield batch.select(["a", "b"]).filter(pa.array([within(x, y) for x, y in lines], pa.bool_()))
+        near = [within(x, y, allowed(min(len(x), len(y)))) for x, y in lines]
+        yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
 
 def line_links(lines: DataFrame) -> DataFrame:
-    """All pairs a < b of different lines within ``MAX_EDITS`` edits (runs jobs).
+    """All pairs a < b of different lines within the ``allowed`` edits of the shorter one (runs jobs).
 
-    ``lines`` has one row per distinct line: line_id, line.  Lines below ``MIN_CHARS``
-    code points link to none.  No candidate is capped: a key under which more than
+    ``lines`` has one row per distinct line: line_id, line.  Two edits are allowed from 20
+    code points on, one from 10 on; a shorter line is only equal to itself.  No candidate is capped: a key under which more than
     ``DENSE`` lines meet is split by the nine parts of the signature, of which two
     lines within reach share one.
     """
-    long_lines = lines.where(F.char_length("line") >= MIN_CHARS).select("line_id", "line")
-    keyed = long_lines.mapInArrow(_keys, "key long, indexed boolean, line_id long, sign long")
-    rows = keyed.select("key", (~F.col("indexed")).cast("long").alias("probe"), "line_id", "sign")
+    long_lines = lines.where(F.char_length("line") >= CHARS_PER_EDIT).select("line_id", "line")
+    rows = long_lines.mapInArrow(_keys, "key long, probe long, line_id long, sign long")
     n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = "a long, b long, key long, probe long, line_id long, sign long, dense boolean"
 
@@ -211,8 +263,12 @@ def line_links(lines: DataFrame) -> DataFrame:
         ]))
         finer = dense.select(part.alias("key"), "probe", "line_id", "sign")
         pairs = pairs.unionByName(matched(finer, None).select("a", "b"))
-    pairs = pairs.distinct()
-    texts = long_lines.select(F.col("line_id").alias("a"), F.col("line").alias("line_a"))
+    pairs = materialize(pairs.distinct(), "line-pairs")
+    # Few lines have candidates: if their ids are known to be few, texts of others need not move.
+    met = materialize(pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct(), "line-met")
+    few = met.count() <= MOST_BROADCAST
+    texts = long_lines.join(F.broadcast(met) if few else met, "line_id", "left_semi")
+    texts = texts.select(F.col("line_id").alias("a"), F.col("line").alias("line_a"))
     both = pairs.join(texts, "a").join(texts.select(F.col("a").alias("b"), F.col("line_a").alias("line_b")), "b")
     return both.select("a", "b", "line_a", "line_b").mapInArrow(_verify, "a long, b long")
 

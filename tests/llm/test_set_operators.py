@@ -164,6 +164,19 @@ def _edited(r, line):
     return "".join(signs)
 
 
+def test_keys_and_signatures_of_long_and_odd_lines():
+    long = "é漢🙂 ab" * 20_000
+    batch = pa.RecordBatch.from_pydict({"line_id": [1, 2, 3, 4], "line": [long, long[:-1] + "x", "short", "z" * 10]})
+    rows = pa.Table.from_batches(line_dedup._keys(iter([batch]))).to_pydict()
+    keys = defaultdict(set)
+    for key, probe, line_id in zip(rows["key"], rows["probe"], rows["line_id"], strict=True):
+        keys[line_id, probe].add(key)
+    assert set(keys) == {(1, 0), (1, 1), (2, 0), (2, 1), (4, 0)} and len(keys[4, 0]) == 2
+    assert len(keys[1, 0] & keys[2, 0]) == 2  # all segments but the last
+    signs = dict(zip(rows["line_id"], rows["sign"], strict=True))
+    assert 0 < bin((signs[1] ^ signs[2]) & (2**64 - 1)).count("1") <= line_dedup.MAX_FLIPS
+
+
 def test_banded_edit_distance():
     r = random.Random(7)
     for _ in range(3000):
@@ -176,15 +189,18 @@ def test_banded_edit_distance():
 def test_line_links_equal_all_pairs(spark, monkeypatch, dense):
     monkeypatch.setattr(line_dedup, "DENSE", dense)
     r = random.Random(8)
-    lines = {"short", "shorx"}
+    lines = {"short", "shorx", "nine char", "nine chat"}
+    for _ in range(12):
+        line = "".join(r.choice("abc ") for _ in range(r.randint(8, 19)))
+        lines |= {_edited(r, line) for _ in range(8)}
     for _ in range(20):
         line = "".join(r.choice("abc ") for _ in range(r.randint(18, 40)))
         lines |= {_edited(r, line) for _ in range(8)}
     rows = list(enumerate(sorted(lines)))
     found = {(x["a"], x["b"]) for x in line_dedup.line_links(spark.createDataFrame(rows, "line_id long, line string")).collect()}
-    long_rows = [(i, x) for i, x in rows if len(x) >= line_dedup.MIN_CHARS]
-    wanted = {(i, j) for i, a in long_rows for j, b in long_rows if i < j and _distance(a, b) <= line_dedup.MAX_EDITS}
-    assert found == wanted and wanted
+    edits = lambda a, b: min(2, min(len(a), len(b)) // 10)
+    wanted = {(i, j) for i, a in rows for j, b in rows if i < j and _distance(a, b) <= edits(a, b)}
+    assert found == wanted and wanted and any(len(rows[i][1]) < 20 for i, _ in wanted)
 
 
 def test_line_classes(spark, awkward, nothing):
