@@ -39,6 +39,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OPAQUE = frozenset("script style head title template noscript iframe svg math object canvas audio video".split())
+RAW = frozenset(("script", "style"))
 # An opening tag ends these open elements, if they are nearer than the elements after the colon.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -53,7 +54,8 @@ CLOSES = {
 }
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|[^<]+|<",
+    # A quote opens a value only behind =, and closes it only where the attribute can end: else the tag ends at the next >.
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+\"[^\"]*\"(?=[\s/>]|\Z)|=\s*+'[^']*'(?=[\s/>]|\Z)|=)*+)(?:>|\Z)|[^<]+|<",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -82,12 +84,29 @@ class Page:
         return len(self.parent) - 1
 
 
+def _endings(source: str, name: str) -> dict[int, int]:
+    """For the opening tags of ``name`` (by the place behind the name) that have an end tag, the place behind that."""
+    found, opened = {}, []
+    for tag in re.finditer(rf"<(/?){name}(?=[\s/>]|\Z)", source, re.IGNORECASE):
+        if not tag.group(1):
+            opened.append(tag.end())
+        elif opened:
+            stop = source.find(">", tag.end())
+            found[opened.pop()] = stop + 1 if stop >= 0 else len(source)
+    return found
+
+
 def parse(source: str | None) -> Page:
-    """Read tag soup: unclosed, stray and cut-off tags are repaired, never an error."""
+    """Read tag soup: unclosed, stray and cut-off tags are repaired, never an error.
+
+    Scripts and styles without an end tag reach to the end of the page; of other elements
+    whose content is not text (noscript, svg, video ...) only the tag is skipped then.
+    """
     page, source = Page(), source or ""
     names, nodes = ["#root"], [0]  # open elements and the tree node each belongs to
     words: list[str] = []
     linked = links = at = 0
+    endings: dict[str, dict[int, int]] = {}
 
     def end_run() -> None:
         nonlocal linked
@@ -128,11 +147,15 @@ def parse(source: str | None) -> Page:
             if found := nearest((name,), () if name in BLOCKS else tuple(BLOCKS)):
                 close(found)
             continue
+        if name in RAW:
+            ending = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
+            at = ending.end() if ending else len(source)
+            continue
         if name in OPAQUE:
-            if not rest.rstrip().endswith("/") or name in ("script", "style"):
-                ending = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
-                if ending or name != "head":
-                    at = ending.end() if ending else len(source)
+            if not rest.rstrip().endswith("/"):
+                if name not in endings:
+                    endings[name] = _endings(source, name)
+                at = max(at, endings[name].get(match.end(2), at))
             continue
         if name == "br" or name == "hr":
             words.append(" ")

@@ -201,3 +201,31 @@ def test_quality_on_held_out_rows(spark, awkward, nothing):
     assert len(scored) == awkward.count() and all(0 <= r["score"] <= 1 for r in scored)
     assert quality.score_quality(nothing, model).count() == 0
     assert quality.score_quality(awkward, quality.fit(nothing, labels)).count() == awkward.count()
+
+
+def _runs(source):
+    page = html_text.parse(source)
+    return [t for t, tag in zip(page.text, page.tag, strict=True) if tag == "#text"]
+
+
+@pytest.mark.parametrize(("source", "runs"), [
+    ("<p>A</p><noscript><p>B</p><p>C</p>", ["A", "B", "C"]),
+    ("<p>A</p><video><p>B</p><noscript>no</noscript><video>v</video><p>C", ["A", "B", "C"]),
+    ("<svg><svg><text>x</text></svg>y</svg><p>A</p>", ["A"]),
+    ("<p>A</p><script>var x = '<p>no</p>'", ["A"]),
+    ("<title>T</title><canvas/><p>A<template>t</template></p>", ["A"]),
+    ('<p title="abc>Hello world</p>', ["Hello world"]),
+    ("<div data-x=don't>Hello</div><p>it's</p>", ["Hello", "it's"]),
+    ("<a href='it>x</a><p>later it's</p>", ["x", "later it's"]),
+    ('<p title="abc>Hello world</p><a href="x">link</a>', ["Hello world", "link"]),
+    ('<p title="a > b" class=\'c\'>Hello</p>', ["Hello"]),
+    ("<P TITLE = 'x>y' >Hello</P><IFRAME>no</IFRAME>!", ["Hello", "!"]),
+    ("a < b <", ["a < b <"]),
+])
+def test_tag_soup(source, runs):
+    assert _runs(source) == runs
+
+
+@pytest.mark.parametrize("piece", ["<video>", "<svg><p>x", "<a b='", '<p t="x>', "<noscript></video>", "<", "<a =", "='"])
+def test_very_long_tag_soup_takes_linear_time(piece):
+    html_text.parse(piece * 60_000)
