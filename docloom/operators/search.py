@@ -150,6 +150,66 @@ def fuzzy(column: Column, q: str, max_distance: int | None = None) -> Column:
     return contains | (distance >= 0)
 
 
+#: Length of the grams that a name index holds.
+GRAM = 2
+
+
+def _grams(text: Column) -> Column:
+    """The grams of a lower-cased text; those that repeat are numbered, so that they count as often as they stand there."""
+    low = F.lower(text)
+    starts = F.when(F.char_length(low) >= GRAM, F.sequence(F.lit(1), F.char_length(low) - (GRAM - 1)))
+    plain = F.transform(starts, lambda i: F.substring(low, i, F.lit(GRAM)))
+    return F.transform(
+        plain, lambda g, i: F.concat(g, F.size(F.filter(F.slice(plain, F.lit(1), i), lambda h: h == g)).cast("string"))
+    )
+
+
+def name_index(entities: DataFrame, *, key: str = "id", column: str = "name") -> DataFrame:
+    """The gram index of a name column: ``gram, key, size``, to be stored and read again by :func:`fuzzy_search`.
+
+    Store it sorted or bucketed by ``gram``; a search reads the rows of its own grams.
+    """
+    size = F.char_length(F.lower(column)).alias("size")
+    rows = entities.where(F.col(column).isNotNull()).select(F.col(key).alias("key"), size, F.explode(_grams(F.col(column))).alias("gram"))
+    return rows.select("gram", "key", "size")
+
+
+def fuzzy_search(
+    entities: DataFrame,
+    index: DataFrame,
+    q: str,
+    max_distance: int | None = None,
+    *,
+    key: str = "id",
+    column: str = "name",
+) -> DataFrame:
+    """The rows that :func:`fuzzy` finds, by way of a name index: names are compared for candidates only.
+
+    A name that contains ``q`` holds all its grams; a name within d edits of it shares all
+    but GRAM * d of the longer one's.  Candidates are names with that many common grams and,
+    where that bound says nothing, names that are as short as it takes.
+    """
+    wanted = entities.sparkSession.range(1).select(_grams(F.lit(q)).alias("grams"), F.char_length(F.lower(F.lit(q))).alias("n")).first()
+    grams, n = wanted["grams"] or [], wanted["n"]
+    if not grams:  # shorter than a gram: every name may hold it
+        return entities.where(fuzzy(F.col(column), q, max_distance))
+    shared = index.where(F.col("gram").isin(grams)).groupBy("key").agg(F.count("*").alias("common"), F.max("size").alias("size"))
+    enough = F.col("common") >= len(grams)
+    short = F.lit(False)
+    if max_distance is not None:
+        lost = GRAM - 1 + GRAM * max_distance
+        close = F.abs(F.col("size") - n) <= max_distance
+        enough = enough | (close & (F.col("common") >= F.greatest("size", F.lit(n)) - lost))
+        if n <= lost:
+            short = F.char_length(F.lower(column)) <= lost
+    candidates = shared.where(enough).select(F.col("key").alias("__key"))
+    found = entities.join(candidates, entities[key] == F.col("__key"), "left_semi").where(fuzzy(F.col(column), q, max_distance))
+    if max_distance is None or n > lost:
+        return found
+    few = entities.where(short).join(candidates, entities[key] == F.col("__key"), "left_anti")
+    return found.unionByName(few.where(fuzzy(F.col(column), q, max_distance)))
+
+
 def search_jobs(
     jobs: DataFrame,
     *,
@@ -174,9 +234,14 @@ def search_folders(folders: DataFrame, *, parent_id: int | None = None) -> DataF
 
 
 def search_projects(
-    projects: DataFrame, q: str | None = None, *, max_distance: int | None = None
+    projects: DataFrame, q: str | None = None, *, max_distance: int | None = None, index: DataFrame | None = None
 ) -> DataFrame:
-    return projects if q is None else projects.where(fuzzy(F.col("name"), q, max_distance))
+    """Projects by fuzzy name; with a stored :func:`name_index` only candidates are compared."""
+    if q is None:
+        return projects
+    if index is not None:
+        return fuzzy_search(projects, index, q, max_distance)
+    return projects.where(fuzzy(F.col("name"), q, max_distance))
 
 
 def search_prompts(
@@ -186,11 +251,14 @@ def search_prompts(
     document_class: str | None = None,
     include_deleted: bool = False,
     max_distance: int | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
-    """Prompts by fuzzy name and class; deleted ones only on request.  Page by name."""
+    """Prompts by fuzzy name (see :func:`search_projects`) and class; deleted ones only on request.  Page by name."""
     if not include_deleted:
         prompts = prompts.where(~F.coalesce(F.col("deleted"), F.lit(False)))
-    if q is not None:
+    if q is not None and index is not None:
+        prompts = fuzzy_search(prompts, index, q, max_distance)
+    elif q is not None:
         prompts = prompts.where(fuzzy(F.col("name"), q, max_distance))
     if document_class is not None:
         prompts = prompts.where(F.col("document_class") == document_class)

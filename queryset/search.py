@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators import search as q
 from docloom.operators.selectors import combine, of_class, select_documents
+from docloom.session import materialize
 from queryset import tables as t
 from queryset.registry import query
 from queryset.tables import sql
@@ -123,6 +124,30 @@ def project_search_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     return q.search_projects(t.projects(spark, sf), "suplier#000000017", max_distance=2)
 
 
+@query(
+    "q7_project_search_by_index",
+    sql("""SELECT id, name FROM projects
+        WHERE contains(lower(name), 'suplier#000000017') OR levenshtein(lower(name), 'suplier#000000017') <= 2"""),
+)
+def project_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    projects = t.projects(spark, sf)
+    index = materialize(q.name_index(projects).sortWithinPartitions("gram"), "name-index")
+    return q.search_projects(projects, "suplier#000000017", max_distance=2, index=index).select("id", "name")
+
+
+@query(
+    "q8_prompt_search_by_index",
+    """SELECT p_partkey AS id, p_name AS name FROM part
+       WHERE (contains(lower(p_name), 'rde widget') OR levenshtein(lower(p_name), 'rde widget') <= 3) AND p_size <> 7""",
+)
+def prompt_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    prompts = t.load(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), (F.col("p_size") == 7).alias("deleted"),
+    )
+    index = materialize(q.name_index(prompts).sortWithinPartitions("gram"), "name-index")
+    return q.search_prompts(prompts, "Rde widget", max_distance=3, index=index).select("id", "name")
+
+
 @query(
     "q8_prompt_search",
     """SELECT p_partkey AS id, p_name AS name FROM part

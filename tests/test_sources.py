@@ -214,3 +214,13 @@ def test_lookup_and_searches(numbers, table):
     folders = table("id long, parent_id long", (1, None), (2, 1))
     assert tuples(q.search_folders(folders), "id") == [(1,)]
     assert tuples(q.search_folders(folders, parent_id=1), "id") == [(2,)]
+
+
+@pytest.mark.parametrize("wanted", ["Anna", "annna", "a", "", "aaaa", "Ünï", "bananas split", "xyz"])
+@pytest.mark.parametrize("distance", [None, 0, 1, 3])
+def test_fuzzy_search_by_index_finds_the_same(table, wanted, distance):
+    names = ["Anna", "hannah", "ANN", "an", "", None, "a", "aaaa", "aaa", "ÜNÏcode", "ünï", "banana split", "bananassplit", "xy", "zyx", "Ann a"]
+    rows = table("id long, name string, size int, gram string", *[(i, n, 1, "g") for i, n in enumerate(names)], (3, "an", 1, "g"))
+    index = q.name_index(rows)
+    plain = rows.where(q.fuzzy(F.col("name"), wanted, distance))
+    assert tuples(q.fuzzy_search(rows, index, wanted, distance), "id", "name") == tuples(plain, "id", "name")
