@@ -373,7 +373,9 @@ def distinct_keys(rules: Sequence[ExtractRule], key_by: KeyBy = "name") -> bool:
 
 def _without_collisions(keyed: DataFrame) -> DataFrame:
     """The same rows; a field that repeats in a document is an error when its rows are computed."""
-    items = F.count("*").over(Window.partitionBy("document_id", "key_kind", "field_key"))
+    # One value, so that the rows are dealt by all three: by the document alone a hot one could not be split.
+    place = F.struct("document_id", "key_kind", "field_key")
+    items = F.count("*").over(Window.partitionBy(place))
     clash = F.raise_error(
         F.concat(
             F.lit("field "), F.col("field_key"), F.lit(" appears "), F.col("__items").cast("string"),
@@ -382,7 +384,8 @@ def _without_collisions(keyed: DataFrame) -> DataFrame:
         )
     )
     # A filter, because a column that nobody reads would not be computed.
-    checked = keyed.withColumn("__items", items).where(F.when(F.col("__items") > 1, clash.cast("boolean")).otherwise(True))
+    repeats = (F.col("__items") > 1) & F.col("field_key").isNotNull()
+    checked = keyed.withColumn("__items", items).where(F.when(repeats, clash.cast("boolean")).otherwise(True))
     return checked.drop("__items")
 
 
@@ -396,7 +399,7 @@ def flatten_values(
 ) -> DataFrame:
     """Long rows ``document_id, key_kind, field_key, prompt_id, value_type, value, …``.
 
-    Pending items are left out first.  With ``documents`` (their ``id`` column),
+    Pending items are left out first.  With ``documents`` (their distinct ``id`` column),
     documents without items stay as one row with a null field.  A field key that
     repeats inside a document is an error of the query that reads the rows: they are counted
     per document and field on their way, in the same evaluation of ``results``.  Nothing needs
@@ -405,16 +408,16 @@ def flatten_values(
     (``strict=False``).
     """
     keyed = with_value_type(with_field_key(drop_pending(results), key_by))
-    if strict and not (rules is not None and distinct_keys(rules, key_by)):
-        keyed = _without_collisions(keyed)
+    check = strict and not (rules is not None and distinct_keys(rules, key_by))
     wanted = ["document_id", "key_kind", "field_key", "prompt_id", "value_type", "value"]
     typed = ["value_text", "value_number", "value_bool", "value_date"]
     extra = ["parsed_value"] if "parsed_value" in keyed.columns else []
     flat = keyed.select(*wanted, *typed, *extra)
-    if documents is None:
-        return flat
-    ids = documents.select(F.col("id").alias("document_id"))
-    return one_to_many(ids, flat, "document_id")
+    if documents is not None:
+        ids = documents.select(F.col("id").alias("document_id"))
+        flat = one_to_many(ids, flat, "document_id")
+    # Behind the join, which can split a document with very many items.
+    return _without_collisions(flat) if check else flat
 
 
 def field_columns(flat: DataFrame, *, max_fields: int = 10_000) -> list[tuple[str, str]]:
