@@ -13,7 +13,7 @@ from docloom.operators.extraction import ExtractRule
 from docloom.operators.jobs import BudgetExceeded
 from docloom.operators.selectors import Catalog, combine, named
 from docloom.plans.extract import ExtractionFailed, extract, uncovered_files
-from docloom.streaming import combine
+from docloom.streaming import combine as combining
 from docloom.streaming.combine import earliest_rows
 from docloom.streaming.ingest import ingest_stream
 from docloom.streaming.replay import first_requests_stream
@@ -112,7 +112,7 @@ def test_a_hot_key_reaches_its_state_as_one_row_per_task(spark, table, tmp_path,
     best = found.groupBy("subject_id").agg(F.min(order).alias("first"), F.max("at").alias("last"))
     plain = frame.where("ts is not null").groupBy("subject_id").agg(F.min(order).alias("first"), F.max("ts").alias("last"))
     assert sorted(best.collect(), key=repr) == sorted(plain.collect(), key=repr)
-    monkeypatch.setattr(combine, "MOST_KEYS", 10)
+    monkeypatch.setattr(combining, "MOST_KEYS", 10)
     assert earliest_rows(frame, "subject_id", ["request_id"], "ts").select("subject_id").distinct().count() == frame.where("ts is not null").select("subject_id").distinct().count()
 
 
