@@ -20,7 +20,7 @@ from docloom.functions.enums import (
     is_ready,
 )
 from docloom.operators.waits import JOB_WAIT_SECONDS, has_deadline
-from docloom.streaming.combine import earliest_rows
+from docloom.streaming.combine import bucket_of, earliest_rows, plain_values
 
 #: Tasks that the repeats of one hot key are spread over before the last step.
 SALTS = 16
@@ -51,7 +51,8 @@ def completion_stream(
     outcome is ``done`` for a done status up to and including the deadline, else
     ``timeout`` once the watermark has passed it.  Of the observations of one
     micro-batch the earliest done one counts.  A finished wait is remembered
-    for ``retention_seconds`` of event time, so repeats do not emit again.
+    for ``retention_seconds`` of event time, so repeats do not emit again.  The state is
+    kept per bucket of subjects, so that a call of the step serves many of them.
     """
     timed = has_deadline(max_wait_seconds)
     budget_ms = int(max_wait_seconds * 1000) if timed else 0
@@ -71,56 +72,64 @@ def completion_stream(
     )
     # Of a subject's rows a task keeps the earliest done one, or any: a hot subject is a row per task.
     shaped = earliest_rows(shaped, "subject_id", ["ts_us"], "ts").withWatermark("ts", watermark)
+    columns = ["subject_id", "start_ms", "done_status", "ts_us"]
 
     def step(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        def row(outcome: str, status: str | None, ended_us: int) -> pd.DataFrame:
-            return pd.DataFrame(
-                {"subject_id": [key[0]], "outcome": [outcome], "status": [status],
-                 "ended_us": [ended_us]}
-            )
-
-        finished, deadline_ms = state.get if state.exists else (False, None)
-        if state.hasTimedOut:
-            if finished:
-                state.remove()
-                return
-            state.update((True, deadline_ms))
-            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + keep_ms)
-            yield row("timeout", None, deadline_ms * 1000)
-            return
-        first = None
-        for frame in frames:
-            if timed and deadline_ms is None:
-                deadline_ms = int(frame["start_ms"].iloc[0]) + budget_ms
-            hits = frame[frame["done_status"].notna()]
-            if len(hits):
-                best = hits.loc[hits["ts_us"].idxmin()]
-                if first is None or best["ts_us"] < first[0]:
-                    first = (int(best["ts_us"]), best["done_status"])
         mark = state.getCurrentWatermarkMs()
-        if finished:
-            state.update((True, deadline_ms))
-            state.setTimeoutTimestamp(mark + keep_ms)
-        elif first is not None:
-            state.update((True, deadline_ms))
-            state.setTimeoutTimestamp(max(mark, first[0] // 1000) + keep_ms)
-            yield row("done", first[1], first[0])
-        elif timed and deadline_ms <= mark:
-            state.update((True, deadline_ms))
-            state.setTimeoutTimestamp(mark + keep_ms)
-            yield row("timeout", None, deadline_ms * 1000)
+        # subject -> is it finished, its deadline, when it is looked at again
+        waits = dict(zip((rows := state.get)[0], zip(*rows[1:], strict=True), strict=True)) if state.exists else {}
+        ended: list[tuple] = []
+        seen: dict[object, tuple[int | None, int | None, str | None]] = {}
+        for frame in () if state.hasTimedOut else frames:
+            subjects = plain_values(frame["subject_id"], missing=key[0] is None)
+            for subject, start, status, us in zip(subjects, *(frame[c].tolist() for c in columns[1:]), strict=True):
+                if subject in seen:
+                    deadline, first, name = seen[subject]
+                else:
+                    first = name = None
+                    deadline = waits[subject][1] if subject in waits else None
+                    if timed and deadline is None:
+                        deadline = int(start) + budget_ms
+                if isinstance(status, str) and (first is None or us < first):
+                    first, name = int(us), status
+                seen[subject] = deadline, first, name
+        for subject, (deadline, first, name) in seen.items():
+            finished = subject in waits and waits[subject][0]
+            if finished:
+                waits[subject] = True, deadline, mark + keep_ms
+            elif first is not None:
+                waits[subject] = True, deadline, max(mark, first // 1000) + keep_ms
+                ended.append((subject, "done", name, first))
+            elif timed and deadline <= mark:
+                waits[subject] = True, deadline, mark + keep_ms
+                ended.append((subject, "timeout", None, deadline * 1000))
+            else:
+                waits[subject] = False, deadline, deadline
+        # Subjects without rows whose time has come: a wait ends, a finished one is forgotten.
+        due = [s for s, (_, _, until) in waits.items() if until is not None and until < mark and s not in seen]
+        for subject in due:
+            finished, deadline, _ = waits.pop(subject)
+            if not finished:
+                waits[subject] = True, deadline, mark + keep_ms
+                ended.append((subject, "timeout", None, deadline * 1000))
+        if waits:
+            state.update((list(waits), *map(list, zip(*waits.values(), strict=True))))
+            times = [until for _, _, until in waits.values() if until is not None]
+            if times:
+                state.setTimeoutTimestamp(min(times))
         else:
-            state.update((False, deadline_ms))
-            if timed:
-                state.setTimeoutTimestamp(deadline_ms)
+            state.remove()
+        if ended:
+            names = ["subject_id", "outcome", "status", "ended_us"]
+            yield pd.DataFrame({name: list(values) for name, values in zip(names, zip(*ended, strict=True), strict=True)})
 
     key_type = events.schema["subject_id"].dataType.simpleString()
-    out = shaped.groupBy("subject_id").applyInPandasWithState(
+    out = shaped.withColumn("__bucket", bucket_of("subject_id")).groupBy("__bucket").applyInPandasWithState(
         step,
         f"subject_id {key_type}, outcome string, status string, ended_us long",
-        "finished boolean, deadline_ms long",
+        f"subjects array<{key_type}>, finished array<boolean>, deadline_ms array<long>, until_ms array<long>",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )

@@ -235,3 +235,46 @@ def test_extract_arguments(catalog, table):
         extract(catalog, RULES, document_ids=[1], selectors=combine())
     with pytest.raises(ValueError, match="project_name needs files"):
         extract(catalog, RULES, document_ids=[1], project_name="P")
+
+
+def state_rows(stream, root) -> int:
+    running = (
+        stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/progress")
+        .trigger(availableNow=True).start(f"{root}/table")
+    )
+    running.awaitTermination()
+    return max(p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress if p["stateOperators"])
+
+
+@pytest.mark.parametrize("form", ["completions", "requests"])
+def test_many_keys_share_few_calls_of_the_step(spark, tmp_path, monkeypatch, form):
+    """A call costs milliseconds; buckets, not keys, bound the calls and the rows of state."""
+    monkeypatch.setattr(combining, "BUCKETS", 5)
+    inbox = tmp_path / "in"
+    write_events(inbox, "1.json", *[(s, "completed", s or 0) for s in [*range(60), None]])
+    events = read_events(spark, inbox)
+    stream = completion_stream(events) if form == "completions" else first_requests_stream(events, key="subject_id")
+    assert state_rows(stream, tmp_path / "out") <= 6
+    got = spark.read.parquet(str(tmp_path / "out/table"))
+    assert tuples(got, "subject_id") == sorted([(s,) for s in [*range(60), None]], key=repr)
+
+
+def test_keys_of_one_bucket_keep_their_own_waits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(combining, "BUCKETS", 1)
+    others = (test_completion_emits_once_and_times_out, test_completion_without_deadline, test_first_requests,
+              test_streams_take_the_earliest_of_unordered_rows)
+    for number, other in enumerate(others):
+        (tmp_path / str(number)).mkdir()
+        other(spark, tmp_path / str(number))
+
+
+def test_an_answered_key_is_forgotten_by_itself(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(combining, "BUCKETS", 1)
+    inbox, big = tmp_path / "in", 2**60 + 1
+    write_events(inbox, "1.json", (big, "a", 0), (2, "b", 3000), (None, "n", 3000))
+    write_events(inbox, "2.json", (2, "c", 9000), (None, "m", 9000))
+    write_events(inbox, "3.json", (9, "x", 9001))
+    write_events(inbox, "4.json", (big, "d", 9002), (2, "e", 9003))
+    stream = first_requests_stream(read_events(spark, inbox), key="subject_id", retention="1 hour")
+    got = drain(stream, tmp_path / "out")
+    assert tuples(got, "subject_id", "status") == sorted([(big, "a"), (2, "b"), (None, "n"), (9, "x"), (big, "d")], key=repr)
