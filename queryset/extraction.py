@@ -198,7 +198,8 @@ def wide(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def wide_typed(spark: SparkSession, sf: str) -> DataFrame:
-    flat = ex.flatten_values(ex.type_raw_values(t.typed_raw(spark, sf)), strict=False)
+    raw = t.typed_raw(spark, sf, docs_per_task=t.DOCS_PER_TASK)
+    flat = ex.flatten_values(ex.type_raw_values(raw), strict=False)
     return ex.pivot_values(flat, ["Total", "Shipped", "Open", ("prompt_id", "8")])
 
 

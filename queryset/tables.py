@@ -342,8 +342,17 @@ def sql_number(expression: str) -> str:
     return f"CASE WHEN contains({text}, '.') THEN rtrim(rtrim({text}, '0'), '.') ELSE {text} END"
 
 
-def typed_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """Result rows with raw texts of all four data types, out of line items."""
+#: Documents of a task that sorts their items, five wide rows each.
+DOCS_PER_TASK = 100_000
+
+
+def typed_raw(spark: SparkSession, sf: str, *, docs_per_task: int | None = None) -> DataFrame:
+    """Result rows with raw texts of all four data types, out of line items.
+
+    ``docs_per_task`` deals the documents to tasks of about so many at most, for callers that
+    sort their items (counts the line items).  Tasks are otherwise sized by the bytes of
+    one packed row per document, which is little next to the rows made out of it.
+    """
     rows = load(spark, sf, "lineitem").groupBy(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("document_id")
     ).agg(
@@ -352,6 +361,9 @@ def typed_raw(spark: SparkSession, sf: str) -> DataFrame:
         F.max("l_linestatus").alias("linestatus"),
         F.max("l_returnflag").alias("flag"),
     )
+    if docs_per_task:
+        most = load(spark, sf, "lineitem").count()
+        rows = rows.repartition(max(1, -(-most // docs_per_task)), "document_id")
     money = F.concat(F.lit("$"), F.format_number(F.col("price").cast("decimal(18,2)"), 2))
 
     def item(position: int, prompt: int, name: str | None, kind: str, raw):  # noqa: ANN001, ANN202

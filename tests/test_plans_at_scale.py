@@ -12,6 +12,7 @@ from docloom.operators.extraction import ExtractRule, answer_documents
 from docloom.operators.selectors import Catalog, combine, of_class, sized_between
 from docloom.plans.extract import extract
 from docloom.plans.ingest import ingest_files
+from queryset import tables
 
 FILES = "path string, size long, md5 string, folder_id long, text string"
 
@@ -55,3 +56,13 @@ def test_extraction_moves_answers_only(table, no_broadcast):
     assert out.values.count() == 2 and final_plan(out.values)[0] == 2
     jobs = table("id long", (41,))
     assert extract(Catalog(docs), rules, document_ids=[1], jobs=jobs).job.first()["id"] == 42
+
+
+def test_documents_are_dealt_before_their_items_are_sorted(spark, tmp_path):
+    spark.range(95).selectExpr(
+        "id % 90 div 7 as l_orderkey", "cast(id % 90 % 7 as int) as l_linenumber", "id + 0.5d as l_extendedprice",
+        "'O' as l_linestatus", "'N' as l_returnflag", "timestamp'2024-01-01' as l_shipdate",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    dealt = tables.typed_raw(spark, str(tmp_path), docs_per_task=10)
+    assert dealt.rdd.getNumPartitions() == 10
+    assert sorted(dealt.collect(), key=repr) == sorted(tables.typed_raw(spark, str(tmp_path)).collect(), key=repr)
