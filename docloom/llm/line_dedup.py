@@ -251,7 +251,7 @@ def line_links(lines: DataFrame) -> DataFrame:
 
     def matched(some: DataFrame, most: int | None) -> DataFrame:
         dealt = some.repartition(n, "key").sortWithinPartitions("key", "probe")
-        return materialize(dealt.mapInArrow(_match(most), schema), "line-candidates")
+        return materialize(dealt.mapInArrow(_match(most), schema), "line-candidates", release=True)
 
     found = matched(rows, DENSE)
     pairs, dense = found.where("not dense").select("a", "b"), found.where("dense")
@@ -284,7 +284,7 @@ def distinct_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     each = each.withColumn("line", F.regexp_replace("line", r"^\s+|\s+$", "")).where("line <> ''")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no")).alias("first")
     counted = each.groupBy("line").agg(F.count("*").alias("n_rows"), first)
-    stored = materialize(counted.withColumn("line_id", F.monotonically_increasing_id()), "lines")
+    stored = materialize(counted.withColumn("line_id", F.monotonically_increasing_id()), "lines", release=True)
     return stored.select("line_id", "line", "n_rows", "first.doc_id", F.col("first.line_no").cast("long").alias("line_no"))
 
 

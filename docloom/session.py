@@ -58,12 +58,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{durable_root(spark)}/docloom/{application}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+#: Spark's own switch: shuffle files go when the query that made them has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, label: str, *, release: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back (runs a job).
 
     Cuts the lineage like a checkpoint does, but computes the input once, keeps
-    it columnar and survives the loss of any executor.
+    it columnar and survives the loss of any executor.  ``release`` frees the disk of the
+    shuffles below when the table is written, for large ones that nothing else reads; else
+    they stay until the driver's garbage collection.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(_CLEANUP, None)
+    if release:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if release:
+            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

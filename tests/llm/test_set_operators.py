@@ -367,3 +367,18 @@ def test_null_ids_bridge_near_copies(spark):
     found = {int(r["fingerprint"], 16): r["component_id"] for r in simhash.simhash_components(docs).collect()}
     heads = {c: min((rows[i][0] for i, d in wanted.items() if d == c and rows[i][0] is not None), default=None) for c in wanted.values()}
     assert found == {p: heads[wanted[i]] for i, p in enumerate(prints)}
+
+
+def test_distinct_lines_leave_no_shuffle_behind(spark):
+    """The table of lines is written; what was shuffled for it must not stay on disk beside it."""
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(n).getName() for n in range(files.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    docs = spark.createDataFrame([(1, "a line of text\nanother"), (2, "another\nand more")], "doc_id long, text string").repartition(2)
+    before = shuffled()
+    assert line_dedup.distinct_lines(docs).count() == 3
+    left = {name for name in shuffled() - before if name.endswith(".data")}
+    assert len(left) <= 1  # of the count above
