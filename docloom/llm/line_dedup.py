@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from docloom.llm.common import components, slices
 from docloom.session import materialize
 
+#: What ``\s`` matches, and what else may stand behind ``$``.
+_SPACE, _LINE_ENDS = " \t\n\x0b\f\r", "\x85\u2028\u2029"
 MAX_EDITS = 2
 #: An edit is allowed for each so many characters of the shorter line, up to MAX_EDITS: a tenth of it.
 CHARS_PER_EDIT = 10
@@ -28,6 +30,8 @@ MAX_FLIPS = 4 * MAX_EDITS
 DENSE = 1 << 14
 #: Ids that are broadcast at most (16 bytes each); more are joined.
 MOST_BROADCAST = 1 << 20
+#: Bytes of lines that get their keys at a time.
+_SLICE = 1 << 18
 #: Pairs that are compared at a time.
 _PAIRS = 1 << 21
 
@@ -75,14 +79,19 @@ def _places(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return (n << 4 | i).astype(np.uint64), begin, end, np.arange(len(n)) >= len(own)
 
 
-def signatures(codes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
-    """64 parities of the bigrams of each line, as signed longs; ``line`` tells whose each code point is."""
-    wide = codes.astype(np.uint64)
-    inside = line[1:] == line[:-1]
-    mixed = (wide[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (wide[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
-    bits = ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(58)).astype(np.int64)[inside]
-    odd = np.bincount(line[1:][inside] * 64 + bits, minlength=lines * 64) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(lines, 64), axis=1).view(">i8").ravel().astype(np.int64)
+def signatures(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64 parities of the bigrams of each line, as signed longs; ``sizes`` are the code points of each."""
+    wide, signs = codes.astype(np.uint64), np.zeros(len(sizes), np.int64)
+    ends, some = np.cumsum(sizes), sizes > 0
+    flips = np.zeros(len(codes), np.uint64)
+    if len(codes) > 1:
+        mixed = (wide[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (wide[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+        mixed = mixed * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(58)
+        flips[:-1] = np.uint64(1) << (mixed ^ np.uint64(63))
+    flips[ends[some] - 1] = 0  # the last sign of a line begins no bigram
+    if some.any():
+        signs[some] = np.bitwise_xor.reduceat(flips, (ends - sizes)[some]).view(np.int64)
+    return signs
 
 
 def within(a: str, b: str, edits: int = MAX_EDITS) -> bool:
@@ -119,6 +128,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+@lru_cache(maxsize=4)
 def _powers(base: int, n: int) -> np.ndarray:
     factors = np.full(n, base, np.uint64)
     factors[:1] = 1
@@ -126,42 +136,39 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(line_id, line) -> rows key, probe, line_id, sign; all lines of a length side by side.
+    """(line_id, line) -> rows key, probe, line_id, sign; all keys of a slice at once.
 
-    A key is a hash of a substring (a polynomial modulo 2**64, from prefix sums), of the
-    length of the shorter line and of the segment's number.  Lines that meet by chance fall
-    to the later checks.
+    A key is a hash of a substring (a polynomial modulo 2**64, from prefix sums over the
+    whole slice), of the length of the shorter line and of the segment's number.  Lines
+    that meet by chance fall to the later checks.
     """
-    for batch in slices(batches, "line", 1 << 20):
+    for batch in slices(batches, "line", _SLICE):
         lines = batch.column(1).to_pylist()
         sizes = np.array([len(x) for x in lines], np.int64)
         codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-        starts = np.cumsum(sizes) - sizes
-        line = np.repeat(np.arange(len(lines)), sizes)
-        within_line = np.arange(len(codes)) - starts[line]
-        top = int(sizes.max(initial=0)) + 1
-        power, inverse = _powers(_BASE, top), _powers(_BASE_INVERSE, top)
+        signs = signatures(codes, sizes)
+        lengths, which = np.unique(sizes, return_inverse=True)
+        places = [_places(n) for n in lengths.tolist()]
+        salt, begin, end, probe = (np.concatenate(c) for c in zip(*places, strict=True))
+        counts = np.array([len(p[0]) for p in places], np.int64)
+        # Row i of the output is a key of line row[i], the one at at[i] among those of all lengths.
+        each = counts[which]
+        if not each.sum():
+            continue
+        row = np.repeat(np.arange(len(lines)), each)
+        at = np.arange(len(row)) + np.repeat((np.cumsum(counts) - counts)[which] - (np.cumsum(each) - each), each)
+        size = max(len(codes), _SLICE) + 1
+        power, inverse = _powers(_BASE, size), _powers(_BASE_INVERSE, size)
         sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power[within_line], dtype=np.uint64, out=sums[1:])
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power[: len(codes)], dtype=np.uint64, out=sums[1:])
+        start = (np.cumsum(sizes) - sizes)[row]
+        first = start + begin[at]
+        hashed = (sums[start + end[at]] - sums[first]) * inverse[first]
+        hashed = (hashed + salt[at] * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93)
+        hashed = (hashed ^ hashed >> np.uint64(32)) * np.uint64(0xFF51AFD7ED558CCD)
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        signs = signatures(codes, line, len(lines))
-        out: list[tuple[np.ndarray, ...]] = []
-        for length in np.unique(sizes[sizes >= CHARS_PER_EDIT]).tolist():
-            salt, begin, end, probe = _places(length)
-            rows = np.flatnonzero(sizes == length)
-            at = starts[rows][:, None]
-            hashed = (sums[at + end] - sums[at + begin]) * inverse[begin]
-            hashed = (hashed + salt * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0xD6E8FEB86659FD93)
-            hashed = (hashed ^ hashed >> np.uint64(32)) * np.uint64(0xFF51AFD7ED558CCD)
-            shape = hashed.shape
-            out.append((
-                hashed.view(np.int64).ravel(), np.broadcast_to(probe, shape).ravel(),
-                np.repeat(ids[rows], shape[1]), np.repeat(signs[rows], shape[1]),
-            ))
-        if out:
-            columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-            columns[1] = columns[1].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["key", "probe", "line_id", "sign"])
+        columns = [hashed.view(np.int64), probe[at].astype(np.int64), ids[row], signs[row]]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["key", "probe", "line_id", "sign"])
 
 
 def _pairs(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -187,7 +194,7 @@ def _pairs(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _match(most: int | None) -> object:
-    """Sorted rows -> candidate pairs, and the rows of keys denser than ``most``."""
+    """Rows sorted by key -> candidate pairs, and the rows of keys denser than ``most``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(a: np.ndarray, b: np.ndarray, rows: np.ndarray | None = None) -> pa.RecordBatch:
@@ -198,7 +205,11 @@ def _match(most: int | None) -> object:
             return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(dense)], ["a", "b", "key", "probe", "line_id", "sign", "dense"])
 
         def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a, b in _pairs(rows):
+            same = rows[1:, 0] == rows[:-1, 0]
+            rows = rows[np.append(same, False) | np.append(False, same)]  # a key of one row has no pairs
+            if not len(rows):
+                return
+            for a, b in _pairs(rows[np.lexsort((rows[:, 1], rows[:, 0]))]):
                 found = np.unique(np.stack([a, b], axis=1)[a != b], axis=0)
                 if len(found):
                     yield out(found[:, 0], found[:, 1])
@@ -250,7 +261,7 @@ def line_links(lines: DataFrame) -> DataFrame:
     schema = "a long, b long, key long, probe long, line_id long, sign long, dense boolean"
 
     def matched(some: DataFrame, most: int | None) -> DataFrame:
-        dealt = some.repartition(n, "key").sortWithinPartitions("key", "probe")
+        dealt = some.repartition(n, "key").sortWithinPartitions("key")
         return materialize(dealt.mapInArrow(_match(most), schema), "line-candidates", release=True)
 
     found = matched(rows, DENSE)
@@ -281,7 +292,10 @@ def distinct_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.split(F.col(text_column), "\n").alias("lines"))
     each = texts.select("doc_id", F.posexplode("lines").alias("line_no", "line"))
-    each = each.withColumn("line", F.regexp_replace("line", r"^\s+|\s+$", "")).where("line <> ''")
+    # The pattern is tried at every sign of a line, so only where a line's ends can match it.
+    ragged = F.substring("line", 1, 1).isin(*_SPACE) | F.substring("line", -1, 1).isin(*_SPACE, *_LINE_ENDS)
+    trimmed = F.when(ragged, F.regexp_replace("line", r"^\s+|\s+$", "")).otherwise(F.col("line"))
+    each = each.withColumn("line", trimmed).where("line <> ''")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "line_no")).alias("first")
     counted = each.groupBy("line").agg(F.count("*").alias("n_rows"), first)
     stored = materialize(counted.withColumn("line_id", F.monotonically_increasing_id()), "lines", release=True)

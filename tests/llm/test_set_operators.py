@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,6 +12,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 from compare import differences, oracle
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -177,6 +179,25 @@ def test_keys_and_signatures_of_long_and_odd_lines():
     assert 0 < bin((signs[1] ^ signs[2]) & (2**64 - 1)).count("1") <= line_dedup.MAX_FLIPS
 
 
+def test_keys_of_many_lines_take_little_memory():
+    r = random.Random(9)
+    lines = ["".join(r.choices("abcdefgh ", k=r.randint(10, 400))) for _ in range(10_000)]
+    batch = pa.RecordBatch.from_pydict({"line_id": list(range(len(lines))), "line": lines})
+    tracemalloc.start()
+    rows = sum(found.num_rows for found in line_dedup._keys(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > 10 * len(lines) and peak < 32 << 20
+
+
+def test_ends_of_lines_are_cut_like_by_the_pattern(spark):
+    ends = ["", " ", "\t", "\x0b", "\f\r", "\x85", "\u2028", " \u2029", " \x85\u2028", "\xa0", "\r\x85"]
+    lines = [a + "two  words" + b for a in ends for b in ends] + ends
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    wanted = {x[0] for x in docs.select(F.regexp_replace("text", r"^\s+|\s+$", "")).collect()} - {""}
+    assert {x["line"] for x in line_dedup.distinct_lines(docs).collect()} == wanted
+
+
 def test_banded_edit_distance():
     r = random.Random(7)
     for _ in range(3000):
