@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +64,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def releasing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffles below what is written go when it is written, not by the driver's garbage collection."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def materialize(df: DataFrame, label: str, *, release: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back (runs a job).
 
@@ -72,12 +85,6 @@ def materialize(df: DataFrame, label: str, *, release: bool = False) -> DataFram
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(_CLEANUP, None)
-    if release:
-        spark.conf.set(_CLEANUP, "true")
-    try:
+    with releasing_shuffles(spark) if release else nullcontext():
         df.write.parquet(path)
-    finally:
-        if release:
-            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

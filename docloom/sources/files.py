@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import posixpath
 import sys
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions.names import component_order, glob_regex
-from docloom.session import materialize
+from docloom.session import materialize, releasing_shuffles, scratch_path
 
 # Functions that run in tasks travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -96,6 +97,64 @@ def hashed(files: DataFrame) -> DataFrame:
     return files.select("path", "size").repartition(parts).mapInArrow(_hash_files, "path string, size long, md5 string")
 
 
+def _join_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files in order (target, parts) -> target, size: copied by chunks, under a hidden name until whole.
+
+    The parts of a whole file go at once.  A repeated task that finds a part gone takes the
+    file that the first one has left.
+    """
+    for batch in batches:
+        for target, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            system, place = _opened(target)
+            folder, name = posixpath.split(place)
+            hidden = posixpath.join(folder, f".{name}-{uuid.uuid4().hex}")
+            opened = [_opened(part) for part in parts]
+            if all(source.get_file_info(at).is_file for source, at in opened):
+                system.create_dir(folder)
+                with system.open_output_stream(hidden, compression=None) as out:
+                    for source, at in opened:
+                        with source.open_input_stream(at, compression=None) as stream:
+                            while chunk := stream.read(CHUNK_BYTES):
+                                out.write(chunk)
+                system.move(hidden, place)
+            written = system.get_file_info(place)
+            if not written.is_file:
+                raise FileNotFoundError(f"{target}: parts are missing")
+            for source, at in opened:
+                if source.get_file_info(at).is_file:
+                    source.delete_file(at)
+            yield pa.RecordBatch.from_pydict({"path": [target], "size": [written.size]})
+
+
+def write_text_per_key(rows: DataFrame, key: str, order: str, base: str, name: str) -> DataFrame:
+    """Write ``text`` of ``rows``, a line each, to one file ``name`` per value of ``key`` below ``base``: ``path, size``.
+
+    The rows are sorted and written as parts by many tasks, however many of them share a
+    value; what one task does alone is to copy the bytes of a value's parts, in their order,
+    into its file.  The parts go as the files get whole.  Folders are named ``key=value`` as
+    by ``partitionBy``; files of that name must not be there yet.  Runs jobs.
+    """
+    spark = rows.sparkSession
+    parts, base = scratch_path(spark, "parts"), _plain(_uri(base.rstrip("/")))
+    dealt = rows.repartitionByRange(key, order).sortWithinPartitions(key, order)
+    with releasing_shuffles(spark):
+        dealt.select("text", key).write.partitionBy(key).text(parts)
+    found = listed_tree(spark, parts).withColumn("rel_path", relative_path(F.col("path"), parts))
+    found = found.where(F.col("rel_path").rlike("/part-[^/]*$"))
+    number = F.regexp_extract("rel_path", "/part-([0-9]+)", 1).cast("long")
+    folder = F.substring_index("rel_path", "/", 1)
+    target = F.concat(F.lit(base + "/"), folder, F.lit("/" + name))
+    grouped = found.groupBy(target.alias("target")).agg(F.array_sort(F.collect_list(F.struct(number.alias("number"), "path"))).alias("parts"))
+    grouped = materialize(grouped.select("target", F.col("parts.path").alias("parts")), "parts-listed")
+    system, place = _opened(base)
+    system.create_dir(place)
+    joined = grouped.repartition(max(1, grouped.count())).mapInArrow(_join_files, "path string, size long")
+    written = materialize(joined, "joined")
+    system, place = _opened(_uri(parts))
+    system.delete_dir(place)
+    return written
+
+
 def listed_tree(spark: SparkSession, base: str) -> DataFrame:
     """All files below the directory ``base``, at any depth and of any name: ``path, size``.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.session import scratch_path
+from docloom.sources.files import write_text_per_key
 from docloom.streaming.ingest import ingest_stream
 from docloom.streaming.replay import first_requests_stream
 from docloom.streaming.status import (
@@ -146,8 +147,7 @@ def ingested_files(spark: SparkSession, sf: str) -> DataFrame:
     inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "ingested")
     docs = t.load(spark, sf, "documents").select("text", "lang", "source", "doc_id")
     for key in ("lang", "source"):
-        ordered = docs.repartition(key).sortWithinPartitions(key, "doc_id").select("text", key)
-        ordered.write.mode("append").partitionBy(key).text(inbox)
+        write_text_per_key(docs, key, "doc_id", inbox, "texts.txt")
         ingest_stream(spark, inbox, t.held(spark, sf), out, base_key="live", flatten=False).awaitTermination()
     outcomes = spark.read.parquet(out + "/outcomes")
     folder = F.substring_index("rel_path", "/", 1).alias("folder")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pyarrow as pa
 import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
@@ -224,3 +225,45 @@ def test_fuzzy_search_by_index_finds_the_same(table, wanted, distance):
     index = q.name_index(rows)
     plain = rows.where(q.fuzzy(F.col("name"), wanted, distance))
     assert tuples(q.fuzzy_search(rows, index, wanted, distance), "id", "name") == tuples(plain, "id", "name")
+
+
+def test_one_file_per_key_is_written_from_parts_of_many_tasks(spark, tmp_path, monkeypatch):
+    listed = []
+    tree = files.listed_tree
+    monkeypatch.setattr(files, "listed_tree", lambda *a: listed.append(tree(*a)) or listed[-1])
+    kept = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = [((i * 7919) % 4000, None if i % 900 == 5 else f"text {i} é\U0001f642", None if i < 40 else "a b" if i % 4 else "c") for i in range(4000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        written = files.write_text_per_key(docs, "lang", "doc_id", str(tmp_path / "in"), "all.txt").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = {p.parent.name: p.read_bytes() for p in (tmp_path / "in").glob("*/*") if not p.name.startswith(".")}
+    wanted = {}
+    for _, text, lang in sorted(rows, key=lambda r: r[0]):
+        folder = "lang=" + (lang or "__HIVE_DEFAULT_PARTITION__")
+        wanted[folder] = wanted.get(folder, b"") + ((text or "") + "\n").encode()
+    assert found == wanted
+    assert {(r["path"].rsplit("/", 2)[1], r["size"]) for r in written} == {(k, len(v)) for k, v in wanted.items()}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+    sizes = [r["size"] for r in listed[0].collect() if "/lang=a b/part-" in r["path"]]
+    assert max(sizes) < len(wanted["lang=a b"]) / 2 and sum(sizes) == len(wanted["lang=a b"])
+
+
+def test_a_repeated_task_keeps_a_joined_file(tmp_path):
+    (tmp_path / "p0").write_bytes(b"one\n")
+    (tmp_path / "p1").write_bytes(b"two\n")
+    batch = pa.RecordBatch.from_pydict({"target": [f"file:{tmp_path}/k=1/all.txt"], "parts": [[f"file:{tmp_path}/p0", f"file:{tmp_path}/p1"]]})
+    for _ in range(2):  # the second time the parts are gone
+        assert [b.to_pylist()[0]["size"] for b in files._join_files(iter([batch]))] == [8]
+    assert (tmp_path / "k=1/all.txt").read_bytes() == b"one\ntwo\n" and not (tmp_path / "p0").exists()
+    (tmp_path / "k=1/all.txt").unlink()
+    with pytest.raises(FileNotFoundError):
+        list(files._join_files(iter([batch])))
+
+
+def test_one_file_per_key_of_no_rows(spark, tmp_path):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert files.write_text_per_key(none, "lang", "doc_id", str(tmp_path / "in"), "all.txt").count() == 0
+    assert not list((tmp_path / "in").iterdir())
